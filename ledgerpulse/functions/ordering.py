@@ -11,6 +11,8 @@ helpers here cut the order into cells of bounded size first:
   table bounded by the number of cells, whatever the input size);
 * only then are rows ordered, each inside its own cell.
 
+A table of at most `SMALL` rows, counted in the first pass, is a single cell.
+
 Most callers do not need a rank per row, only the rows that sit at a few ranks
 (`order_statistics`). Finding those moves a few cells, never the table, and the
 buckets are then a comparison with literals, without any shuffle. As with
@@ -26,21 +28,20 @@ NULL.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-Ranks = Callable[[Column], Sequence[Column]]
+SMALL = 250_000
 
 
 @dataclass(frozen=True)
 class RankedRow:
-    """The row found at ``rank`` (from 1) among ``n``, within ``group``."""
+    """The row found at ``rank`` (from 1) among the rows of ``group``."""
 
-    group: tuple
+    group: object
     target: int
     rank: int
     n: int
@@ -48,16 +49,40 @@ class RankedRow:
     key: object
 
 
-def cell_count(df: DataFrame) -> int:
+@dataclass(frozen=True)
+class _Cells:
+    """Split points for ``value`` and ``key``; without any, all rows are one cell."""
+
+    value: str
+    key: str | None
+    points: list
+    key_points: list
+
+    def add_to(self, df: DataFrame) -> DataFrame:
+        """Add ``_cell`` and ``_sub``; ordering by both never contradicts (value, key)."""
+        out = _locate(df, self.value, self.points, "_cell")
+        if self.key is None or not self.points:
+            return out.withColumn("_sub", F.lit(0))
+        # Odd cells hold a single value; only those can be cut along the key.
+        inside = F.when(F.col("_cell") % 2 == 1, F.col("_key_cell")).otherwise(0)
+        return _locate(out, self.key, self.key_points, "_key_cell").withColumn("_sub", inside).drop("_key_cell")
+
+
+def _cell_count(df: DataFrame) -> int:
     """Cells follow the shuffle width the session is tuned for, within bounds."""
     return min(4096, max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def _split_points(df: DataFrame, columns: Sequence[str], cells: int) -> list[list]:
-    """Distinct approximate quantiles of each column, from one pass."""
+def _make_cells(df: DataFrame, value: str, key: str | None, cells: int | None, small: int) -> tuple[_Cells, int]:
+    """Cells of bounded size and the total weight, from one pass."""
+    cells = cells or _cell_count(df)
     steps = [i / cells for i in range(1, cells)]
-    found = df.agg(*[F.percentile_approx(c, steps, max(10_000, 8 * cells)) for c in columns]).first()
-    return [sorted(set(points or [])) for points in found]
+    quantiles = [F.percentile_approx(c, steps, max(10_000, 8 * cells)) for c in (value, key) if c]
+    rows, n, *points = df.agg(F.count(F.lit(1)), F.coalesce(F.sum("_w"), F.lit(0)), *quantiles).first()
+    if rows <= small:
+        points = []
+    unique = [sorted(set(p)) for p in points if p]
+    return _Cells(value, key, *(unique + [[], []])[:2]), n
 
 
 def _locate(df: DataFrame, c: str, points: list, out: str) -> DataFrame:
@@ -84,70 +109,84 @@ def _locate(df: DataFrame, c: str, points: list, out: str) -> DataFrame:
     )
 
 
-def _with_cells(df: DataFrame, value: str, key: str | None, cells: int) -> DataFrame:
-    """Add ``_cell`` and ``_sub``; ordering by both never contradicts (value, key)."""
-    if key is None:
-        (points,) = _split_points(df, [value], cells)
-        return _locate(df, value, points, "_cell").withColumn("_sub", F.lit(0))
-    points, key_points = _split_points(df, [value, key], cells)
-    # Odd cells hold a single value; only those can be cut along the key.
-    return (
-        _locate(_locate(df, value, points, "_cell"), key, key_points, "_key_cell")
-        .withColumn("_sub", F.when(F.col("_cell") % 2 == 1, F.col("_key_cell")).otherwise(0))
-        .drop("_key_cell")
-    )
-
-
-def _cell_ends(celled: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Rows per cell, the running count before the cell and the group total ``n``."""
+def _cell_ends(celled: DataFrame, group: Sequence[str] = ()) -> DataFrame:
+    """Weight per cell and the running weight before the cell."""
     counts = celled.groupBy(*group, "_cell", "_sub").agg(F.sum("_w").alias("_count"))
     ordered = Window.partitionBy(*group).orderBy("_cell", "_sub")
-    return counts.select(
-        *group, "_cell", "_sub", "_count",
-        (F.sum("_count").over(ordered) - F.col("_count")).alias("_before"),
-        F.sum("_count").over(Window.partitionBy(*group)).alias("n"),
-    )
+    return counts.withColumn("_before", F.sum("_count").over(ordered) - F.col("_count"))
+
+
+def _weighted(df: DataFrame, value: str, key: str | None, group: Sequence[str]) -> DataFrame:
+    """Rows in need of ordering; without a key equal values are counted up first."""
+    if key is None:
+        return df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_w"))
+    return df.select(*group, value, key, F.lit(1).cast("bigint").alias("_w"))
 
 
 def order_statistics(
     df: DataFrame,
     value: str,
-    ranks: Ranks,
+    ranks: Callable[[int], Sequence[int]],
     key: str | None = None,
-    group: Sequence[str] = (),
     cells: int | None = None,
+    small: int = SMALL,
 ) -> list[RankedRow]:
-    """The rows at the wanted ranks of the order (``value``, ``key``).
+    """The rows at the wanted ranks of the order (``value``, ``key``), by position in ``ranks``.
 
-    ``ranks`` maps the column ``n`` (rows in the group) to the wanted ranks; it
-    may use the ``group`` columns. With ``key=None`` equal values are counted up
-    first and only values come back. Groups must be few (class labels).
+    ``ranks`` maps the number of rows to the wanted ranks from 1. With
+    ``key=None`` only values come back, and equal values are counted, not sorted.
     """
-    cells = cells or cell_count(df)
-    if key is None:
-        base = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_w"))
+    base = _weighted(df, value, key, ())
+    made, n = _make_cells(base, value, key, cells, small)
+    return _rows_at(base, made, None, {None: (n, ranks(n))}) if n else []
+
+
+def order_statistics_by(
+    df: DataFrame,
+    group: str,
+    wanted: Mapping[object, tuple[int, Sequence[int]]],
+    value: str,
+    key: str,
+    cells: int | None = None,
+    small: int = SMALL,
+) -> list[RankedRow]:
+    """The same inside each group; ``wanted`` gives its size and ranks. Groups must be few."""
+    base = _weighted(df, value, key, (group,))
+    made, _ = _make_cells(base, value, key, cells, small)
+    return _rows_at(base, made, group, wanted)
+
+
+def _rows_at(
+    base: DataFrame, made: _Cells, group: str | None, wanted: Mapping[object, tuple[int, Sequence[int]]]
+) -> list[RankedRow]:
+    """Find the cells of the wanted ranks first, then the rows in those cells only."""
+    groups = [group] if group else []
+    places = [*groups, "_cell", "_sub"]
+    celled = made.add_to(base)
+    ranks = {g: list(enumerate(r)) for g, (_, r) in wanted.items()}
+    at: dict[tuple, dict[int, list[tuple[int, int]]]] = {}
+    if made.points:
+        per_group = reduce(
+            lambda other, g: F.when(F.col(group) == F.lit(g) if group else F.lit(True), _ranks_literal(ranks[g])).otherwise(other),
+            ranks, F.lit(None),
+        )
+        hits = (
+            _cell_ends(celled, groups)
+            .withColumn("_rank", F.explode(per_group))
+            .filter((F.col("_rank") > F.col("_before")) & (F.col("_rank") <= F.col("_before") + F.col("_count")))
+            .distinct()
+            .collect()
+        )
+        for h in hits:
+            of_group = ranks[h[group] if group else None]
+            at.setdefault(tuple(h[c] for c in places), {})[h["_rank"] - h["_before"]] = [
+                (t, r) for t, r in of_group if r == h["_rank"]
+            ]
     else:
-        base = df.select(*group, value, key, F.lit(1).cast("bigint").alias("_w"))
-    celled = _with_cells(base, value, key, cells)
-    ends = _cell_ends(celled, group)
-    wanted = F.array(*[
-        F.struct(F.lit(i).alias("target"), r.cast("bigint").alias("rank")) for i, r in enumerate(ranks(F.col("n")))
-    ])
-    hits = (
-        ends.withColumn("_wanted", F.explode(wanted))
-        .filter(F.col("_wanted.rank") > F.col("_before"))
-        .filter(F.col("_wanted.rank") <= F.col("_before") + F.col("_count"))
-        .select(*group, "_cell", "_sub", "n", "_before", "_wanted.target", "_wanted.rank")
-        .collect()
-    )
-    if not hits:
-        return []
-    at: dict[tuple, dict[int, list]] = {}
-    for h in hits:
-        at.setdefault((*[h[g] for g in group], h["_cell"], h["_sub"]), {}).setdefault(h["rank"] - h["_before"], []).append(h)
-    places = [*group, "_cell", "_sub"]
-    in_cell = Window.partitionBy(*places).orderBy(value, *([key] if key else []))
-    upto = F.sum("_w").over(in_cell.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        for g, of_group in ranks.items():
+            for t, r in of_group:
+                place = ((g,) if group else ()) + (0, 0)
+                at.setdefault(place, {}).setdefault(r, []).append((t, r))
 
     def here(place: tuple) -> Column:
         return reduce(Column.__and__, [F.col(c) == F.lit(v) for c, v in zip(places, place)])
@@ -155,25 +194,34 @@ def order_statistics(
     def covers(rank: int) -> Column:
         return (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_w") < rank)
 
+    if not at:
+        return []
+    in_cell = Window.partitionBy(*places).orderBy(made.value, *([made.key] if made.key else []))
     found = (
         celled.filter(reduce(Column.__or__, [here(p) for p in at]))
-        .withColumn("_upto", upto)
+        .withColumn("_upto", F.sum("_w").over(in_cell.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         .filter(reduce(Column.__or__, [
-            here(p) & reduce(Column.__or__, [covers(r) for r in ranks_]) for p, ranks_ in at.items()
+            here(p) & reduce(Column.__or__, [covers(r) for r in local]) for p, local in at.items()
         ]))
         .collect()
     )
-    rows = []
-    for row in found:
-        for rank, wants in at[tuple(row[c] for c in places)].items():
-            if row["_upto"] - row["_w"] < rank <= row["_upto"]:
-                rows += [
-                    RankedRow(tuple(row[g] for g in group), h["target"], h["rank"], h["n"], row[value], row[key] if key else None)
-                    for h in wants
-                ]
+    rows = [
+        RankedRow(
+            row[group] if group else None, target, rank, wanted[row[group] if group else None][0],
+            row[made.value], row[made.key] if made.key else None,
+        )
+        for row in found
+        for local, wants in at[tuple(row[c] for c in places)].items()
+        if row["_upto"] - row["_w"] < local <= row["_upto"]
+        for target, rank in wants
+    ]
     return sorted(rows, key=lambda r: r.target)
 
 
+def _ranks_literal(ranks: Sequence[tuple[int, int]]) -> Column:
+    return F.array(*[F.lit(r).cast("bigint") for r in sorted({r for _, r in ranks})])
+
+
 def after_cut(value: str, key: str, cut: RankedRow) -> Column:
     """Whether a row comes after the cut row in (value, key) order."""
     v, k = F.col(value), F.col(key)
@@ -186,39 +234,47 @@ def bucket_by_cuts(value: str, key: str, cuts: Sequence[RankedRow]) -> Column:
     return reduce(Column.__add__, above, F.lit(1))
 
 
-def ntile_global(df: DataFrame, value: str, key: str, tiles: int, out: str, cells: int | None = None) -> DataFrame:
-    """``NTILE(tiles) OVER (ORDER BY value, key)``: the larger tiles come first."""
+def ntile_ranks(n: int, tiles: int) -> list[int]:
+    """Last rank of each tile but the last; the larger tiles come first."""
+    # With fewer rows than tiles every rank past n falls on the last row.
+    return [min(n // tiles * b + min(b, n % tiles), n) for b in range(1, tiles)]
 
-    def uppers(n: Column) -> list[Column]:
-        # With fewer rows than tiles every upper rank past n falls on the last row.
-        return [F.least(F.floor(n / tiles) * b + F.least(F.lit(b), n % tiles), n) for b in range(1, tiles)]
 
-    return df.withColumn(out, bucket_by_cuts(value, key, order_statistics(df, value, uppers, key=key, cells=cells)))
+def quantile_ranks(n: int, buckets: int) -> list[int]:
+    """Rank of the last row at or below each inner quantile ``b / buckets``."""
+    return [b * (n - 1) // buckets + 1 for b in range(1, buckets)]
 
 
-def quantile_ranks(n: Column, k: int) -> list[Column]:
-    """Rank of the last row at or below each inner quantile ``b / k``, in whole numbers."""
-    return [(b * (n - 1) - (b * (n - 1)) % k) / k + 1 for b in range(1, k)]
+def ntile_global(
+    df: DataFrame, value: str, key: str, tiles: int, out: str, cells: int | None = None, small: int = SMALL
+) -> DataFrame:
+    """``NTILE(tiles) OVER (ORDER BY value, key)``."""
+    cuts = order_statistics(df, value, lambda n: ntile_ranks(n, tiles), key, cells, small)
+    return df.withColumn(out, bucket_by_cuts(value, key, cuts))
 
 
-def equal_freq(df: DataFrame, value: str, key: str, buckets: int, out: str, cells: int | None = None) -> DataFrame:
+def equal_freq(
+    df: DataFrame, value: str, key: str, buckets: int, out: str, cells: int | None = None, small: int = SMALL
+) -> DataFrame:
     """Quantile buckets 1..k of the rank: ``max(1, ceil(k * (rank - 1) / (n - 1)))``."""
-    cuts = order_statistics(df, value, lambda n: quantile_ranks(n, buckets), key=key, cells=cells)
+    cuts = order_statistics(df, value, lambda n: quantile_ranks(n, buckets), key, cells, small)
     return df.withColumn(out, bucket_by_cuts(value, key, cuts))
 
 
-def quantile_edges(df: DataFrame, value: str, buckets: int, cells: int | None = None) -> list[float]:
+def quantile_edges(
+    df: DataFrame, value: str, buckets: int, cells: int | None = None, small: int = SMALL
+) -> list[float]:
     """The k - 1 inner quantiles, linearly interpolated between neighbouring rows."""
 
-    def around(n: Column) -> list[Column]:
+    def around(n: int) -> list[int]:
         low = quantile_ranks(n, buckets)
-        return low + [F.least(r + 1, n.cast("double")) for r in low]
+        return low + [min(r + 1, n) for r in low]
 
-    rows = {r.target: r for r in order_statistics(df, value, around, cells=cells)}
+    rows = {r.target: r for r in order_statistics(df, value, around, None, cells, small)}
     edges = []
     for i in range(buckets - 1 if rows else 0):
         low, high = float(rows[i].value), float(rows[i + buckets - 1].value)
-        share = ((i + 1) * (rows[i].n - 1)) % buckets / buckets
+        share = (i + 1) * (rows[i].n - 1) % buckets / buckets
         edges.append(low + (high - low) * share)
     return edges
 
@@ -229,23 +285,31 @@ def bucket_by_edges(value: str, edges: Sequence[float]) -> Column:
     return reduce(Column.__add__, above, F.lit(1))
 
 
-def global_rank(df: DataFrame, value: str, key: str, out: str = "rank", cells: int | None = None) -> DataFrame:
+def global_rank(
+    df: DataFrame, value: str, key: str, out: str = "rank", cells: int | None = None, small: int = SMALL
+) -> DataFrame:
     """``ROW_NUMBER() OVER (ORDER BY value, key)`` for every row."""
-    celled = _with_cells(df.withColumn("_w", F.lit(1).cast("bigint")), value, key, cells or cell_count(df))
-    before = _cell_ends(celled, ()).select("_cell", "_sub", "_before")
+    made, _ = _make_cells(_weighted(df, value, key, ()), value, key, cells, small)
+    if not made.points:
+        return df.withColumn(out, F.row_number().over(Window.orderBy(value, key)).cast("bigint"))
+    celled = made.add_to(df.withColumn("_w", F.lit(1).cast("bigint")))
+    before = _cell_ends(celled).select("_cell", "_sub", "_before")
     in_cell = Window.partitionBy("_cell", "_sub").orderBy(value, key)
     return celled.join(before, ["_cell", "_sub"]).select(
         *df.columns, (F.col("_before") + F.row_number().over(in_cell)).alias(out)
     )
 
 
-def running_totals(df: DataFrame, value: str, sums: dict[str, Column], cells: int | None = None) -> DataFrame:
+def running_totals(
+    df: DataFrame, value: str, sums: dict[str, Column], cells: int | None = None, small: int = SMALL
+) -> DataFrame:
     """Add ``name``: the sum of its expression over all rows with a smaller value.
 
     ``value`` must be unique (aggregate by it first, which also takes the weight
     out of a hot value).
     """
-    celled = _with_cells(df, value, None, cells or cell_count(df))
+    made, _ = _make_cells(df.select(value, F.lit(1).alias("_w")), value, None, cells, small)
+    celled = made.add_to(df)
     totals = celled.groupBy("_cell").agg(*[F.sum(e).alias(f"_t_{name}") for name, e in sums.items()])
     earlier = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     before = totals.select("_cell", *[F.sum(f"_t_{name}").over(earlier).alias(f"_b_{name}") for name in sums])

@@ -88,7 +88,7 @@ def class_report(counts: DataFrame) -> DataFrame:
         F.sum("support").alias("support"),
     ).select(F.lit("weighted avg").alias("label"), *measures, "support", F.lit(3).alias("_part"))
     return (
-        classes.withColumn("_part", F.lit(0))
+        classes.withColumns({"label": F.col("label").cast("string"), "_part": F.lit(0)})
         .unionByName(overall).unionByName(macro).unionByName(weighted)
         .orderBy("_part", "label")
         .drop("_part")

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ordering import after_cut, global_rank, order_statistics
+from ..functions.ordering import after_cut, global_rank, order_statistics_by
 from ..functions.seeding import seeded_order
 
 SEED = 42
@@ -42,12 +42,10 @@ def split_by_class(df: DataFrame, label: str, key: str, test_fraction: float, se
     test = {c: rows - train[c] for c, rows in class_rows.items() if rows > train[c]}
     if not test:
         return df.withColumn("split", F.lit("train"))
-    wanted = F.create_map(*[F.lit(x) for pair in test.items() for x in pair])
-    cuts = order_statistics(
-        ordered, "_order", lambda n: [F.coalesce(F.try_element_at(wanted, F.col(label)), F.lit(0))], key=key, group=[label]
-    )
+    wanted = {c: (class_rows[c], [rows]) for c, rows in test.items()}
+    cuts = order_statistics_by(ordered, label, wanted, "_order", key)
     in_test = reduce(Column.__or__, [
-        (F.col(label) == F.lit(c.group[0])) & ~after_cut("_order", key, c) for c in cuts
+        (F.col(label) == F.lit(c.group)) & ~after_cut("_order", key, c) for c in cuts
     ])
     return ordered.withColumn("split", F.when(in_test, "test").otherwise("train")).drop("_order")
 

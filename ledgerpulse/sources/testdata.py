@@ -126,8 +126,8 @@ def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     events = table(spark, sf_dir, "events")
 
-    def ranks(n: Column) -> list[Column]:
-        return [*quantile_ranks(n, BATCHES), F.floor(7 * n / 10)]
+    def ranks(n: int) -> list[int]:
+        return [*quantile_ranks(n, BATCHES), 7 * n // 10]
 
     cuts = order_statistics(events, "ts", ranks, key="event_id")
     # Ten rows or fewer may leave no row before the drift.
