@@ -14,10 +14,12 @@ def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     v = F.col(value).cast("double")
     bounds = df.agg(F.min(v).alias("low"), F.max(v).alias("high")).select(F.struct("low", "high")).scalar()
     low, high = bounds["low"], bounds["high"]
-    place = F.floor((v - low) * bins / F.nullif(high - low, F.lit(0.0))).cast("int")
+    # A single value gets half a unit of room on both sides.
+    room = F.when(low == high, 0.5).otherwise(0.0)
+    place = F.floor((v - low + room) * bins / (high - low + 2 * room)).cast("int")
     counts = (
         df.filter(v.isNotNull())
-        .groupBy(F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0)).alias("bin"))
+        .groupBy(F.least(place, F.lit(bins - 1)).alias("bin"))
         .agg(F.count(F.lit(1)).alias("rows"))
     )
     every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))

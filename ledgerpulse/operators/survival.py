@@ -89,14 +89,12 @@ def _per_day(scaled: DataFrame, xs: Sequence[str], beta: np.ndarray) -> DataFram
     deaths = {f"d{name[1:]}": F.when(died, e).otherwise(0.0) for name, e in sums.items()}
     return scaled.withColumn("_w", F.exp(eta)).groupBy("_day").agg(
         F.count_if(died).alias("deaths"),
-        F.sum(F.when(died, eta).otherwise(0.0)).alias("eta"),
-        *[F.sum(F.when(died, F.col(x)).otherwise(0.0)).alias(f"x_{j}") for j, x in enumerate(xs)],
         *[F.sum(e).alias(name) for name, e in {**sums, **deaths}.items()],
     )
 
 
 def _efron(per_day: DataFrame, p: int) -> tuple[float, np.ndarray, np.ndarray]:
-    """Log partial likelihood, gradient and negative Hessian with Efron's rule for ties.
+    """Log of the risk sets, its gradient and Hessian in beta, with Efron's rule for ties.
 
     The l-th of d tied deaths sees the risk set less l/d of the dying. The ties
     are unfolded in two steps with an exchange in between, so that a day with
@@ -106,9 +104,6 @@ def _efron(per_day: DataFrame, p: int) -> tuple[float, np.ndarray, np.ndarray]:
     pairs = [(j, k) for j in range(p) for k in range(j, p)]
     names = ["", *[f"_{j}" for j in range(p)], *[f"_{j}_{k}" for j, k in pairs]]
     risk = per_day.withColumns({f"r{m}": F.sum(f"s{m}").over(at_risk) for m in names}).filter("deaths > 0")
-    linear = risk.agg(
-        F.sum("eta").alias("eta"), *[F.sum(f"x_{j}").alias(f"x_{j}") for j in range(p)]
-    ).first()
     stretches = risk.withColumn(
         "_start", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("deaths") - 1, F.lit(_STRETCH).cast("bigint")))
     ).repartition("_day", "_start")
@@ -128,11 +123,11 @@ def _efron(per_day: DataFrame, p: int) -> tuple[float, np.ndarray, np.ndarray]:
             for j, k in pairs
         ],
     ).first()
-    gradient = np.array([linear[f"x_{j}"] - out[f"g_{j}"] for j in range(p)])
+    gradient = np.array([out[f"g_{j}"] for j in range(p)])
     hessian = np.zeros((p, p))
     for j, k in pairs:
         hessian[j, k] = hessian[k, j] = out[f"h_{j}_{k}"]
-    return linear["eta"] - out["log"], gradient, hessian
+    return out["log"], gradient, hessian
 
 
 def cox_fit(
@@ -167,10 +162,16 @@ def cox_fit(
         "cox",
     )
     p = len(xs)
+    # The covariates of the deaths enter linearly, so their sum is needed once.
+    died = scaled.filter("_event = 1").agg(*[F.sum(x) for x in xs]).first()
+    if any(v is None for v in died):
+        raise ValueError("no event was observed")
+    linear = np.array(list(died))
 
     def evaluate(beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        ll, g, h = _efron(_per_day(scaled, xs, beta), p)
-        return ll - n * l2 / 2 * float(beta @ beta), g - n * l2 * beta, h + n * l2 * np.eye(p)
+        log, g, h = _efron(_per_day(scaled, xs, beta), p)
+        ll = float(beta @ linear) - log - n * l2 / 2 * float(beta @ beta)
+        return ll, linear - g - n * l2 * beta, h + n * l2 * np.eye(p)
 
     beta = np.zeros(p)
     value, gradient, hessian = evaluate(beta)

@@ -23,7 +23,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.workspace import materialize
+from ..sources.workspace import materialize, spread
 from .churn_model import balanced_weight
 
 # Words of two or more letters, digits or underscores of any script (fixed value).
@@ -58,7 +58,7 @@ def tfidf_stages(
     ``terms``, so it fits in the model.
     """
     to_terms = term_stages(text, ngrams, stop_words)
-    split = to_terms.transform(train.select(text))
+    split = to_terms.transform(spread(train.select(text)))
     vocabulary = top_terms(split, terms)
     counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_terms", outputCol="_counts")
     idf = IDF(inputCol="_counts", outputCol="_idf").fit(counter.transform(split))
@@ -102,25 +102,27 @@ def intent_model(
     stop_words: list[str] | None = None,
     l2: float = 1.0,
     max_iter: int = 2000,
+    tol: float = 1e-6,
 ) -> IntentModel:
     """Fit vocabulary, weights and classifier on ``train`` only.
 
-    The vectors are stored once, so the text is not tokenised again for every
-    iteration. The loss is a weighted sum plus ``l2 / 2`` times the squared
+    The vectors are stored once, in files of even size, so the text is not
+    tokenised again for every iteration. The loss is a weighted sum plus ``l2 / 2`` times the squared
     coefficients; balanced weights add up to the number of rows.
     """
     vectorise = tfidf_stages(train, text, ngrams, terms, stop_words)
     ready = materialize(
-        vectorise.transform(train.select(text, label))
+        vectorise.transform(spread(train.select(text, label)))
         .withColumn("_weight", balanced_weight(train, label))
-        .select(label, "_weight", "_tfidf"),
+        .select(label, "_weight", "_tfidf")
+        .hint("rebalance"),
         "tfidf",
     )
     indexer = StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc").fit(ready)
     regression = LogisticRegression(
         featuresCol="_tfidf", labelCol="_label", weightCol="_weight", probabilityCol="_probability",
         predictionCol="_prediction", rawPredictionCol="_raw", standardization=False, elasticNetParam=0.0,
-        regParam=l2 / ready.count(), maxIter=max_iter, tol=1e-8,
+        regParam=l2 / ready.count(), maxIter=max_iter, tol=tol,
     ).fit(indexer.transform(ready))
     back = IndexToString(inputCol="_prediction", outputCol="pred", labels=indexer.labels)
     return IntentModel(PipelineModel([*vectorise.stages, regression, back]), list(indexer.labels))

@@ -41,3 +41,13 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out to all cores if the files gave fewer tasks than there are cores.
+
+    For work that is heavy per row. Tables with many files or row groups, as any
+    large table has, are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
