@@ -73,13 +73,15 @@ def _cell_count(df: DataFrame) -> int:
     return min(4096, max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def _make_cells(df: DataFrame, value: str, key: str | None, cells: int | None, small: int) -> tuple[_Cells, int]:
+def _make_cells(
+    df: DataFrame, value: str, key: str | None, cells: int | None, small: int | None
+) -> tuple[_Cells, int]:
     """Cells of bounded size and the total weight, from one pass."""
     cells = cells or _cell_count(df)
     steps = [i / cells for i in range(1, cells)]
     quantiles = [F.percentile_approx(c, steps, max(10_000, 8 * cells)) for c in (value, key) if c]
     rows, n, *points = df.agg(F.count(F.lit(1)), F.coalesce(F.sum("_w"), F.lit(0)), *quantiles).first()
-    if rows <= small:
+    if rows <= (SMALL if small is None else small):
         points = []
     unique = [sorted(set(p)) for p in points if p]
     return _Cells(value, key, *(unique + [[], []])[:2]), n
@@ -129,7 +131,7 @@ def order_statistics(
     ranks: Callable[[int], Sequence[int]],
     key: str | None = None,
     cells: int | None = None,
-    small: int = SMALL,
+    small: int | None = None,
 ) -> list[RankedRow]:
     """The rows at the wanted ranks of the order (``value``, ``key``), by position in ``ranks``.
 
@@ -148,7 +150,7 @@ def order_statistics_by(
     value: str,
     key: str,
     cells: int | None = None,
-    small: int = SMALL,
+    small: int | None = None,
 ) -> list[RankedRow]:
     """The same inside each group; ``wanted`` gives its size and ranks. Groups must be few."""
     base = _weighted(df, value, key, (group,))
@@ -246,7 +248,7 @@ def quantile_ranks(n: int, buckets: int) -> list[int]:
 
 
 def ntile_global(
-    df: DataFrame, value: str, key: str, tiles: int, out: str, cells: int | None = None, small: int = SMALL
+    df: DataFrame, value: str, key: str, tiles: int, out: str, cells: int | None = None, small: int | None = None
 ) -> DataFrame:
     """``NTILE(tiles) OVER (ORDER BY value, key)``."""
     cuts = order_statistics(df, value, lambda n: ntile_ranks(n, tiles), key, cells, small)
@@ -254,7 +256,7 @@ def ntile_global(
 
 
 def equal_freq(
-    df: DataFrame, value: str, key: str, buckets: int, out: str, cells: int | None = None, small: int = SMALL
+    df: DataFrame, value: str, key: str, buckets: int, out: str, cells: int | None = None, small: int | None = None
 ) -> DataFrame:
     """Quantile buckets 1..k of the rank: ``max(1, ceil(k * (rank - 1) / (n - 1)))``."""
     cuts = order_statistics(df, value, lambda n: quantile_ranks(n, buckets), key, cells, small)
@@ -262,7 +264,7 @@ def equal_freq(
 
 
 def quantile_edges(
-    df: DataFrame, value: str, buckets: int, cells: int | None = None, small: int = SMALL
+    df: DataFrame, value: str, buckets: int, cells: int | None = None, small: int | None = None
 ) -> list[float]:
     """The k - 1 inner quantiles, linearly interpolated between neighbouring rows."""
 
@@ -286,7 +288,7 @@ def bucket_by_edges(value: str, edges: Sequence[float]) -> Column:
 
 
 def global_rank(
-    df: DataFrame, value: str, key: str, out: str = "rank", cells: int | None = None, small: int = SMALL
+    df: DataFrame, value: str, key: str, out: str = "rank", cells: int | None = None, small: int | None = None
 ) -> DataFrame:
     """``ROW_NUMBER() OVER (ORDER BY value, key)`` for every row."""
     made, _ = _make_cells(_weighted(df, value, key, ()), value, key, cells, small)
@@ -301,7 +303,7 @@ def global_rank(
 
 
 def running_totals(
-    df: DataFrame, value: str, sums: dict[str, Column], cells: int | None = None, small: int = SMALL
+    df: DataFrame, value: str, sums: dict[str, Column], cells: int | None = None, small: int | None = None
 ) -> DataFrame:
     """Add ``name``: the sum of its expression over all rows with a smaller value.
 
