@@ -54,6 +54,7 @@ def churn_model(
     label: str = "churned",
     l2: float = 1.0,
     max_iter: int = 1000,
+    tol: float = 1e-8,
 ) -> ChurnModel:
     """Fit on ``train`` only; missing features count as zero.
 
@@ -71,7 +72,7 @@ def churn_model(
         LogisticRegression(
             featuresCol="_scaled", labelCol=label, weightCol="_weight", predictionCol="_prediction",
             probabilityCol="_probability", rawPredictionCol="_raw", family="binomial", standardization=False,
-            regParam=l2 / n * (n - 1) / n, elasticNetParam=0.0, maxIter=max_iter, tol=1e-10,
+            regParam=l2 / n * (n - 1) / n, elasticNetParam=0.0, maxIter=max_iter, tol=tol,
         ),
     ])
     return ChurnModel(stages.fit(weighted), tuple(features), n)
