@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 FEATURES = ("frequency", "monetary", "avg_order_value", "tenure_days")
 
 
-def balanced_weight(df: DataFrame, label: str) -> Column:
-    """``n / (classes * rows of the class)``, as a literal per class."""
+def balanced_weight(df: DataFrame, label: str) -> tuple[Column, int]:
+    """``n / (classes * rows of the class)`` as a literal per class, and n, which they add up to."""
     rows = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     n = sum(rows.values())
     weights = F.create_map(*[F.lit(x) for c, k in rows.items() for x in (c, n / (len(rows) * k))])
-    return weights[F.col(label)]
+    return weights[F.col(label)], n
 
 
 @dataclass(frozen=True)
@@ -54,7 +54,7 @@ def churn_model(
     label: str = "churned",
     l2: float = 1.0,
     max_iter: int = 1000,
-    tol: float = 1e-8,
+    tol: float = 1e-7,
 ) -> ChurnModel:
     """Fit on ``train`` only; missing features count as zero.
 
@@ -64,8 +64,8 @@ def churn_model(
     factors ``(n - 1) / n`` and ``1 / n`` in the penalty.
     """
     filled = train.withColumns({f"_f_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features})
-    weighted = filled.withColumn("_weight", balanced_weight(train, label))
-    n = train.count()
+    weight, n = balanced_weight(train, label)
+    weighted = filled.withColumn("_weight", weight)
     stages = Pipeline(stages=[
         VectorAssembler(inputCols=[f"_f_{c}" for c in features], outputCol="_features"),
         StandardScaler(inputCol="_features", outputCol="_scaled", withMean=True, withStd=True),

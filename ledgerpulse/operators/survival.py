@@ -105,10 +105,10 @@ def _efron(per_day: DataFrame, p: int) -> tuple[float, np.ndarray, np.ndarray]:
     names = ["", *[f"_{j}" for j in range(p)], *[f"_{j}_{k}" for j, k in pairs]]
     risk = per_day.withColumns({f"r{m}": F.sum(f"s{m}").over(at_risk) for m in names}).filter("deaths > 0")
     stretches = risk.withColumn(
-        "_start", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("deaths") - 1, F.lit(_STRETCH).cast("bigint")))
+        "_start", F.explode_outer(F.sequence(F.lit(0).cast("bigint"), F.col("deaths") - 1, F.lit(_STRETCH).cast("bigint")))
     ).repartition("_day", "_start")
     ties = stretches.withColumn(
-        "_l", F.explode(F.sequence("_start", F.least(F.col("_start") + _STRETCH, F.col("deaths")) - 1))
+        "_l", F.explode_outer(F.sequence("_start", F.least(F.col("_start") + _STRETCH, F.col("deaths")) - 1))
     )
 
     def left(m: str) -> Column:

@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from ..sources.workspace import materialize, spread
 from .churn_model import balanced_weight
 
-# Words of two or more letters, digits or underscores of any script (fixed value).
-TOKEN = r"(?U)\b\w\w+\b"
+# Words: two or more letters, digits or underscores of any script in a row (fixed value).
+TOKEN = r"[\p{L}\p{N}_]{2,}"
 
 
 def term_stages(text: str = "text", ngrams: int = 2, stop_words: list[str] | None = None) -> PipelineModel:
@@ -44,8 +44,13 @@ def term_stages(text: str = "text", ngrams: int = 2, stop_words: list[str] | Non
 
 
 def top_terms(terms: DataFrame, n: int) -> list[str]:
-    """The ``n`` most frequent terms, ties in alphabetical order, listed alphabetically."""
-    counts = terms.select(F.explode("_terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    """The ``n`` most frequent terms, ties in alphabetical order, listed alphabetically.
+
+    A plain explode would make Spark test each array for emptiness below the
+    exchange, that is, tokenise every text once more just for that.
+    """
+    each = terms.select(F.explode_outer("_terms").alias("term"))
+    counts = each.groupBy("term").agg(F.count("term").alias("n")).filter(F.col("term").isNotNull())
     return sorted(r["term"] for r in counts.orderBy(F.desc("n"), "term").limit(n).select("term").collect())
 
 
@@ -72,11 +77,12 @@ def tfidf_stages(
 def tfidf_long(stages: PipelineModel, df: DataFrame, key: str) -> DataFrame:
     """Non-zero weights as rows: key, term, weight."""
     vocabulary = F.array(*[F.lit(t) for t in stages.stages[1].vocabulary])
-    dense = vector_to_array("_tfidf")
+    sparse = F.unwrap_udt("_tfidf")
+    entries = F.arrays_zip(sparse["indices"].alias("i"), sparse["values"].alias("w"))
     return (
         stages.transform(df)
-        .select(key, F.posexplode(dense).alias("_i", "weight"))
-        .filter(F.col("weight") != 0)
+        .select(key, F.inline_outer(entries).alias("_i", "weight"))
+        .filter(F.col("_i").isNotNull())
         .select(key, F.element_at(vocabulary, F.col("_i") + 1).alias("term"), "weight")
     )
 
@@ -111,9 +117,10 @@ def intent_model(
     coefficients; balanced weights add up to the number of rows.
     """
     vectorise = tfidf_stages(train, text, ngrams, terms, stop_words)
+    weight, n = balanced_weight(train, label)
     ready = materialize(
         vectorise.transform(spread(train.select(text, label)))
-        .withColumn("_weight", balanced_weight(train, label))
+        .withColumn("_weight", weight)
         .select(label, "_weight", "_tfidf")
         .hint("rebalance"),
         "tfidf",
@@ -122,7 +129,7 @@ def intent_model(
     regression = LogisticRegression(
         featuresCol="_tfidf", labelCol="_label", weightCol="_weight", probabilityCol="_probability",
         predictionCol="_prediction", rawPredictionCol="_raw", standardization=False, elasticNetParam=0.0,
-        regParam=l2 / ready.count(), maxIter=max_iter, tol=tol,
+        regParam=l2 / n, maxIter=max_iter, tol=tol,
     ).fit(indexer.transform(ready))
     back = IndexToString(inputCol="_prediction", outputCol="pred", labels=indexer.labels)
     return IntentModel(PipelineModel([*vectorise.stages, regression, back]), list(indexer.labels))

@@ -34,7 +34,8 @@ def activity(spark: SparkSession, d: str) -> DataFrame:
 
 
 def features(spark: SparkSession, d: str) -> DataFrame:
-    return accounts.churn_label(accounts.account_features(activity(spark, d)))
+    """Account features, stored: cut rows, splits and fits read them several times."""
+    return materialize(accounts.churn_label(accounts.account_features(activity(spark, d))), "features")
 
 
 def formula_scores(spark: SparkSession, d: str) -> DataFrame:
@@ -251,7 +252,7 @@ def never_described(spark: SparkSession, d: str) -> DataFrame:
 
 
 def account_features(spark: SparkSession, d: str) -> DataFrame:
-    out = features(spark, d).select(
+    out = accounts.churn_label(accounts.account_features(activity(spark, d))).select(
         "customer_id", "first_order", "last_order", "frequency", "monetary", "recency_days", "tenure_days",
         "observed_days", "avg_order_value", "churned",
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import dashboards, drift, evaluation, intents, sampling, text_model
 from ..sources import documents, tables
 from ..sources import testdata as data
-from ..sources.workspace import fresh_path, materialize
+from ..sources.workspace import fresh_path, materialize, spread
 from ..streaming import monitor
 from .churn import Query, formula_scores, rounded
 
@@ -201,7 +201,7 @@ def shuffled_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def tfidf(spark: SparkSession, d: str) -> DataFrame:
-    rows = data.text_rows(spark, d)
+    rows = spread(data.text_rows(spark, d))
     return rounded(text_model.tfidf_long(text_model.tfidf_stages(rows), rows, "doc_id"), 6, "weight")
 
 
