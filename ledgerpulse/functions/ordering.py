@@ -69,8 +69,8 @@ class _Cells:
 
 
 def _cell_count(df: DataFrame) -> int:
-    """Cells follow the shuffle width the session is tuned for, within bounds."""
-    return min(4096, max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    """A few cells per shuffle partition the session is tuned for, so that they even out."""
+    return min(4096, max(64, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def _make_cells(
@@ -118,11 +118,9 @@ def _cell_ends(celled: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     return counts.withColumn("_before", F.sum("_count").over(ordered) - F.col("_count"))
 
 
-def _weighted(df: DataFrame, value: str, key: str | None, group: Sequence[str]) -> DataFrame:
-    """Rows in need of ordering; without a key equal values are counted up first."""
-    if key is None:
-        return df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_w"))
-    return df.select(*group, value, key, F.lit(1).cast("bigint").alias("_w"))
+def _weighted(df: DataFrame, value: str, key: str | None, group: Sequence[str] = ()) -> DataFrame:
+    """The columns that matter for an order, each row with weight one."""
+    return df.select(*group, value, *([key] if key else []), F.lit(1).cast("bigint").alias("_w"))
 
 
 def order_statistics(
@@ -136,9 +134,9 @@ def order_statistics(
     """The rows at the wanted ranks of the order (``value``, ``key``), by position in ``ranks``.
 
     ``ranks`` maps the number of rows to the wanted ranks from 1. With
-    ``key=None`` only values come back, and equal values are counted, not sorted.
+    ``key=None`` only values come back, in any order of equal ones.
     """
-    base = _weighted(df, value, key, ())
+    base = _weighted(df, value, key)
     made, n = _make_cells(base, value, key, cells, small)
     return _rows_at(base, made, None, {None: (n, ranks(n))}) if n else []
 
@@ -153,7 +151,7 @@ def order_statistics_by(
     small: int | None = None,
 ) -> list[RankedRow]:
     """The same inside each group; ``wanted`` gives its size and ranks. Groups must be few."""
-    base = _weighted(df, value, key, (group,))
+    base = _weighted(df, value, key, [group])
     made, _ = _make_cells(base, value, key, cells, small)
     return _rows_at(base, made, group, wanted)
 
@@ -190,6 +188,17 @@ def _rows_at(
                 place = ((g,) if group else ()) + (0, 0)
                 at.setdefault(place, {}).setdefault(r, []).append((t, r))
 
+    rows = []
+    if made.key is None:
+        # An odd cell holds one value, however many rows have it: nothing to sort.
+        for place in [p for p in at if p[-2] % 2 == 1]:
+            g = place[0] if group else None
+            rows += [
+                RankedRow(g, target, rank, wanted[g][0], made.points[place[-2] // 2], None)
+                for wants in at.pop(place).values()
+                for target, rank in wants
+            ]
+
     def here(place: tuple) -> Column:
         return reduce(Column.__and__, [F.col(c) == F.lit(v) for c, v in zip(places, place)])
 
@@ -197,7 +206,7 @@ def _rows_at(
         return (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_w") < rank)
 
     if not at:
-        return []
+        return sorted(rows, key=lambda r: r.target)
     in_cell = Window.partitionBy(*places).orderBy(made.value, *([made.key] if made.key else []))
     found = (
         celled.filter(reduce(Column.__or__, [here(p) for p in at]))
@@ -207,7 +216,7 @@ def _rows_at(
         ]))
         .collect()
     )
-    rows = [
+    rows += [
         RankedRow(
             row[group] if group else None, target, rank, wanted[row[group] if group else None][0],
             row[made.value], row[made.key] if made.key else None,
@@ -291,7 +300,7 @@ def global_rank(
     df: DataFrame, value: str, key: str, out: str = "rank", cells: int | None = None, small: int | None = None
 ) -> DataFrame:
     """``ROW_NUMBER() OVER (ORDER BY value, key)`` for every row."""
-    made, _ = _make_cells(_weighted(df, value, key, ()), value, key, cells, small)
+    made, _ = _make_cells(_weighted(df, value, key), value, key, cells, small)
     if not made.points:
         return df.withColumn(out, F.row_number().over(Window.orderBy(value, key)).cast("bigint"))
     celled = made.add_to(df.withColumn("_w", F.lit(1).cast("bigint")))

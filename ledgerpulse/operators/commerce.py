@@ -51,16 +51,17 @@ def monthly_activity(tx: DataFrame) -> DataFrame:
 def cohort_retention(tx: DataFrame, max_month: int = 6) -> DataFrame:
     """Share of each first-purchase cohort that is active 0..max_month months later.
 
-    The distinct active months of a customer are one short array (bounded by
-    the months of history, also for a hot customer), so a single aggregate
-    replaces the distinct, the minimum and the join between them. Everybody is
-    active in month 0, which makes that count the size of the cohort.
+    Lines are reduced to distinct customer-months on the map side, a handful of
+    rows also for a hot customer. The cohort is then the first of a customer's
+    months, and as everybody is active in month 0, that count is the cohort's
+    size; no join is needed for either.
     """
-    months = customer_sales(tx).groupBy("customer_id").agg(
-        F.collect_set(month_start("invoice_date")).alias("months")
+    active_months = (
+        customer_sales(tx).select("customer_id", month_start("invoice_date").alias("active_month")).distinct()
     )
+    first = F.min("active_month").over(Window.partitionBy("customer_id"))
     active = (
-        months.select(F.array_min("months").alias("cohort_month"), F.explode("months").alias("active_month"))
+        active_months.withColumn("cohort_month", first)
         .withColumn("month_number", months_apart(F.col("active_month"), F.col("cohort_month")))
         .filter(F.col("month_number").between(0, max_month))
         .groupBy("cohort_month", "month_number")

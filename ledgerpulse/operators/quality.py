@@ -67,7 +67,7 @@ def guest_share(tx: DataFrame) -> DataFrame:
 
 def key_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Distinct keys of ``left`` that ``right`` does not have."""
-    return left.select(key).distinct().join(right.select(key), key, "left_anti")
+    return left.select(key).distinct().join(right.select(key).distinct(), key, "left_anti")
 
 
 def union_by_name(frames: Iterable[DataFrame]) -> DataFrame:

@@ -187,12 +187,11 @@ def scores_csv(spark: SparkSession, d: str) -> DataFrame:
 
 def replaced_table(spark: SparkSession, d: str) -> DataFrame:
     """A catalog table created, replaced and read by SQL."""
-    name = "ledgerpulse_products_" + fresh_path(spark, "t").rsplit("-", 1)[-1]
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    path = fresh_path(spark, "products")
+    name = "ledgerpulse_" + path.rsplit("/", 1)[-1].replace("-", "_")
     source = data.products(spark, d)
-    location = fresh_path(spark, name)
-    source.limit(0).write.option("path", location).saveAsTable(name)
-    tables.replace_table(source, name)
+    tables.replace_table(source.withColumn("description", F.lit("old")), name, path + "-old")
+    tables.replace_table(source, name, path)
     out = materialize(
         tables.read_query(spark, f"SELECT description, count(*) AS products FROM {name} GROUP BY description"), name
     )

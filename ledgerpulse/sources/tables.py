@@ -57,9 +57,10 @@ def write_scores(scores: DataFrame, path: str) -> None:
     write_csv(scores.orderBy("health_score", "customer_id"), path)
 
 
-def replace_table(df: DataFrame, name: str) -> None:
-    """Create the catalog table, or replace it with these rows."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """Create the catalog table, or replace it with these rows; ``path`` keeps its files elsewhere."""
+    writer = df.write.mode("overwrite").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def write_transactions(tx: DataFrame, path: str) -> None:
