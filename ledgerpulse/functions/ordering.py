@@ -47,6 +47,16 @@ class RankedRow:
     n: int
     value: object
     key: object
+    value_type: str
+
+
+def _literal(x: object, type_: str) -> Column:
+    """A collected value as a literal of its own type.
+
+    A zone-less timestamp goes through text: as a Python object it would be
+    taken for a time in the zone of the session.
+    """
+    return F.lit(str(x) if type_ == "timestamp_ntz" else x).cast(type_)
 
 
 @dataclass(frozen=True)
@@ -97,9 +107,10 @@ def _locate(df: DataFrame, c: str, points: list, out: str) -> DataFrame:
         return df.withColumn(out, F.lit(0))
     stride = math.ceil(math.sqrt(len(points)))
     v = F.col(c)
-    type_ = f"array<{df.schema[c].dataType.simpleString()}>"
+    type_ = df.schema[c].dataType.simpleString()
     fine, coarse = (
-        F.array(*[F.lit(p) for p in some]).cast(type_) for some in (points, points[stride - 1 :: stride])
+        F.array(*[_literal(p, type_) for p in some]).cast(f"array<{type_}>")
+        for some in (points, points[stride - 1 :: stride])
     )
     return (
         df.withColumn("_skip", F.size(F.filter(coarse, lambda p: p < v)) * stride)
@@ -189,12 +200,13 @@ def _rows_at(
                 at.setdefault(place, {}).setdefault(r, []).append((t, r))
 
     rows = []
+    type_ = base.schema[made.value].dataType.simpleString()
     if made.key is None:
         # An odd cell holds one value, however many rows have it: nothing to sort.
         for place in [p for p in at if p[-2] % 2 == 1]:
             g = place[0] if group else None
             rows += [
-                RankedRow(g, target, rank, wanted[g][0], made.points[place[-2] // 2], None)
+                RankedRow(g, target, rank, wanted[g][0], made.points[place[-2] // 2], None, type_)
                 for wants in at.pop(place).values()
                 for target, rank in wants
             ]
@@ -219,7 +231,7 @@ def _rows_at(
     rows += [
         RankedRow(
             row[group] if group else None, target, rank, wanted[row[group] if group else None][0],
-            row[made.value], row[made.key] if made.key else None,
+            row[made.value], row[made.key] if made.key else None, type_,
         )
         for row in found
         for local, wants in at[tuple(row[c] for c in places)].items()
@@ -235,8 +247,8 @@ def _ranks_literal(ranks: Sequence[tuple[int, int]]) -> Column:
 
 def after_cut(value: str, key: str, cut: RankedRow) -> Column:
     """Whether a row comes after the cut row in (value, key) order."""
-    v, k = F.col(value), F.col(key)
-    return (v > F.lit(cut.value)) | ((v == F.lit(cut.value)) & (k > F.lit(cut.key)))
+    v, at = F.col(value), _literal(cut.value, cut.value_type)
+    return (v > at) | ((v == at) & (F.col(key) > F.lit(cut.key)))
 
 
 def bucket_by_cuts(value: str, key: str, cuts: Sequence[RankedRow]) -> Column:

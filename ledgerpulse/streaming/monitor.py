@@ -35,13 +35,16 @@ def window_stats(
 ) -> DataFrame:
     """Rows, accuracy in percent and mean confidence per window; works on batches too.
 
+    Zone-less times are taken as UTC for the windows, whatever the session zone.
     Rows later than the watermark allows are dropped, as for any closed window.
     The partial aggregate keeps one row per window and task, so a window that
     holds most of the rows is no bottleneck.
     """
     rows = F.count(F.lit(1))
+    zone = F.current_timezone()
+    start = F.to_utc_timestamp("_window.start", zone).cast("timestamp_ntz")
     return (
-        stream.withColumn(event_time, F.col(event_time).cast("timestamp"))
+        stream.withColumn(event_time, F.from_utc_timestamp(F.col(event_time).cast("timestamp"), zone))
         .withWatermark(event_time, watermark)
         .groupBy(F.window(event_time, window).alias("_window"))
         .agg(
@@ -49,7 +52,7 @@ def window_stats(
             round_half_up(percent(F.sum(flag(F.col(correct).cast("boolean"))), rows), 1).alias("accuracy_pct"),
             round_half_up(ratio(F.sum("confidence"), F.count("confidence")), 3).alias("avg_confidence"),
         )
-        .select(F.col("_window.start").cast("timestamp_ntz").alias("window_start"), "n", "accuracy_pct", "avg_confidence")
+        .select(start.alias("window_start"), "n", "accuracy_pct", "avg_confidence")
     )
 
 

@@ -90,6 +90,18 @@ def test_same_rows_with_many_cells(spark, tables, name, monkeypatch):
     assert oracle.compare(df, oracle.connect(tables), contract.oracle_sql()[name]) == []
 
 
+@pytest.mark.parametrize("small", [0, 10**6])
+def test_session_time_zone_does_not_matter(spark, tables, monkeypatch, small):
+    monkeypatch.setattr(ordering, "SMALL", small)
+    con = oracle.connect(tables)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for name in ("nq_b1_batch_accuracy", "dr_batch_sizes", "d_shaped_documents", "nq_a4_churn_status", "st_event_windows"):
+            assert oracle.compare(contract.queries()[name](spark, tables), con, contract.oracle_sql()[name]) == []
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_rank_of_a_large_table_has_no_single_task(spark, tables, monkeypatch):
     monkeypatch.setattr(ordering, "SMALL", 0)
     ranked = ordering.global_rank(data.table(spark, tables, "events"), "ts", "event_id")
