@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import whole_days
-from ..functions.numeric import ratio, round_half_even, round_half_up, round_money
+from ..functions.numeric import ratio, round_half_even, round_half_up
 from ..functions.ordering import bucket_by_edges, equal_freq, quantile_edges
 from .commerce import amount
 
