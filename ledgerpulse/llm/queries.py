@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm import langid, mixing, recipes, toxicity, urlfilter, warc
+from ledgerpulse.llm import langid, minhash, mixing, recipes, toxicity, urlfilter, warc
 from ledgerpulse.sources.workspace import fresh_path, materialize
 
 RULES = (
@@ -63,6 +63,11 @@ def op6_chunk_recipes(spark: SparkSession, folder: str) -> DataFrame:
     return recipes.exact_duplicates(read(spark, folder, "documents"))
 
 
+def op9_minhash_components(spark: SparkSession, folder: str) -> DataFrame:
+    """Component of near-equal texts of every document."""
+    return minhash.near_duplicates(read(spark, folder, "documents"), percent=85)
+
+
 def op10_toxicity_trees(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document."""
     return toxicity.score_documents(read(spark, folder, "documents"), read(spark, folder, "labels"))
@@ -72,6 +77,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_warc_transactions, op2_source_mixture, op3_language_profiles, op4_url_cascade, op6_chunk_recipes,
-        op10_toxicity_trees,
+        op9_minhash_components, op10_toxicity_trees,
     )
 }

@@ -18,7 +18,6 @@ gives a cascade without levels, which lists nothing. A rule that no URL of the c
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -28,11 +27,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm.common import arrow_map, mix64
+from ledgerpulse.llm.bloom import HASHES, Level, filled, passing
+from ledgerpulse.llm.common import arrow_map
 from ledgerpulse.sources.workspace import materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-HASHES = "h1 bigint, h2 bigint"
 #: Most levels before the build gives up; each level lets a fixed share through, so a dozen is usual.
 MOST_LEVELS = 60
 
@@ -79,31 +78,6 @@ def _hash(keys: list[str]) -> np.ndarray:
     return np.frombuffer(digests, dtype="<u8").reshape(-1, 2)
 
 
-@dataclass(frozen=True)
-class Level:
-    """One Bloom filter: ``n_bits`` bits, ``k`` hash functions told apart from other levels' by ``seed``."""
-
-    n_bits: int
-    k: int
-    seed: int
-    bits: np.ndarray | None = None
-
-    @staticmethod
-    def sized(n_keys: int, rate: float, seed: int) -> Level:
-        bits = max(64, math.ceil(-n_keys * math.log(rate) / math.log(2) ** 2))
-        return Level(-(-bits // 64) * 64, max(1, round(-math.log2(rate))), seed)
-
-    def positions(self, h: np.ndarray) -> np.ndarray:
-        a = mix64(h[:, 0] ^ np.uint64(self.seed * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
-        b = mix64(h[:, 1] + np.uint64(self.seed)) | np.uint64(1)
-        steps = np.arange(self.k, dtype=np.uint64)
-        return ((a[:, None] + steps * b[:, None]) % np.uint64(self.n_bits)).astype(np.int64)
-
-    def passes(self, h: np.ndarray) -> np.ndarray:
-        at = self.positions(h)
-        return (self.bits[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).all(axis=1)
-
-
 @dataclass(frozen=True)
 class Cascade:
     """Levels that alternately encode listed keys and keys that passed by mistake."""
@@ -126,37 +100,6 @@ class Cascade:
         return sum(level.n_bits // 8 for level in self.levels)
 
 
-def _hashed(batch: pa.RecordBatch) -> np.ndarray:
-    return np.column_stack([batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in (0, 1)])
-
-
-def _filled(keys: DataFrame, level: Level) -> Level:
-    """The level with the bits of ``keys``: words are OR-ed by Spark, only the finished words are collected."""
-
-    def words(batch: pa.RecordBatch) -> dict:
-        at = np.unique(level.positions(_hashed(batch)).ravel())
-        word, first = np.unique(at >> 6, return_index=True)
-        masks = np.bitwise_or.reduceat(np.uint64(1) << (at & 63).astype(np.uint64), first) if len(at) else at
-        return {"word": word, "mask": masks.view(np.int64)}
-
-    rows = arrow_map(keys, words, "word bigint, mask bigint").groupBy("word").agg(F.bit_or("mask").alias("mask"))
-    bits = np.zeros(level.n_bits // 64, dtype=np.uint64)
-    table = rows.toArrow()
-    if table.num_rows:
-        bits[table["word"].to_numpy()] = table["mask"].to_numpy().view(np.uint64)
-    return Level(level.n_bits, level.k, level.seed, bits)
-
-
-def _passing(keys: DataFrame, level: Level) -> DataFrame:
-    shared = keys.sparkSession.sparkContext.broadcast(level)
-
-    def kept(batch: pa.RecordBatch) -> dict:
-        ok = shared.value.passes(_hashed(batch))
-        return {f: batch.column(i).to_numpy(zero_copy_only=False)[ok] for i, f in enumerate(("h1", "h2"))}
-
-    return arrow_map(keys, kept, HASHES)
-
-
 def build_cascade(listed: DataFrame, universe: DataFrame, rate: float = 0.05, max_bytes: int = 256 << 20) -> Cascade:
     """A cascade for ``listed`` that is exact for every key of ``universe`` (both: distinct h1, h2).
 
@@ -177,8 +120,8 @@ def build_cascade(listed: DataFrame, universe: DataFrame, rate: float = 0.05, ma
         level = Level.sized(n, rate if levels else first_rate, len(levels) + 1)
         if level.n_bits // 8 > max_bytes:
             raise ValueError(f"a level of {level.n_bits // 8} bytes; raise max_bytes or split the list")
-        levels.append(_filled(own, level))
-        wrong = materialize(_passing(opposite, levels[-1]), "passed")
+        levels.append(filled(own, level))
+        wrong = materialize(passing(opposite, levels[-1]), "passed")
         own, opposite, n = wrong, own, wrong.count()
     return Cascade(tuple(levels))
 
