@@ -2,9 +2,9 @@
 
 Two rows are a candidate pair if they share a bucket. Only components are wanted, so a bucket is first
 tried as a star, every member against its smallest: that is linear in the members. Most buckets are
-one component after that. In the others every pair whose ends are still in different components
-is tried, whatever the size of the bucket, so no link between components is lost; pairs within a component
-cannot change the result. Bucket sizes and centres are aggregates joined back, so a bucket that
+one component after that. What is left are pairs whose ends share a bucket but are still in different
+components; all of them are candidates, unless the caller has a sharper exact rule, so no link between
+components is lost. Pairs within a component cannot change the result. Bucket sizes and centres are aggregates joined back, so a bucket that
 holds a large part of all rows is spread over many tasks.
 """
 
@@ -29,10 +29,20 @@ def shared_members(members: DataFrame) -> DataFrame:
     return keyed_join(members, centres, ["bucket"])
 
 
-def link_buckets(shared: DataFrame, confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def cross_pairs(open_: DataFrame) -> DataFrame:
+    """Pairs (``a`` > ``b``) that share a bucket but no component; those with the centre were tried before."""
+    left = open_.select("bucket", F.col("id").alias("a"), F.col("component").alias("ca"))
+    right = open_.filter("id > centre").select("bucket", F.col("id").alias("b"), F.col("component").alias("cb"))
+    return keyed_join(left, right, ["bucket"]).filter("a > b AND ca <> cb").select("a", "b").distinct()
+
+
+def link_buckets(
+    shared: DataFrame, confirm: Callable[[DataFrame], DataFrame], rest: Callable[[DataFrame], DataFrame] = cross_pairs
+) -> DataFrame:
     """Components (``node``, ``component``) of the pairs that ``confirm`` keeps of candidates ``a``, ``b`` (a > b).
 
-    ``shared`` is a stored result of ``shared_members``.
+    ``shared`` is a stored result of ``shared_members``. ``rest`` makes the candidates of the second
+    round from the members (``bucket``, ``id``, ``centre``, ``component``) of buckets with several components.
     """
     stars = shared.filter("id > centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
     links = materialize(confirm(materialize(stars, "stars")), "links")
@@ -43,9 +53,5 @@ def link_buckets(shared: DataFrame, confirm: Callable[[DataFrame], DataFrame]) -
         .filter("low < high").select("bucket")
     )
     open_ = materialize(keyed_join(marked, mixed, ["bucket"]), "open")
-    left = open_.select("bucket", F.col("id").alias("a"), F.col("component").alias("ca"), "centre")
-    # A pair with the centre has been tried as part of the star.
-    right = open_.filter("id > centre").select("bucket", F.col("id").alias("b"), F.col("component").alias("cb"))
-    pairs = keyed_join(left, right, ["bucket"]).filter("a > b AND ca <> cb").select("a", "b").distinct()
-    more = materialize(confirm(materialize(pairs, "pairs")), "links")
+    more = materialize(confirm(materialize(rest(open_), "pairs")), "links")
     return connected_components(links.unionByName(more))

@@ -11,6 +11,11 @@ Documents with the same set are one class from the start. Classes that share a b
 the sets of the documents left are made once more and intersected. Components come from alternating
 large-star and small-star.
 
+A bucket is tried as a star first. Where it leaves several components, as among many edited copies of one
+text that are all a little too far apart, its documents are paired by the prefix rule instead of with each other: with
+the shingles of each in one order, rarest first, two sets that overlap by the threshold share one among
+the first of either, and the rare ones are just those that edits made. That rule is exact.
+
 Defined results: a null or empty text, or one without words, has no shingles, links with nothing and is
 kept. Texts of one to four words have one shingle, the whole sequence. Rows that share an id each come
 back. Rows without an id belong to the component of their class through other rows that have one; a class without
@@ -26,7 +31,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerpulse.llm.bloom import row_hashes, sieve
@@ -186,7 +191,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", percent: int = 80) ->
     looks = materialize(keyed_join(heads.select("id", "look"), ids, ["id"], "left_semi").dropDuplicates(["id"]), "looks")
     sets = materialize(_sets_of(docs, key, ids).dropDuplicates(["id"]), "sets")
     confirm = _confirm(looks, sets, percent)
-    components = link_buckets(shared, confirm)
+    components = link_buckets(shared, confirm, lambda open_: _prefix_pairs(open_, sets, percent))
     placed = labelled(classes.filter("class IS NOT NULL"), components, "class")
     joined = keyed_join(described.select("id", "n", "digest"), placed.select("digest", "component"), ["digest"], "left")
     component = F.when(F.col("n") > 0, F.coalesce("component", "id")).otherwise(F.col("id"))
@@ -196,6 +201,41 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", percent: int = 80) ->
     )
 
 
+def _prefix_pairs(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of ``open_`` in different components that could overlap by ``percent``.
+
+    Of ``n`` shingles the first ``n - ceil(percent * n / 100) + 1`` are looked at, rarest first. A shingle that two
+    sets share at places ``pa`` and ``pb`` counts only if what follows in both is enough for the
+    overlap, which holds for the first one shared by any pair that qualifies.
+    """
+    ids = materialize(open_.select("id", "component").distinct(), "openids")
+
+    def listed(batch: pa.RecordBatch) -> dict:
+        own = [np.frombuffer(x, np.int64) for x in batch.column("set").to_pylist()]
+        at = np.repeat(np.arange(len(own)), [len(x) for x in own])
+        columns = {c: batch.column(c).take(pa.array(at)) for c in ("id", "component")}
+        sizes = np.array([len(x) for x in own], np.int64)
+        return columns | {"size": sizes[at] if len(own) else [], "shingle": np.concatenate([np.zeros(0, np.int64), *own])}
+
+    rows = materialize(
+        arrow_map(keyed_join(ids, sets, ["id"]), listed, "id bigint, component bigint, size bigint, shingle bigint"), "listed"
+    )
+    common = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
+    # Shingles of one text only come first in the order but pair with nothing: they are counted, not kept.
+    known = keyed_join(rows, common, ["shingle"])
+    held = known.groupBy("id").agg(F.count(F.lit(1)).alias("shared"))
+    placed = keyed_join(known, held, ["id"]).withColumn(
+        "place", F.col("size") - F.col("shared") + F.row_number().over(Window.partitionBy("id").orderBy("texts", "shingle"))
+    )
+    first = materialize(placed.filter(f"place <= size - ceil({percent} * size / 100.0) + 1"), "prefixes")
+    left, right = (
+        first.select("shingle", F.col("id").alias(x), F.col("component").alias(f"c{x}"), F.col("size").alias(f"n{x}"), F.col("place").alias(f"p{x}"))
+        for x in "ab"
+    )
+    fits = f"a > b AND ca <> cb AND {100 + percent} * (least(na - pa, nb - pb) + 1) >= {percent} * (na + nb)"
+    return keyed_join(left, right, ["shingle"]).filter(fits).select("a", "b").distinct()
+
+
 def _confirm(looks: DataFrame, sets: DataFrame, percent: int) -> Callable[[DataFrame], DataFrame]:
     def confirm(pairs: DataFrame) -> DataFrame:
         likely = materialize(_agreeing(pairs, looks, least_agreement(percent / 100)), "likely")
