@@ -43,7 +43,7 @@ from ledgerpulse.sources.workspace import materialize
 SHINGLE = 5
 #: Chance that a pair just at the threshold shares no band.
 MISS = 1e-7
-MOST_HASHES = 1024
+MOST_HASHES = 768
 #: Minima kept for the first look at a pair.
 LOOK = 128
 _LOWER = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
@@ -87,10 +87,13 @@ def minima(hashes: np.ndarray, n: int) -> np.ndarray:
     """The smallest value of each of ``n`` universal hash functions over a set that is not empty."""
     x = (hashes >> np.uint64(32)).astype(np.uint32)
     out = np.full(n, 0xFFFFFFFF, np.uint32)
+    room = np.empty((min(_SPAN, len(x)), n), np.uint32)
     for at in range(0, len(x), _SPAN):
-        values = np.multiply.outer(_A[:n], x[at : at + _SPAN])
-        values += _B[:n, None]
-        np.minimum(out, values.min(axis=1), out=out)
+        part = x[at : at + _SPAN, None]
+        values = room[: len(part)]
+        np.multiply(part, _A[None, :n], out=values)
+        values += _B[None, :n]
+        np.minimum(out, np.minimum.reduce(values, axis=0), out=out)
     return out
 
 

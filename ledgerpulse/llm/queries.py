@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm import langid, minhash, mixing, recipes, toxicity, urlfilter, warc
+from ledgerpulse.llm import embeddings, langid, lines, minhash, mixing, recipes, toxicity, urlfilter, warc
 from ledgerpulse.sources.workspace import fresh_path, materialize
 
 RULES = (
@@ -58,11 +58,22 @@ def op4_url_cascade(spark: SparkSession, folder: str) -> DataFrame:
     return urlfilter.judge_urls(read(spark, folder, "pages"), RULES)
 
 
+def op5_pivot_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and component of every vector."""
+    return embeddings.near_vectors(read(spark, folder, "embeddings"))
+
+
 def op6_chunk_recipes(spark: SparkSession, folder: str) -> DataFrame:
     """Group of equal texts of every document."""
     return recipes.exact_duplicates(read(spark, folder, "documents"))
 
 
+def op8_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the lines that repeat an earlier one."""
+    out = lines.dedup_lines(read(spark, folder, "documents"))
+    return out.select("doc_id", "text", "n_chars", F.col("__lines_dropped").alias("lines_dropped"))
+
+
 def op9_minhash_components(spark: SparkSession, folder: str) -> DataFrame:
     """Component of near-equal texts of every document."""
     return minhash.near_duplicates(read(spark, folder, "documents"), percent=85)
@@ -76,7 +87,7 @@ def op10_toxicity_trees(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_warc_transactions, op2_source_mixture, op3_language_profiles, op4_url_cascade, op6_chunk_recipes,
-        op9_minhash_components, op10_toxicity_trees,
+        op1_warc_transactions, op2_source_mixture, op3_language_profiles, op4_url_cascade, op5_pivot_neighbours,
+        op6_chunk_recipes, op8_fuzzy_lines, op9_minhash_components, op10_toxicity_trees,
     )
 }
