@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm import embeddings, langid, lines, minhash, mixing, recipes, toxicity, urlfilter, warc
+from ledgerpulse.llm import embeddings, langid, lines, minhash, mixing, pieces, recipes, toxicity, urlfilter, warc
 from ledgerpulse.sources.workspace import fresh_path, materialize
 
 RULES = (
@@ -68,6 +68,14 @@ def op6_chunk_recipes(spark: SparkSession, folder: str) -> DataFrame:
     return recipes.exact_duplicates(read(spark, folder, "documents"))
 
 
+def op7_piece_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Piece ids of every document, and whether they decode to its text."""
+    coded = pieces.encode(read(spark, folder, "documents").select("doc_id", "text"))
+    return pieces.decode(coded).select(
+        "doc_id", F.size("ids").alias("n_pieces"), "score", "ids", F.col("decoded").eqNullSafe(F.col("text")).alias("restored")
+    )
+
+
 def op8_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the lines that repeat an earlier one."""
     out = lines.dedup_lines(read(spark, folder, "documents"))
@@ -88,6 +96,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_warc_transactions, op2_source_mixture, op3_language_profiles, op4_url_cascade, op5_pivot_neighbours,
-        op6_chunk_recipes, op8_fuzzy_lines, op9_minhash_components, op10_toxicity_trees,
+        op6_chunk_recipes, op7_piece_scan, op8_fuzzy_lines, op9_minhash_components, op10_toxicity_trees,
     )
 }
