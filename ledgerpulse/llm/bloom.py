@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -87,3 +90,23 @@ def sieve(keys: DataFrame) -> Level:
     n = max(1, keys.count())
     bits = min(SIEVE_BITS, -(-12 * n // 64) * 64)
     return filled(keys, Level(bits, max(1, min(6, round(bits / n * math.log(2)))), 7))
+
+
+def _passes(shared: Broadcast) -> Callable[..., Column]:
+    @F.pandas_udf("boolean")
+    def hit(h1: pd.Series, h2: pd.Series) -> pd.Series:
+        h = np.column_stack([h1.to_numpy().view(np.uint64), h2.to_numpy().view(np.uint64)])
+        return pd.Series(shared.value.passes(h))
+
+    return hit
+
+
+def sifted(df: DataFrame, columns: list[Column], keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``df`` in two: rows whose ``columns`` cannot be among ``keys``, and the few that may be.
+
+    ``keys`` has one column per entry of ``columns``, of the same type. The first part needs no join with them.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(sieve(keys.select(*row_hashes(*keys.columns))))
+    hashes = [h.alias(f"__h{i}") for i, h in enumerate(row_hashes(*columns), 1)]
+    marked = df.select("*", *hashes).withColumn("__hit", _passes(shared)("__h1", "__h2")).drop("__h1", "__h2")
+    return marked.filter("NOT __hit").drop("__hit"), marked.filter("__hit").drop("__hit")

@@ -34,8 +34,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm.bloom import row_hashes, sieve
-from ledgerpulse.llm.common import arrow_map, keyed_join, mix64, utf8
+from ledgerpulse.llm.bloom import row_hashes, sieve, sifted
+from ledgerpulse.llm.common import arrow_map, keyed_join, mix64, text_key, utf8
 from ledgerpulse.llm.components import labelled
 from ledgerpulse.llm.linking import link_buckets, shared_members
 from ledgerpulse.sources.workspace import materialize
@@ -116,6 +116,7 @@ def _described(docs: DataFrame, key: str, bands: int, rows: int) -> DataFrame:
         low = [minima(s, max(LOOK, bands * rows)) if len(s) else None for s in sets]
         return {
             "id": batch.column("id"),
+            "own": batch.column("own"),
             "n": [len(s) for s in sets],
             "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
             "look": [None if x is None else x[:LOOK].astype(np.uint16).tobytes() for x in low],
@@ -123,8 +124,8 @@ def _described(docs: DataFrame, key: str, bands: int, rows: int) -> DataFrame:
         }
 
     return arrow_map(
-        docs.select(F.col(key).cast("bigint").alias("id"), "text"), describe,
-        "id bigint, n bigint, digest binary, look binary, bands array<bigint>",
+        docs.select(F.col(key).cast("bigint").alias("id"), text_key("text").alias("own"), "text"), describe,
+        "id bigint, own bigint, n bigint, digest binary, look binary, bands array<bigint>",
     )
 
 
@@ -177,7 +178,7 @@ def _sets_of(docs: DataFrame, key: str, ids: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", percent: int = 80) -> DataFrame:
-    """One row per document: ``key``, ``n_shingles``, ``component_id`` and ``kept``.
+    """One row per document: ``key``, ``n_shingles``, ``component_id``, ``kept`` and ``own`` (hash of the text).
 
     Links are pairs whose sets overlap by ``percent`` of their union; a bigint (or int) ``key``.
     """
@@ -196,14 +197,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", percent: int = 80) ->
     confirm = _confirm(looks, sets, percent)
     components = link_buckets(shared, confirm, lambda open_: _prefix_pairs(open_, sets, percent))
     placed = labelled(classes.filter("class IS NOT NULL"), components, "class")
-    joined = keyed_join(described.select("id", "n", "digest"), placed.select("digest", "component"), ["digest"], "left")
+    joined = keyed_join(described.select("id", "own", "n", "digest"), placed.select("digest", "component"), ["digest"], "left")
     component = F.when(F.col("n") > 0, F.coalesce("component", "id")).otherwise(F.col("id"))
     return joined.select(
         F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"),
-        F.col("id").eqNullSafe(component).alias("kept"),
+        F.col("id").eqNullSafe(component).alias("kept"), "own",
     )
 
 
+def without_near_duplicates(docs: DataFrame, key: str = "doc_id", percent: int = 80) -> DataFrame:
+    """The documents of which one per component stays; rows that repeat id and text stay or go together."""
+    judged = near_duplicates(docs, key, percent).filter("NOT kept").select(F.col(key).alias("id"), "own")
+    dropped = materialize(judged.distinct(), "dropped")
+    spots = [F.col(key).cast("bigint"), text_key("text")]
+    clear, perhaps = sifted(docs, spots, dropped)
+    same = (spots[0] == dropped["id"]) & (spots[1] == dropped["own"])
+    return clear.unionByName(perhaps.join(dropped, same, "left_anti"))
+
+
 def _prefix_pairs(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of ``open_`` in different components that could overlap by ``percent``.
 

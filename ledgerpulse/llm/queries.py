@@ -84,7 +84,7 @@ def op8_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_minhash_components(spark: SparkSession, folder: str) -> DataFrame:
     """Component of near-equal texts of every document."""
-    return minhash.near_duplicates(read(spark, folder, "documents"), percent=85)
+    return minhash.near_duplicates(read(spark, folder, "documents"), percent=85).drop("own")
 
 
 def op10_toxicity_trees(spark: SparkSession, folder: str) -> DataFrame:

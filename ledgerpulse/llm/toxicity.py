@@ -155,16 +155,16 @@ class ToxicityModel:
     calibration: IsotonicRegressionModel | None
     base: float
 
-    def score(self, docs: DataFrame, keep: list[Column | str]) -> DataFrame:
-        """``keep`` and ``score`` (0 to 1) of every row."""
+    def score(self, docs: DataFrame, keep: list[Column | str], out: str = "score") -> DataFrame:
+        """``keep`` and ``out``, the score (0 to 1) of every row."""
         if self.trees is None:
-            return docs.select(*keep, F.lit(self.base).alias("score"))
+            return docs.select(*keep, F.lit(self.base).alias(out))
         rows = with_features(docs, self.lexicon, keep)
         names = [c for c in rows.columns if c not in {f"__{f}" for f in FEATURES}]
         scored = self.calibration.transform(_raw(self.trees, rows))
         # Isotonic steps are flat; a trace of the trees' own order keeps texts on one step apart.
         score = F.col("__calibrated") * 0.999 + F.col("__raw") * 0.001
-        return scored.select(*names, F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)).alias("score"))
+        return scored.select(*names, F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)).alias(out))
 
 
 def _assembled(rows: DataFrame) -> DataFrame:
