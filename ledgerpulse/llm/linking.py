@@ -10,15 +10,20 @@ holds a large part of all rows is spread over many tasks.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm.common import keyed_join
+from ledgerpulse.llm.common import arrow_schema, keyed_join
 from ledgerpulse.llm.components import connected_components, labelled
 from ledgerpulse.sources.workspace import materialize
 
+#: Rows of one bucket that a task holds while it sorts buckets out.
+_HELD = 1 << 16
+
 
 def shared_members(members: DataFrame) -> DataFrame:
     """``bucket``, ``id`` and ``centre`` (smallest id) for the buckets with more than one id."""
@@ -29,6 +34,54 @@ def shared_members(members: DataFrame) -> DataFrame:
     return keyed_join(members, centres, ["bucket"])
 
 
+def sorted_members(members: DataFrame, more: str) -> DataFrame:
+    """The same from one shuffle, for members with further columns ``more`` (a schema in words).
+
+    Members are sorted over all partitions by bucket and id, so a large bucket lies in several; the centre of a member is
+    the first of its bucket in its own partition. The first and last bucket of a partition are kept
+    even with one member, as others may lie next door.
+    """
+    names = ["bucket", "id", *(c.split()[0] for c in more.split(", "))]
+    target = arrow_schema(f"bucket bigint, id bigint, {more}, centre bigint")
+
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending: pa.Table | None = None  # rows whose bucket may go on
+        first = True
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if pending is not None:
+                table = pa.concat_tables([pending, table])
+            bucket = table["bucket"].to_numpy()
+            # The centre of the open bucket stands for its earlier rows.
+            cut = int(np.searchsorted(bucket, bucket[-1], "left")) if len(bucket) else 0
+            made = _centred(table.slice(0, cut), first, False)
+            if cut:
+                yield from made.cast(target).to_batches()
+                first = False
+            pending = table.slice(cut)
+            if len(pending) > _HELD:  # a bucket larger than that gives its rows away with the centre known so far
+                yield from _centred(pending, True, True).cast(target).to_batches()
+                pending = pending.slice(0, 1)
+        if pending is not None and len(pending):
+            yield from _centred(pending, first, True).cast(target).to_batches()
+
+    ordered = members.select(*names).repartitionByRange("bucket", "id").sortWithinPartitions("bucket", "id")
+    return ordered.mapInArrow(gathered, f"bucket bigint, id bigint, {more}, centre bigint")
+
+
+def _centred(table: pa.Table, first: bool, last: bool) -> pa.Table:
+    """Rows of sorted buckets with their first id; buckets of one row only at the edges asked for."""
+    bucket = table["bucket"].to_numpy()
+    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
+    sizes = np.diff(np.r_[starts, len(bucket)])
+    centre = np.repeat(table["id"].to_numpy()[starts], sizes)
+    keep = np.repeat(sizes > 1, sizes)
+    if len(bucket):
+        keep[: sizes[0]] |= first
+        keep[len(bucket) - sizes[-1] :] |= last
+    return table.append_column("centre", pa.array(centre, pa.int64())).filter(pa.array(keep))
+
+
 def cross_pairs(open_: DataFrame) -> DataFrame:
     """Pairs (``a`` > ``b``) that share a bucket but no component; those with the centre were tried before."""
     left = open_.select("bucket", F.col("id").alias("a"), F.col("component").alias("ca"))
@@ -44,6 +97,7 @@ def link_buckets(
     ``shared`` is a stored result of ``shared_members``. ``rest`` makes the candidates of the second
     round from the members (``bucket``, ``id``, ``centre``, ``component``) of buckets with several components.
     """
+    # A centre may occur twice in a bucket that was given away in parts; pairs are distinct all the same.
     stars = shared.filter("id > centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
     links = materialize(confirm(materialize(stars, "stars")), "links")
     first = connected_components(links)
