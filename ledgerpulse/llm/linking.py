@@ -23,6 +23,8 @@ from ledgerpulse.sources.workspace import materialize
 
 #: Rows of one bucket that a task holds while it sorts buckets out.
 _HELD = 1 << 16
+#: Rows of a bucket up to which all are tried against all while it passes by.
+_TRIED = 32
 
 
 def shared_members(members: DataFrame) -> DataFrame:
@@ -34,12 +36,13 @@ def shared_members(members: DataFrame) -> DataFrame:
     return keyed_join(members, centres, ["bucket"])
 
 
-def sorted_members(members: DataFrame, more: str) -> DataFrame:
+def sorted_members(members: DataFrame, more: str, close: Callable[[pa.Table, pa.Table], np.ndarray]) -> DataFrame:
     """The same from one shuffle, for members with further columns ``more`` (a schema in words).
 
     Members are sorted over all partitions by bucket and id, so a large bucket lies in several; the centre of a member is
-    the first of its bucket in its own partition. The first and last bucket of a partition are kept
-    even with one member, as others may lie next door.
+    the first of its bucket in its own partition. ``close`` says for rows side by side whether they could be a
+    pair; a member that is close to no other of its bucket is left out where the bucket is small enough to
+    tell. The first and last bucket of a partition are kept whole, as others of theirs may lie next door.
     """
     names = ["bucket", "id", *(c.split()[0] for c in more.split(", "))]
     target = arrow_schema(f"bucket bigint, id bigint, {more}, centre bigint")
@@ -54,32 +57,45 @@ def sorted_members(members: DataFrame, more: str) -> DataFrame:
             bucket = table["bucket"].to_numpy()
             # The centre of the open bucket stands for its earlier rows.
             cut = int(np.searchsorted(bucket, bucket[-1], "left")) if len(bucket) else 0
-            made = _centred(table.slice(0, cut), first, False)
+            made = _centred(table.slice(0, cut), first, False, close)
             if cut:
                 yield from made.cast(target).to_batches()
                 first = False
             pending = table.slice(cut)
             if len(pending) > _HELD:  # a bucket larger than that gives its rows away with the centre known so far
-                yield from _centred(pending, True, True).cast(target).to_batches()
+                yield from _centred(pending, True, True, close).cast(target).to_batches()
                 pending = pending.slice(0, 1)
         if pending is not None and len(pending):
-            yield from _centred(pending, first, True).cast(target).to_batches()
+            yield from _centred(pending, first, True, close).cast(target).to_batches()
 
     ordered = members.select(*names).repartitionByRange("bucket", "id").sortWithinPartitions("bucket", "id")
     return ordered.mapInArrow(gathered, f"bucket bigint, id bigint, {more}, centre bigint")
 
 
-def _centred(table: pa.Table, first: bool, last: bool) -> pa.Table:
-    """Rows of sorted buckets with their first id; buckets of one row only at the edges asked for."""
+def _centred(table: pa.Table, first: bool, last: bool, close: Callable[[pa.Table, pa.Table], np.ndarray]) -> pa.Table:
+    """Rows of sorted buckets with their first id, without those that are close to none of their bucket.
+
+    Buckets of more than ``_TRIED`` rows, and the first and last if asked for, are kept whole.
+    """
     bucket = table["bucket"].to_numpy()
-    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
-    sizes = np.diff(np.r_[starts, len(bucket)])
-    centre = np.repeat(table["id"].to_numpy()[starts], sizes)
-    keep = np.repeat(sizes > 1, sizes)
-    if len(bucket):
+    n = len(bucket)
+    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if n else np.zeros(0, np.int64)
+    sizes = np.diff(np.r_[starts, n])
+    keep = np.repeat(sizes > _TRIED, sizes)
+    for step in range(1, min(_TRIED, max(sizes, default=1))):
+        here = np.flatnonzero(bucket[step:] == bucket[:-step])
+        if not len(here):
+            break
+        near = here[close(table.take(pa.array(here)), table.take(pa.array(here + step)))]
+        keep[near] = keep[near + step] = True
+    if n:
         keep[: sizes[0]] |= first
-        keep[len(bucket) - sizes[-1] :] |= last
-    return table.append_column("centre", pa.array(centre, pa.int64())).filter(pa.array(keep))
+        keep[n - sizes[-1] :] |= last
+    table = table.filter(pa.array(keep))
+    bucket, ids = table["bucket"].to_numpy(), table["id"].to_numpy()
+    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
+    centre = np.repeat(ids[starts], np.diff(np.r_[starts, len(bucket)]))
+    return table.append_column("centre", pa.array(centre, pa.int64()))
 
 
 def cross_pairs(open_: DataFrame) -> DataFrame:
