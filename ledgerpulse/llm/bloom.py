@@ -7,7 +7,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
@@ -93,10 +92,10 @@ def sieve(keys: DataFrame) -> Level:
 
 
 def _passes(shared: Broadcast) -> Callable[..., Column]:
-    @F.pandas_udf("boolean")
-    def hit(h1: pd.Series, h2: pd.Series) -> pd.Series:
-        h = np.column_stack([h1.to_numpy().view(np.uint64), h2.to_numpy().view(np.uint64)])
-        return pd.Series(shared.value.passes(h))
+    @F.arrow_udf("boolean")
+    def hit(h1: pa.Array, h2: pa.Array) -> pa.Array:
+        h = np.column_stack([x.to_numpy(zero_copy_only=False).view(np.uint64) for x in (h1, h2)])
+        return pa.array(shared.value.passes(h))
 
     return hit
 

@@ -61,6 +61,7 @@ def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], dict | None], sche
                     for v, f in ((made[f.name], f) for f in target)
                 ]
                 yield pa.RecordBatch.from_arrays(columns, schema=target)
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

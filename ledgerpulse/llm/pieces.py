@@ -51,7 +51,7 @@ _OWN_BLANK = "\udfff"
 #: Characters of a chunk, and chunks of a block of the scan.
 CHUNK, BLOCK = 32768, 64
 #: Units that a task remembers before it starts afresh.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
 NONE = -math.inf
 
 

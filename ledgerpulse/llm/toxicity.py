@@ -96,12 +96,12 @@ def features(text: bytes | None, lexicon: Lexicon) -> list[float]:
         peak = max(peak, last - first + 1)
     letters = max(1, sum(map(data.count, (b"e", b"a", b"n", b"t"))) * 3)
     size = max(1, len(data))
-    capitals = size - len(data.translate(None, _UPPER))
+    capitals = len(data) - len(data.translate(None, _UPPER))
     return [
         math.log1p(len(words)), exact / n, (len(hits) - exact) / n, max(0, len(hidden) - len(hits)) / n,
         math.log1p(len(hits)), float(peak), near / n, second / n, capitals / letters,
         sum(1 for w in data.split() if len(w) > 3 and w.isupper()) / n if capitals > n / 4 else 0.0,
-        data.count(b"!") / n, data.count(b"?") / n, (size - len(data.translate(None, _MARKS))) / size,
+        data.count(b"!") / n, data.count(b"?") / n, (len(data) - len(data.translate(None, _MARKS))) / size,
         len(_MIXED.findall(data)) / n, len(_DRAWN.findall(data)) / n,
     ]
 
