@@ -5,13 +5,14 @@ helpers here cut the order into cells of bounded size first:
 
 * split points come from ``percentile_approx``; they only balance the work, so
   their error never reaches a result;
-* a value that is itself a split point may be shared by very many rows, so its
-  cell is cut again along the unique key;
+* a value that is several split points is shared by very many rows, so its cell is
+  cut again along the unique key, into about as many parts;
 * rows per cell are counted, and the counts are summed up over the cells (a
   table bounded by the number of cells, whatever the input size);
 * only then are rows ordered, each inside its own cell.
 
-A table of at most `SMALL` rows, counted in the first pass, is a single cell.
+The number of cells follows the counted rows (their 0.4th power), so both the list of cells and the rows of a
+cell stay small against the table, and every size takes the same path.
 
 Most callers do not need a rank per row, only the rows that sit at a few ranks
 (`order_statistics`). Finding those moves a few cells, never the table, and the
@@ -21,22 +22,21 @@ a bounded number of values (split points, cut rows) to the driver; everything
 returned as a DataFrame is lazy.
 
 The input is read a few times: hand over a stored table, or an expensive
-intermediate through `sources.workspace.materialize`. Value and key must not be
-NULL.
+intermediate through `sources.workspace.materialize`. Rows without a value are
+set aside: they are not counted, have no rank and no bucket. The key must not be NULL.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SMALL = 250_000
-
-
 @dataclass(frozen=True)
 class RankedRow:
     """The row found at ``rank`` (from 1) among the rows of ``group``."""
@@ -61,40 +61,43 @@ def _literal(x: object, type_: str) -> Column:
 
 @dataclass(frozen=True)
 class _Cells:
-    """Split points for ``value`` and ``key``; without any, all rows are one cell."""
+    """Split points for ``value`` and ``key``, and how often each split point of ``value`` came up."""
 
     value: str
     key: str | None
     points: list
+    repeats: list[int]
     key_points: list
 
     def add_to(self, df: DataFrame) -> DataFrame:
         """Add ``_cell`` and ``_sub``; ordering by both never contradicts (value, key)."""
         out = _locate(df, self.value, self.points, "_cell")
-        if self.key is None or not self.points:
+        if self.key is None or max(self.repeats, default=1) == 1 or not self.key_points:
             return out.withColumn("_sub", F.lit(0))
-        # Odd cells hold a single value; only those can be cut along the key.
-        inside = F.when(F.col("_cell") % 2 == 1, F.col("_key_cell")).otherwise(0)
-        return _locate(out, self.key, self.key_points, "_key_cell").withColumn("_sub", inside).drop("_key_cell")
+        # Odd cells hold a single value; those of a repeated split point are cut along the key.
+        strides = F.array(*[F.lit(2 * math.ceil(len(self.key_points) / r) if r > 1 else 0) for r in self.repeats])
+        stride = F.when(F.col("_cell") % 2 == 1, F.nullif(F.get(strides, F.expr("_cell div 2")), F.lit(0)))
+        cut = _locate(out.withColumn("_stride", stride), self.key, self.key_points, "_key_cell")
+        return cut.withColumn("_sub", F.coalesce(F.expr("_key_cell div _stride"), F.lit(0))).drop("_key_cell", "_stride")
 
 
-def _cell_count(df: DataFrame) -> int:
-    """A few cells per shuffle partition the session is tuned for, so that they even out."""
-    return min(4096, max(64, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+def _cell_count(rows: int) -> int:
+    """40 cells of 250 rows for 10 thousand, 4 thousand of 250 thousand for a billion."""
+    return max(2, math.ceil(rows**0.4))
 
 
-def _make_cells(
-    df: DataFrame, value: str, key: str | None, cells: int | None, small: int | None
-) -> tuple[_Cells, int]:
-    """Cells of bounded size and the total weight, from one pass."""
-    cells = cells or _cell_count(df)
+def _make_cells(df: DataFrame, value: str, key: str | None, cells: int | None) -> tuple[_Cells, int]:
+    """Cells and the total weight, from a count and a pass for the split points."""
+    rows, n = df.agg(F.count(F.lit(1)), F.coalesce(F.sum("_w"), F.lit(0))).first()
+    if not rows:
+        return _Cells(value, key, [], [], []), 0
+    cells = cells or _cell_count(rows)
     steps = [i / cells for i in range(1, cells)]
     quantiles = [F.percentile_approx(c, steps, max(10_000, 8 * cells)) for c in (value, key) if c]
-    rows, n, *points = df.agg(F.count(F.lit(1)), F.coalesce(F.sum("_w"), F.lit(0)), *quantiles).first()
-    if rows <= (SMALL if small is None else small):
-        points = []
-    unique = [sorted(set(p)) for p in points if p]
-    return _Cells(value, key, *(unique + [[], []])[:2]), n
+    found = df.agg(*quantiles).first()
+    points = sorted(Counter(found[0]).items())
+    key_points = sorted(set(found[1])) if key else []
+    return _Cells(value, key, [p for p, _ in points], [r for _, r in points], key_points), n
 
 
 def _locate(df: DataFrame, c: str, points: list, out: str) -> DataFrame:
@@ -131,7 +134,8 @@ def _cell_ends(celled: DataFrame, group: Sequence[str] = ()) -> DataFrame:
 
 def _weighted(df: DataFrame, value: str, key: str | None, group: Sequence[str] = ()) -> DataFrame:
     """The columns that matter for an order, each row with weight one."""
-    return df.select(*group, value, *([key] if key else []), F.lit(1).cast("bigint").alias("_w"))
+    known = df.filter(F.col(value).isNotNull())
+    return known.select(*group, value, *([key] if key else []), F.lit(1).cast("bigint").alias("_w"))
 
 
 def order_statistics(
@@ -140,7 +144,6 @@ def order_statistics(
     ranks: Callable[[int], Sequence[int]],
     key: str | None = None,
     cells: int | None = None,
-    small: int | None = None,
 ) -> list[RankedRow]:
     """The rows at the wanted ranks of the order (``value``, ``key``), by position in ``ranks``.
 
@@ -148,7 +151,7 @@ def order_statistics(
     ``key=None`` only values come back, in any order of equal ones.
     """
     base = _weighted(df, value, key)
-    made, n = _make_cells(base, value, key, cells, small)
+    made, n = _make_cells(base, value, key, cells)
     return _rows_at(base, made, None, {None: (n, ranks(n))}) if n else []
 
 
@@ -159,11 +162,10 @@ def order_statistics_by(
     value: str,
     key: str,
     cells: int | None = None,
-    small: int | None = None,
 ) -> list[RankedRow]:
     """The same inside each group; ``wanted`` gives its size and ranks. Groups must be few."""
     base = _weighted(df, value, key, [group])
-    made, _ = _make_cells(base, value, key, cells, small)
+    made, _ = _make_cells(base, value, key, cells)
     return _rows_at(base, made, group, wanted)
 
 
@@ -171,33 +173,29 @@ def _rows_at(
     base: DataFrame, made: _Cells, group: str | None, wanted: Mapping[object, tuple[int, Sequence[int]]]
 ) -> list[RankedRow]:
     """Find the cells of the wanted ranks first, then the rows in those cells only."""
+    if not made.points:
+        return []
     groups = [group] if group else []
     places = [*groups, "_cell", "_sub"]
     celled = made.add_to(base)
     ranks = {g: list(enumerate(r)) for g, (_, r) in wanted.items()}
     at: dict[tuple, dict[int, list[tuple[int, int]]]] = {}
-    if made.points:
-        per_group = reduce(
-            lambda other, g: F.when(F.col(group) == F.lit(g) if group else F.lit(True), _ranks_literal(ranks[g])).otherwise(other),
-            ranks, F.lit(None),
-        )
-        hits = (
-            _cell_ends(celled, groups)
-            .withColumn("_rank", F.explode(per_group))
-            .filter((F.col("_rank") > F.col("_before")) & (F.col("_rank") <= F.col("_before") + F.col("_count")))
-            .distinct()
-            .collect()
-        )
-        for h in hits:
-            of_group = ranks[h[group] if group else None]
-            at.setdefault(tuple(h[c] for c in places), {})[h["_rank"] - h["_before"]] = [
-                (t, r) for t, r in of_group if r == h["_rank"]
-            ]
-    else:
-        for g, of_group in ranks.items():
-            for t, r in of_group:
-                place = ((g,) if group else ()) + (0, 0)
-                at.setdefault(place, {}).setdefault(r, []).append((t, r))
+    per_group = reduce(
+        lambda other, g: F.when(F.col(group) == F.lit(g) if group else F.lit(True), _ranks_literal(ranks[g])).otherwise(other),
+        ranks, F.lit(None),
+    )
+    hits = (
+        _cell_ends(celled, groups)
+        .withColumn("_rank", F.explode(per_group))
+        .filter((F.col("_rank") > F.col("_before")) & (F.col("_rank") <= F.col("_before") + F.col("_count")))
+        .distinct()
+        .collect()
+    )
+    for h in hits:
+        of_group = ranks[h[group] if group else None]
+        at.setdefault(tuple(h[c] for c in places), {})[h["_rank"] - h["_before"]] = [
+            (t, r) for t, r in of_group if r == h["_rank"]
+        ]
 
     rows = []
     type_ = base.schema[made.value].dataType.simpleString()
@@ -254,7 +252,7 @@ def after_cut(value: str, key: str, cut: RankedRow) -> Column:
 def bucket_by_cuts(value: str, key: str, cuts: Sequence[RankedRow]) -> Column:
     """Buckets 1..k: one more than the number of cut rows before the row."""
     above = [F.when(after_cut(value, key, c), 1).otherwise(0) for c in cuts]
-    return reduce(Column.__add__, above, F.lit(1))
+    return F.when(F.col(value).isNotNull(), reduce(Column.__add__, above, F.lit(1)))
 
 
 def ntile_ranks(n: int, tiles: int) -> list[int]:
@@ -269,23 +267,23 @@ def quantile_ranks(n: int, buckets: int) -> list[int]:
 
 
 def ntile_global(
-    df: DataFrame, value: str, key: str, tiles: int, out: str, cells: int | None = None, small: int | None = None
+    df: DataFrame, value: str, key: str, tiles: int, out: str, cells: int | None = None
 ) -> DataFrame:
     """``NTILE(tiles) OVER (ORDER BY value, key)``."""
-    cuts = order_statistics(df, value, lambda n: ntile_ranks(n, tiles), key, cells, small)
+    cuts = order_statistics(df, value, lambda n: ntile_ranks(n, tiles), key, cells)
     return df.withColumn(out, bucket_by_cuts(value, key, cuts))
 
 
 def equal_freq(
-    df: DataFrame, value: str, key: str, buckets: int, out: str, cells: int | None = None, small: int | None = None
+    df: DataFrame, value: str, key: str, buckets: int, out: str, cells: int | None = None
 ) -> DataFrame:
     """Quantile buckets 1..k of the rank: ``max(1, ceil(k * (rank - 1) / (n - 1)))``."""
-    cuts = order_statistics(df, value, lambda n: quantile_ranks(n, buckets), key, cells, small)
+    cuts = order_statistics(df, value, lambda n: quantile_ranks(n, buckets), key, cells)
     return df.withColumn(out, bucket_by_cuts(value, key, cuts))
 
 
 def quantile_edges(
-    df: DataFrame, value: str, buckets: int, cells: int | None = None, small: int | None = None
+    df: DataFrame, value: str, buckets: int, cells: int | None = None
 ) -> list[float]:
     """The k - 1 inner quantiles, linearly interpolated between neighbouring rows."""
 
@@ -293,7 +291,7 @@ def quantile_edges(
         low = quantile_ranks(n, buckets)
         return low + [min(r + 1, n) for r in low]
 
-    rows = {r.target: r for r in order_statistics(df, value, around, None, cells, small)}
+    rows = {r.target: r for r in order_statistics(df, value, around, None, cells)}
     edges = []
     for i in range(buckets - 1 if rows else 0):
         low, high = float(rows[i].value), float(rows[i + buckets - 1].value)
@@ -305,33 +303,30 @@ def quantile_edges(
 def bucket_by_edges(value: str, edges: Sequence[float]) -> Column:
     """Right-closed buckets 1..k: one more than the number of edges below the value."""
     above = [F.when(F.col(value).cast("double") > F.lit(e), 1).otherwise(0) for e in edges]
-    return reduce(Column.__add__, above, F.lit(1))
+    return F.when(F.col(value).isNotNull(), reduce(Column.__add__, above, F.lit(1)))
 
 
 def global_rank(
-    df: DataFrame, value: str, key: str, out: str = "rank", cells: int | None = None, small: int | None = None
+    df: DataFrame, value: str, key: str, out: str = "rank", cells: int | None = None
 ) -> DataFrame:
     """``ROW_NUMBER() OVER (ORDER BY value, key)`` for every row."""
-    made, _ = _make_cells(_weighted(df, value, key), value, key, cells, small)
-    if not made.points:
-        return df.withColumn(out, F.row_number().over(Window.orderBy(value, key)).cast("bigint"))
-    celled = made.add_to(df.withColumn("_w", F.lit(1).cast("bigint")))
+    made, _ = _make_cells(_weighted(df, value, key), value, key, cells)
+    celled = made.add_to(df.withColumn("_w", F.when(F.col(value).isNotNull(), 1).otherwise(0).cast("bigint")))
     before = _cell_ends(celled).select("_cell", "_sub", "_before")
-    in_cell = Window.partitionBy("_cell", "_sub").orderBy(value, key)
-    return celled.join(before, ["_cell", "_sub"]).select(
-        *df.columns, (F.col("_before") + F.row_number().over(in_cell)).alias(out)
-    )
+    upto = Window.partitionBy("_cell", "_sub").orderBy(value, key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rank = F.when(F.col("_w") == 1, F.col("_before") + F.sum("_w").over(upto))
+    return celled.join(before, ["_cell", "_sub"]).select(*df.columns, rank.alias(out))
 
 
 def running_totals(
-    df: DataFrame, value: str, sums: dict[str, Column], cells: int | None = None, small: int | None = None
+    df: DataFrame, value: str, sums: dict[str, Column], cells: int | None = None
 ) -> DataFrame:
     """Add ``name``: the sum of its expression over all rows with a smaller value.
 
     ``value`` must be unique (aggregate by it first, which also takes the weight
     out of a hot value).
     """
-    made, _ = _make_cells(df.select(value, F.lit(1).alias("_w")), value, None, cells, small)
+    made, _ = _make_cells(df.select(value, F.lit(1).alias("_w")), value, None, cells)
     celled = made.add_to(df)
     totals = celled.groupBy("_cell").agg(*[F.sum(e).alias(f"_t_{name}") for name, e in sums.items()])
     earlier = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio
 from ..functions.ordering import bucket_by_edges, quantile_edges, running_totals
+from ..sources.workspace import materialize
 
 
 def confusion(pred: DataFrame, label: str = "intent_name", predicted: str = "pred") -> DataFrame:
@@ -110,9 +111,10 @@ def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
     Rows are first counted per distinct score. The number of negatives below a
     score is then a running total over the scores, in whole numbers throughout.
     """
-    per_score = df.groupBy(score).agg(
+    per_score = df.filter(F.col(score).isNotNull()).groupBy(score).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) != 1).alias("_neg")
     )
+    per_score = materialize(per_score, "scores")
     ranked = running_totals(per_score, score, {"_below": F.col("_neg")})
     wide = "decimal(38,0)"
     twice = F.sum((F.col("_pos").cast("decimal(19,0)") * (2 * F.col("_below") + F.col("_neg")).cast("decimal(19,0)")).cast(wide))

@@ -26,33 +26,33 @@ def same(a, b):
 
 
 @pytest.mark.parametrize("value", ["hot", "ts", "money"])
-@pytest.mark.parametrize("cells,small", [(3, 0), (64, 0), (64, 10**6)])
-def test_rank_ntile_and_quantile_buckets(events, value, cells, small):
+@pytest.mark.parametrize("cells", [3, 64, None])
+def test_rank_ntile_and_quantile_buckets(events, value, cells):
     order = Window.orderBy(value, "event_id")
     n = events.count()
     want = events.select(
         "event_id", F.row_number().over(order).cast("bigint").alias("rank"), F.ntile(7).over(order).alias("tile"),
     ).withColumn("bucket", F.expr(f"greatest(1, ceil(10 * (rank - 1) / {n - 1}))").cast("int"))
-    got = O.ntile_global(events, value, "event_id", 7, "tile", cells, small)
-    got = O.equal_freq(got, value, "event_id", 10, "bucket", cells, small)
-    got = O.global_rank(got, value, "event_id", "rank", cells, small)
+    got = O.ntile_global(events, value, "event_id", 7, "tile", cells)
+    got = O.equal_freq(got, value, "event_id", 10, "bucket", cells)
+    got = O.global_rank(got, value, "event_id", "rank", cells)
     assert same(got.select("event_id", "rank", "tile", "bucket"), want)
 
 
-@pytest.mark.parametrize("cells,small", [(4, 0), (64, 10**6)])
+@pytest.mark.parametrize("cells", [4, None])
 @pytest.mark.parametrize("value", ["hot", "value"])
-def test_edges_are_interpolated_like_numpy(events, value, cells, small):
+def test_edges_are_interpolated_like_numpy(events, value, cells):
     values = [float(r[0]) for r in events.select(value).collect()]
     want = np.percentile(values, [10 * b for b in range(1, 10)])
-    assert O.quantile_edges(events, value, 10, cells, small) == pytest.approx(want, abs=1e-9)
+    assert O.quantile_edges(events, value, 10, cells) == pytest.approx(want, abs=1e-9)
 
 
-@pytest.mark.parametrize("cells,small", [(5, 0), (64, 10**6)])
-def test_running_totals(events, cells, small):
+@pytest.mark.parametrize("cells", [5, None])
+def test_running_totals(events, cells):
     per_value = events.groupBy("hot").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.orderBy("hot").rowsBetween(Window.unboundedPreceding, -1))
     want = per_value.withColumn("before", F.coalesce(before, F.lit(0)))
-    assert same(O.running_totals(per_value, "hot", {"before": F.col("n")}, cells, small), want)
+    assert same(O.running_totals(per_value, "hot", {"before": F.col("n")}, cells), want)
 
 
 def test_cut_rows_within_groups(events):
@@ -61,25 +61,40 @@ def test_cut_rows_within_groups(events):
     wanted = {g: (n, [1, n // 2, n]) for g, n in sizes.items()}
     order = Window.partitionBy("g").orderBy("hot", "event_id")
     ranked = {(r["g"], r["rn"]): r["event_id"] for r in grouped.withColumn("rn", F.row_number().over(order)).collect()}
-    for small in (0, 10**6):
-        rows = O.order_statistics_by(grouped, "g", wanted, "hot", "event_id", 8, small)
-        assert len(rows) == 9
-        assert all(ranked[r.group, r.rank] == r.key for r in rows)
+    rows = O.order_statistics_by(grouped, "g", wanted, "hot", "event_id", 8)
+    assert len(rows) == 9
+    assert all(ranked[r.group, r.rank] == r.key for r in rows)
 
 
 def test_result_does_not_depend_on_partitions(events):
-    one = O.ntile_global(events.coalesce(1), "hot", "event_id", 5, "t", 16, 0).select("event_id", "t")
-    many = O.ntile_global(events.repartition(13), "hot", "event_id", 5, "t", 16, 0).select("event_id", "t")
+    one = O.ntile_global(events.coalesce(1), "hot", "event_id", 5, "t", 16).select("event_id", "t")
+    many = O.ntile_global(events.repartition(13), "hot", "event_id", 5, "t", 16).select("event_id", "t")
     assert same(one, many)
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3])
 def test_fewer_rows_than_buckets(spark, n):
     rows = spark.range(n).select("id", F.col("id").alias("v"))
-    for small in (0, 10):
-        assert sorted(r["t"] for r in O.ntile_global(rows, "v", "id", 4, "t", 4, small).collect()) == list(range(1, n + 1))
-        buckets = sorted(r["b"] for r in O.equal_freq(rows, "v", "id", 10, "b", 4, small).collect())
-        assert buckets == [max(1, -(-10 * i // (n - 1))) if n > 1 else 1 for i in range(n)]
+    assert sorted(r["t"] for r in O.ntile_global(rows, "v", "id", 4, "t").collect()) == list(range(1, n + 1))
+    buckets = sorted(r["b"] for r in O.equal_freq(rows, "v", "id", 10, "b").collect())
+    assert buckets == [max(1, -(-10 * i // (n - 1))) if n > 1 else 1 for i in range(n)]
+
+
+def test_rows_without_a_value_are_set_aside(spark):
+    rows = spark.range(40).select("id", F.when(F.col("id") % 4 > 0, F.col("id") * 1.0).alias("v"))
+    out = O.global_rank(O.ntile_global(rows, "v", "id", 3, "t", 4), "v", "id", "rank", 4).collect()
+    assert all(r["rank"] is None and r["t"] is None for r in out if r["v"] is None)
+    assert sorted(r["rank"] for r in out if r["v"] is not None) == list(range(1, 31))
+    assert len(O.quantile_edges(rows, "v", 5)) == 4
+
+
+def test_only_values_shared_by_many_rows_are_cut_along_the_key(spark):
+    rows = spark.range(4000).select("id", F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("v"), F.lit(1).alias("_w"))
+    made, n = O._make_cells(rows, "v", "id", 20)
+    cells = made.add_to(rows).groupBy("_cell", "_sub").count().toPandas()
+    hot = 2 * made.points.index(7) + 1
+    assert n == 4000 and set(cells[cells._sub > 0]._cell) == {hot}
+    assert len(cells) <= 3 * 20 and cells["count"].max() <= 3 * n / 20
 
 
 @settings(max_examples=200, deadline=None)

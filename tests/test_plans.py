@@ -84,15 +84,13 @@ def test_without_broadcast_joins(spark, tables):
 
 @pytest.mark.parametrize("name", ORDERED)
 def test_same_rows_with_many_cells(spark, tables, name, monkeypatch):
-    """No table counts as small, so every global order goes through the cells."""
-    monkeypatch.setattr(ordering, "SMALL", 0)
+    """The result does not depend on the number of cells."""
+    monkeypatch.setattr(ordering, "_cell_count", lambda rows: 100)
     df = contract.queries()[name](spark, tables)
     assert oracle.compare(df, oracle.connect(tables), contract.oracle_sql()[name]) == []
 
 
-@pytest.mark.parametrize("small", [0, 10**6])
-def test_session_time_zone_does_not_matter(spark, tables, monkeypatch, small):
-    monkeypatch.setattr(ordering, "SMALL", small)
+def test_session_time_zone_does_not_matter(spark, tables):
     con = oracle.connect(tables)
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
@@ -102,13 +100,18 @@ def test_session_time_zone_does_not_matter(spark, tables, monkeypatch, small):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_rank_of_a_large_table_has_no_single_task(spark, tables, monkeypatch):
-    monkeypatch.setattr(ordering, "SMALL", 0)
+def test_rank_has_no_single_task(spark, tables):
     ranked = ordering.global_rank(data.table(spark, tables, "events"), "ts", "event_id")
-    windows = re.findall(r"Window \[row_number.*?\], \[(.*?)\], \[", plan(ranked))
+    windows = re.findall(r"Window \[.*?\], \[(.*?)\], \[", plan(ranked))
     assert windows and all("_cell" in w for w in windows)
 
 
+def test_no_cross_join_in_the_area_under_the_curve(spark, tables):
+    df = contract.queries()["ev_confidence_auc"](spark, tables)
+    df.collect()
+    assert "BroadcastNestedLoopJoin" not in plan(df) and "Cartesian" not in plan(df)
+
+
 def test_hot_keys(spark):
     """One customer and one product with a third of all lines change nothing but counts."""
     lines = spark.range(3000).select(
