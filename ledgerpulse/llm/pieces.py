@@ -11,8 +11,8 @@ pieces back. Matrices are a small part of the text, and a group holds those of o
 
 Where no piece can reach across a place (before a blank that follows another character, and on either side of a
 character that only stands alone) every segmentation has a border there. Units between such places are
-segmented once per task and remembered, and a chunk's matrix is made from its first and last unit and the sum over
-those in between.
+segmented once per task and remembered; a chunk's matrix and map are made from its first and last unit and the sum over
+those in between, and only these two are traced anew.
 
 A file of the unigram kind has log probabilities for scores, taken as they are. One of the BPE kind has merge
 ranks; a piece of rank r is then given the log of Zipf's share 1 / (1 + r), in units of 1/1024 rounded to
@@ -50,8 +50,8 @@ BLANK = "▁"
 _OWN_BLANK = "\udfff"
 #: Characters of a chunk, and chunks of a block of the scan.
 CHUNK, BLOCK = 32768, 64
-#: Units that a task remembers before it starts afresh.
-REMEMBERED = 1 << 17
+#: Units that a task remembers before it puts them by; those put by are kept until the next time.
+REMEMBERED = 1 << 16
 NONE = -math.inf
 
 
@@ -66,9 +66,10 @@ class Vocabulary:
     prefix: bool
     penalty: float = 10.0
     _units: dict = field(default_factory=dict, compare=False, repr=False)
+    _older: dict = field(default_factory=dict, compare=False, repr=False)
 
     def __getstate__(self) -> dict:
-        return {k: self.__dict__[k] for k in ("ids", "scores", "bytes_", "unknown", "prefix", "penalty")} | {"_units": {}}
+        return {k: self.__dict__[k] for k in ("ids", "scores", "bytes_", "unknown", "prefix", "penalty")} | {"_units": {}, "_older": {}}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -169,8 +170,10 @@ class Vocabulary:
         """Ids and score of a unit."""
         found = self._units.get(unit)
         if found is None:
-            found = self._best(unit)
+            found = self._older.get(unit) or self._best(unit)
             if len(self._units) >= REMEMBERED:
+                self._older.clear()
+                self._older.update(self._units)
                 self._units.clear()
             self._units[unit] = found
         return found
@@ -226,9 +229,17 @@ def load_vocabulary(path: str = MODEL) -> Vocabulary:
     return Vocabulary({sp.id_to_piece(i): i for i in plain}, scores, bytes_, sp.unk_id(), spec.add_dummy_prefix, penalty)
 
 
-def _borders(v: Vocabulary, text: str, lead: int) -> list[int]:
-    """Places from ``lead`` on that no piece reaches across; the ends of the text are not known to be such."""
-    return [m.start() for m in v.unit.finditer(text) if m.start() >= max(1, lead)]
+def _parted(v: Vocabulary, text: str, lead: int) -> tuple[int, int, list[str]] | None:
+    """The first and the last place from ``lead`` on that no piece reaches across, and the units between them.
+
+    The ends of the text are not known to be such places.
+    """
+    units = v.unit.findall(text)
+    at = first = 0
+    while first < len(units) and at < max(1, lead):
+        at += len(units[first])
+        first += 1
+    return (at, len(text) - len(units[-1]), units[first:-1]) if first < len(units) else None
 
 
 def transfer(v: Vocabulary, text: str, lead: int) -> np.ndarray:
@@ -237,9 +248,8 @@ def transfer(v: Vocabulary, text: str, lead: int) -> np.ndarray:
     A state is the distance back to the last border. ``text`` begins ``lead`` characters before the chunk.
     """
     k, end = v.longest, len(text)
-    borders = _borders(v, text, lead)
     out = np.full((k, k), NONE)
-    head_end, tail_start = (borders[0], borders[-1]) if borders else (end, None)
+    head_end, tail_start, units = _parted(v, text, lead) or (end, None, [])
     heads = []
     for state in range(k):
         if state > lead:
@@ -251,7 +261,7 @@ def transfer(v: Vocabulary, text: str, lead: int) -> np.ndarray:
             if best:
                 out[state, : min(k, end - lead + 1)] = best[end : max(lead, end - k + 1) - 1 if max(lead, end - k + 1) else None : -1][:k]
         return _closed(out, lead, end, k)
-    middle = sum(v.segment(u)[1] for u in v.unit.findall(text[head_end:tail_start]))
+    middle = sum(v.segment(u)[1] for u in units)
     tail = v.forward(text, {tail_start: 0.0}, tail_start, end)[0]
     ends = np.full(k, NONE)
     for state in range(min(k, end - tail_start + 1)):
@@ -274,20 +284,30 @@ def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a[:, :, None] + b[None, :, :]).max(axis=1)
 
 
-def backward(v: Vocabulary, text: str, lead: int, entry: np.ndarray) -> tuple[list[int], list[int]]:
-    """For each state at the end, the state at the start it is reached from; and where pieces began."""
-    first = {lead - s: float(x) for s, x in enumerate(entry) if x != NONE and s <= lead}
-    best, back = v.forward(text, dict(sorted(first.items())), lead, len(text))
-    out = []
-    for state in range(v.longest):
-        at = len(text) - state
-        if at < lead or best[at] == NONE:
-            out.append(-1)
-            continue
-        while at > lead:
-            at = back[at]
-        out.append(lead - at)
-    return out, back
+def _entered(entry: np.ndarray, lead: int) -> dict[int, float]:
+    """Places and scores of the borders that the states at a chunk's start stand for."""
+    return {lead - s: float(entry[s]) for s in range(min(lead, len(entry) - 1), -1, -1) if entry[s] != NONE}
+
+
+def _origin(back: list[int], lead: int, at: int) -> int:
+    """The state at the chunk's start from which the border at ``at`` is reached."""
+    while at > lead:
+        at = back[at]
+    return lead - at
+
+
+def backward(v: Vocabulary, text: str, lead: int, entry: np.ndarray) -> list[int]:
+    """For each state at the end, the state at the start it is reached from, or -1."""
+    end, parted = len(text), _parted(v, text, lead)
+    best, back = v.forward(text, _entered(entry, lead), lead, parted[0] if parted else end)
+    places = [end - state for state in range(v.longest)]
+    if not parted:
+        return [_origin(back, lead, at) if at >= lead and best[at] != NONE else -1 for at in places]
+    head_end, tail_start, _ = parted
+    # Every segmentation has a border where the head ends, so all states at the end come from one at the start.
+    origin = _origin(back, lead, head_end) if best[head_end] != NONE else -1
+    tail = v.forward(text, {tail_start: 0.0}, tail_start, end)[0]
+    return [origin if at >= tail_start and tail[at] != NONE else -1 for at in places]
 
 
 def _split(v: Vocabulary, size: int) -> Callable[[pa.RecordBatch], dict]:
@@ -314,7 +334,7 @@ def _each(rows: DataFrame, shared: Broadcast, work: Callable[[Vocabulary, dict],
 
     def run(batch: pa.RecordBatch) -> dict:
         made = [work(shared.value, row | {"part": row["part"].decode("utf-8", "surrogatepass")}) for row in batch.to_pylist()]
-        return {c: batch.column(c) for c in names} | {out.split()[0]: made}
+        return {c: batch.column(c) for c in names} | {out.split()[0]: _lists(made) if out.endswith("array<int>") else made}
 
     return arrow_map(rows, run, f"{keep}, {out}")
 
@@ -390,9 +410,17 @@ def _exits(maps: DataFrame) -> DataFrame:
 
 def _traced(v: Vocabulary, row: dict) -> list[int]:
     """Ids of the pieces that end in the chunk, up to the state it leaves in."""
-    text, lead = row["part"], row["lead"]
-    back = backward(v, text, lead, np.array(row["entry"]))[1]
-    return v.spelled(_trace(text, back, lead, len(text) - row["leave"]))
+    text, lead, stop = row["part"], row["lead"], len(row["part"]) - row["leave"]
+    parted = _parted(v, text, lead)
+    back = v.forward(text, _entered(np.array(row["entry"]), lead), lead, parted[0] if parted else len(text))[1]
+    if not parted:
+        return v.spelled(_trace(text, back, lead, stop))
+    head_end, tail_start, units = parted
+    ids = v.spelled(_trace(text, back, lead, head_end))
+    for unit in units:
+        ids += v.segment(unit)[0]
+    back = v.forward(text, {tail_start: 0.0}, tail_start, len(text))[1]
+    return ids + v.spelled(_trace(text, back, tail_start, stop))
 
 
 def encode_giants(texts: DataFrame, vocabulary: Broadcast, size: int) -> DataFrame:
@@ -405,7 +433,7 @@ def encode_giants(texts: DataFrame, vocabulary: Broadcast, size: int) -> DataFra
     matrices = materialize(matrices.select("*", block), "matrices")
     entries = materialize(_entries(matrices, k), "entries")
     entered = chunks.join(entries, ["rid", "no"])
-    maps = _each(entered, vocabulary, lambda v, row: backward(v, row["part"], row["lead"], np.array(row["entry"]))[0], "rid bigint, no int", "map array<int>")
+    maps = _each(entered, vocabulary, lambda v, row: backward(v, row["part"], row["lead"], np.array(row["entry"])), "rid bigint, no int", "map array<int>")
     exits = materialize(_exits(materialize(maps.select("*", block), "maps")), "exits")
     traced = _each(entered.join(exits, ["rid", "no"]), vocabulary, _traced, "rid bigint, no int", "ids array<int>")
     # The best score of the whole text: the last chunk's entry against its matrix, in state 0.
@@ -450,6 +478,16 @@ def _lists(values: list[list[int] | None]) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(flat), mask=mask)
 
 
+def _id_lists(column: pa.ListArray) -> list[list[int] | None]:
+    """The reverse: lists cut from one, without an Arrow scalar per id on the way."""
+    if column.values.null_count:
+        return column.to_pylist()
+    ends = column.offsets.to_numpy()
+    flat = column.values.slice(ends[0], ends[-1] - ends[0]).to_numpy().tolist()
+    at = (ends - ends[0]).tolist()
+    return [flat[a:b] if valid else None for a, b, valid in zip(at, at[1:], column.is_valid().to_pylist())]
+
+
 def decode(rows: DataFrame, path: str = MODEL, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """The rows with the text of ``ids``."""
     shared = rows.sparkSession.sparkContext.broadcast(load_vocabulary(path))
@@ -457,7 +495,7 @@ def decode(rows: DataFrame, path: str = MODEL, ids: str = "ids", out: str = "dec
 
     def decoded(batch: pa.RecordBatch) -> dict:
         v = shared.value
-        texts = [None if x is None else v.decode(x) for x in batch.column(ids).to_pylist()]
+        texts = [None if x is None else v.decode(x) for x in _id_lists(batch.column(ids))]
         return {c: batch.column(c) for c in names} | {out: texts}
 
     return arrow_map(rows.drop(out), decoded, schema)
