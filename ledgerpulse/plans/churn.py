@@ -151,10 +151,14 @@ def fact_table(spark: SparkSession, d: str) -> DataFrame:
 
 
 def raw_csv_ingest(spark: SparkSession, d: str) -> DataFrame:
-    """The raw lines as one gzip export, read back and normalised."""
+    """The raw lines as a gzip export, some with quotes, commas and line breaks, read back and normalised."""
     path = fresh_path(spark, "raw.csv.gz")
     back = {model: raw for raw, model in tables.RAW_TO_MODEL.items()}
-    export = data.raw_invoices(spark, d).withColumnsRenamed(back).select(schemas.RAW_INVOICES.names)
+    broken = F.when(F.col("quantity") % 3 == 0, F.concat("description", F.lit('\n"boxed", new')))
+    export = (
+        data.raw_invoices(spark, d).withColumn("description", F.coalesce(broken, "description"))
+        .withColumnsRenamed(back).select(schemas.RAW_INVOICES.names)
+    )
     # Padding belongs to the data, so it must survive the file.
     export.write.option("header", True).option("compression", "gzip").option("escape", '"').option(
         "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
@@ -163,6 +167,7 @@ def raw_csv_ingest(spark: SparkSession, d: str) -> DataFrame:
         F.count(F.lit(1)).alias("rows"), F.count_distinct("customer_id").alias("customers"),
         F.count_if("is_cancellation").alias("cancellations"), F.sum("quantity").alias("units"),
         F.count("description").alias("described"),
+        F.count_if(F.col("description").endswith('\n"boxed", new')).alias("broken_lines"),
     )
 
 

@@ -264,20 +264,21 @@ def kpi_document(spark: SparkSession, d: str) -> DataFrame:
 # --- streams ------------------------------------------------------------------
 
 
-def _run_monitor(rows: DataFrame) -> DataFrame:
-    """Run the monitor until the input is used up; the table of judged windows."""
+def _run_monitor(rows: DataFrame, batch: DataFrame) -> DataFrame:
+    """Run the monitor until the input is used up; all windows judged, the open ones from the same rows as a batch."""
     spark = rows.sparkSession
     table, checkpoint = fresh_path(spark, "windows"), fresh_path(spark, "stream")
     query = monitor.start_monitor(monitor.window_stats(rows, "ts"), table, checkpoint, availableNow=True)
     query.awaitTermination()
-    return monitor.judged(spark, table)
+    return monitor.judged(spark, table, still_open=monitor.open_windows(batch, table, "ts"))
 
 
 def stream_events(spark: SparkSession, d: str) -> DataFrame:
     """Daily accuracy of the event stream with running-baseline alerts."""
-    schema = data.table(spark, d, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
-    return _run_monitor(data.classified_rows(events, F.col("ts") >= F.lit(DRIFT_DAY).cast("timestamp_ntz")))
+    stored = data.table(spark, d, "events")
+    events = spark.readStream.schema(stored.schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    drifted = F.col("ts") >= F.lit(DRIFT_DAY).cast("timestamp_ntz")
+    return _run_monitor(data.classified_rows(events, drifted), data.classified_rows(stored, drifted))
 
 
 def stream_documents(spark: SparkSession, d: str) -> DataFrame:
@@ -288,7 +289,7 @@ def stream_documents(spark: SparkSession, d: str) -> DataFrame:
     path = fresh_path(spark, "arrivals")
     rows.select("ts", "confidence", "correct").write.json(path)
     schema = rows.select("ts", "confidence", "correct").schema
-    return _run_monitor(monitor.read_documents(spark, path, schema))
+    return _run_monitor(monitor.read_documents(spark, path, schema), spark.read.schema(schema).json(path))
 
 
 QUERIES: dict[str, Query] = {

@@ -13,7 +13,7 @@ RAW_TO_MODEL = {"stockcode": "stock_code", "invoicedate": "invoice_date"}
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
-    """CSV with a header row and declared types, plain or compressed.
+    """CSV with a header row and declared types, plain or compressed; a cell that does not parse fails the read.
 
     ``multi_line`` accepts line breaks inside quotes, at the price of one task
     per file.
@@ -21,20 +21,25 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: boo
     return (
         spark.read.schema(schema)
         .option("header", True)
+        .option("mode", "FAILFAST")
         .option("escape", '"')
         .option("multiLine", multi_line)
         .csv(path)
     )
 
 
-def read_raw_invoices(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+def read_raw_invoices(
+    spark: SparkSession, path: str, multi_line: bool = True, partitions: int | None = None
+) -> DataFrame:
     """Raw invoice export under model column names.
 
-    One gzip file is one task, so its rows are dealt out again before any work.
+    Descriptions may hold quoted line breaks, so a file is one task, as a gzip file is anyway; without such
+    breaks ``multi_line=False`` lets plain files be split. ``partitions`` deals the rows of a few large files
+    out again before any work.
     """
-    raw = read_csv(spark, path, schemas.RAW_INVOICES)
-    if path.endswith(".gz"):
-        raw = raw.repartition(partitions or spark.sparkContext.defaultParallelism)
+    raw = read_csv(spark, path, schemas.RAW_INVOICES, multi_line)
+    if partitions:
+        raw = raw.repartition(partitions)
     return raw.withColumnsRenamed(RAW_TO_MODEL)
 
 

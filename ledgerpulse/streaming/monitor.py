@@ -2,7 +2,8 @@
 
 Statistics per tumbling event-time window, closed by a watermark; closed windows
 go to a table and are judged against the mean of all earlier windows there. A
-running mean over windows is no stream operation, hence the table.
+running mean over windows is no stream operation, hence the table. Windows that are still open can be judged
+with them, from the rows after the newest closed one.
 """
 
 from __future__ import annotations
@@ -64,6 +65,8 @@ def start_monitor(
     Each micro-batch owns a folder and overwrites it, so a batch that is run
     again after a failure leaves the same tables.
     """
+    empty = stats.sparkSession.createDataFrame([], STATS_SCHEMA)
+    empty.write.mode("ignore").parquet(f"{table_path}/batch_id=-1")  # a table to read before any window closes
 
     def merge(closed: DataFrame, batch_id: int) -> None:
         spark = closed.sparkSession
@@ -83,9 +86,30 @@ def start_monitor(
     )
 
 
-def judged(spark: SparkSession, table_path: str, max_drop_pp: float = 5) -> DataFrame:
-    """All closed windows with running baseline and alert."""
+def _closed(spark: SparkSession, table_path: str) -> DataFrame:
     stats = spark.read.schema(STATS_SCHEMA).parquet(table_path)
-    return running_baseline(
-        stats.select("window_start", "n", "accuracy_pct", "avg_confidence"), max_drop_pp, order="window_start"
-    )
+    return stats.select("window_start", "n", "accuracy_pct", "avg_confidence")
+
+
+def open_windows(
+    rows: DataFrame, table_path: str, event_time: str, correct: str = "correct", window: str = "1 day"
+) -> DataFrame:
+    """Statistics so far of the windows after the newest closed one, from the stream's rows read as a batch.
+
+    The start is a literal, so only the newest rows are read.
+    """
+    newest = _closed(rows.sparkSession, table_path).agg(F.max("window_start").cast("string")).first()[0]
+    if newest is not None:
+        end = F.lit(newest).cast("timestamp_ntz") + F.expr(f"INTERVAL {window}")
+        rows = rows.filter(F.col(event_time) >= end)
+    return window_stats(rows, event_time, correct, window)
+
+
+def judged(
+    spark: SparkSession, table_path: str, max_drop_pp: float = 5, still_open: DataFrame | None = None
+) -> DataFrame:
+    """All closed windows, and the open ones if given, with running baseline and alert."""
+    stats = _closed(spark, table_path).withColumn("closed", F.lit(True))
+    if still_open is not None:
+        stats = stats.unionByName(still_open.withColumn("closed", F.lit(False)))
+    return running_baseline(stats, max_drop_pp, order="window_start")

@@ -56,6 +56,24 @@ def test_raw_gzip_export(spark, tmp_path):
     assert [tuple(r) for r in star.customers.collect()] == [(13085, "United Kingdom")]
 
 
+HEADER = "invoice,stockcode,description,quantity,invoicedate,price,customer_id,country\n"
+
+
+def test_raw_export_keeps_quoted_line_breaks(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text(HEADER + '1,85048,"two\nlines, ""quoted""",12,2009-12-01 07:45:00,6.95,13085.0,France\n')
+    rows = tables.read_raw_invoices(spark, str(path)).collect()
+    assert [(r["description"], r["quantity"], r["customer_id"]) for r in rows] == [('two\nlines, "quoted"', 12, "13085.0")]
+
+
+@pytest.mark.parametrize("cells", ["3x,2009-12-01 07:45:00,6.95", "3,01/12/2009,6.95", "3,2009-12-01 07:45:00,free"])
+def test_raw_export_with_a_bad_cell_fails(spark, tmp_path, cells):
+    path = tmp_path / "raw.csv"
+    path.write_text(HEADER + f"1,85048,lamp,{cells},13085.0,France\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|FAILED_READ_FILE"):
+        tables.read_raw_invoices(spark, str(path)).collect()
+
+
 def test_csv_keeps_line_breaks(spark, tmp_path):
     df = spark.createDataFrame([('a\nb "c", d', "x")], schemas.UTTERANCES)
     tables.write_csv(df, str(tmp_path / "u"))

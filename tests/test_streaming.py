@@ -58,3 +58,19 @@ def test_restart_without_news_changes_nothing(spark, tmp_path, folder):
     before = monitor.judged(spark, f"{tmp_path}/stats").collect()
     run(spark, folder, tmp_path)
     assert monitor.judged(spark, f"{tmp_path}/stats").collect() == before and len(before) == 1
+
+
+def test_open_windows_are_judged_with_the_closed(spark, tmp_path, folder):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    batch = lambda: spark.read.schema(schema).json(str(folder))
+    table = f"{tmp_path}/stats"
+    put(spark, folder, "a", [(0, 1), (1, 1)])
+    run(spark, folder, tmp_path)
+    none_closed = monitor.judged(spark, table, still_open=monitor.open_windows(batch(), table, "ts")).collect()
+    assert [(r["window_start"], r["n"], r["closed"]) for r in none_closed] == [(DAY, 2, False)]
+    put(spark, folder, "b", [(26, 0), (27, 1)])
+    run(spark, folder, tmp_path)
+    rows = monitor.judged(spark, table, still_open=monitor.open_windows(batch(), table, "ts")).collect()
+    assert [(r["n"], r["accuracy_pct"], r["drift_alert"], r["closed"]) for r in rows] == [
+        (2, 100.0, None, True), (2, 50.0, True, False)
+    ]
