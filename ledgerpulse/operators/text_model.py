@@ -133,7 +133,3 @@ def intent_model(
     ).fit(indexer.transform(ready))
     back = IndexToString(inputCol="_prediction", outputCol="pred", labels=indexer.labels)
     return IntentModel(PipelineModel([*vectorise.stages, regression, back]), list(indexer.labels))
-
-
-def classify(model: IntentModel, df: DataFrame) -> DataFrame:
-    return model.classify(df)
