@@ -283,6 +283,37 @@ def test_any_number_of_blocks_meets_close_simhashes(spark):
         assert met.filter("NOT met").count() == 0
 
 
+def test_lines_with_replaced_words_against_edit_similarity_alone(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), rng.integers(3, 8)))
+    rows = []
+    for i in range(36):
+        line = [word() for _ in range((4, 8, 12, 20, 35, 50)[i % 6])]
+        copy = list(line)
+        for at in rng.choice(len(line), 1 + len(line) // 20, replace=False):
+            copy[at] = word()
+        rows += [(2 * i, " ".join(line)), (2 * i + 1, " ".join(copy))]
+    with monkeypatch.context() as patch:
+        patch.setattr(lines, "DIFFER", lines.BITS)  # any two SimHashes
+        first, group = brute_lines(rows)
+    want = {i for i, t in rows if group[first[lines.normalised(t.encode())]][1] == i}
+    assert len(want) < 50  # most of the 36 copies go
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r["doc_id"] for r in lines.dedup_lines(docs).filter("text <> ''").collect()} == want
+
+
+def test_short_lines_share_a_segment_key():
+    rng = np.random.default_rng(9)
+    for size in [*range(10, lines.EXACT + 1)] * 4:
+        a, edits = "".join(rng.choice(list("ab "), size)), size // 10
+        b = list(a)
+        for _ in range(edits):
+            at = int(rng.integers(len(b)))
+            b[at : at + 1] = [[], ["c"], ["c", b[at]]][rng.integers(3)]
+        b = "".join(b)[: lines.EXACT]
+        assert set(lines.segment_keys(a, 90)) & set(lines.segment_keys(b, 90)) or max(len(a), len(b)) // 10 < edits
+
+
 # 9 near copies
 def brute_shingles(rows, percent):
     sets = []
