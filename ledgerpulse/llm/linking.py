@@ -64,7 +64,7 @@ def sorted_members(members: DataFrame, more: str, close: Callable[[pa.Table, pa.
             pending = table.slice(cut)
             if len(pending) > _HELD:  # a bucket larger than that gives its rows away with the centre known so far
                 yield from _centred(pending, True, True, close).cast(target).to_batches()
-                pending = pending.slice(0, 1)
+                pending, first = pending.slice(0, 1), True  # what is left of it is kept whole
         if pending is not None and len(pending):
             yield from _centred(pending, first, True, close).cast(target).to_batches()
 

@@ -14,7 +14,7 @@ from conftest_rows import ROWS
 
 import __spark_entry__ as contract
 from ledgerpulse.llm import (
-    components, embeddings, langid, lines, minhash, mixing, pieces, queries, recipes, sql, toxicity, urlfilter, warc,
+    components, embeddings, langid, lines, linking, minhash, mixing, pieces, queries, recipes, sql, toxicity, urlfilter, warc,
 )
 from ledgerpulse.sources.workspace import fresh_path
 
@@ -302,6 +302,20 @@ def test_lines_with_replaced_words_against_edit_similarity_alone(spark, monkeypa
     assert {r["doc_id"] for r in lines.dedup_lines(docs).filter("text <> ''").collect()} == want
 
 
+def test_rest_of_a_bucket_that_was_given_away_is_kept(spark, monkeypatch):
+    monkeypatch.setattr(linking, "_HELD", 40)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "60")
+    try:
+        # Id 159 is close to id 110 alone, which has been given away by then.
+        rows = [(1, 0, 7), (1, 1, 7), *[(2, 100 + i, 5 if i in (10, 59) else 100 + i) for i in range(60)], (3, 0, 1)]
+        members = spark.createDataFrame(rows, "bucket bigint, id bigint, mark int").coalesce(1)
+        monkeypatch.setattr(type(members), "repartitionByRange", lambda self, *a: self.coalesce(1))
+        got = linking.sorted_members(members, "mark int", lambda a, b: a["mark"].to_numpy() == b["mark"].to_numpy())
+        assert {r["id"] for r in got.filter("bucket = 2").collect()} == {r[1] for r in rows if r[0] == 2}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_short_lines_share_a_segment_key():
     rng = np.random.default_rng(9)
     for size in [*range(10, lines.EXACT + 1)] * 4:
