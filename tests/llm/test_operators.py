@@ -316,6 +316,12 @@ def test_rest_of_a_bucket_that_was_given_away_is_kept(spark, monkeypatch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_short_lines_repeat_their_equals_only(spark):
+    rows = [(1, "Menu\nabcdefghi\n\nÄÖÜÄÖ"), (2, "menu!\n\nabcdefghj\n?\nÄÖÜÄß")]
+    got = {r["doc_id"]: r["text"] for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "\nabcdefghj\n?\nÄÖÜÄß"}
+
+
 def test_short_lines_share_a_segment_key():
     rng = np.random.default_rng(9)
     for size in [*range(10, lines.EXACT + 1)] * 4:
