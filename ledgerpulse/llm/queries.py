@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm import embeddings, langid, lines, minhash, mixing, pieces, recipes, toxicity, urlfilter, warc
+from ledgerpulse.llm import (
+    audit, embeddings, langid, lines, minhash, mixing, phrases, pieces, recipes, suffixes, toxicity, urlfilter, warc,
+)
 from ledgerpulse.sources.workspace import fresh_path, materialize
 
 RULES = (
@@ -92,10 +94,26 @@ def op10_toxicity_trees(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_documents(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
 
+def op11_son_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    """The best collocations of every language."""
+    return phrases.collocations(read(spark, folder, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """What each filter removes, keeps and loses, per source, order and step."""
+    return audit.audit_filters(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+def op13_suffix_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the 400-byte passages that start anywhere else as well."""
+    return suffixes.repeated_passages(read(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_warc_transactions, op2_source_mixture, op3_language_profiles, op4_url_cascade, op5_pivot_neighbours,
-        op6_chunk_recipes, op7_piece_scan, op8_fuzzy_lines, op9_minhash_components, op10_toxicity_trees,
+        op6_chunk_recipes, op7_piece_scan, op8_fuzzy_lines, op9_minhash_components, op10_toxicity_trees, op11_son_phrases,
+        op12_filter_audit, op13_suffix_runs,
     )
 }
