@@ -1,42 +1,40 @@
 """Exact global order without a single-task window.
 
-A window with an ORDER BY and no PARTITION BY moves every row to one task. The
-helpers here cut the order into cells of bounded size first:
-
-* split points come from ``percentile_approx``; they only balance the work, so
-  their error never reaches a result;
-* a value that is several split points is shared by very many rows, so its cell is
-  cut again along the unique key, into about as many parts;
-* rows per cell are counted, and the counts are summed up over the cells (a
-  table bounded by the number of cells, whatever the input size);
-* only then are rows ordered, each inside its own cell.
-
-The number of cells follows the counted rows (their 0.4th power), so both the list of cells and the rows of a
-cell stay small against the table, and every size takes the same path.
-
-Most callers do not need a rank per row, only the rows that sit at a few ranks
-(`order_statistics`). Finding those moves a few cells, never the table, and the
-buckets are then a comparison with literals, without any shuffle. As with
-``approxQuantile`` or an estimator's ``fit``, the search runs at once and brings
-a bounded number of values (split points, cut rows) to the driver; everything
-returned as a DataFrame is lazy.
-
-The input is read a few times: hand over a stored table, or an expensive
-intermediate through `sources.workspace.materialize`. Rows without a value are
-set aside: they are not counted, have no rank and no bucket. The key must not be NULL.
+A window with an ORDER BY and no PARTITION BY moves every row to one task. Two other ways:
+
+* *Rows at a few ranks* (`rows_at_ranks`): tiles, quantile buckets, interpolated quantiles, splits. A mergeable
+  quantile sketch (KLL) of every order, all in one aggregate, brackets each wanted rank; the next aggregate counts the rows of all
+  brackets exactly and sketches them again, until the bracket of each rank is small; one read fetches those rows. A value that very
+  many rows share becomes a bracket of its own, which goes on along the key. The table is never shuffled, and the buckets are then
+  a comparison with literals. The list of brackets follows the number of wanted ranks, not the table.
+* *A rank or running total for every row* (`global_rank`, `running_totals`): rows are dealt out by ranges of (value, key)
+  and stored in order, which numbers them inside their range; the rows of each range are counted, and a rank is that number plus the
+  rows of earlier ranges.
+
+As with ``approxQuantile`` or an estimator's ``fit``, the search runs at once and brings a bounded number of rows to
+the driver. The input is read a few times: hand over a stored table, or an expensive intermediate through
+`sources.workspace.materialize`. Rows without a value are set aside: they are not counted, have no rank and no bucket. Values and
+keys are numbers, dates or timestamps; the key is unique and not NULL.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.workspace import materialize
+
+#: Rows of a bracket that are fetched instead of being cut again.
+HELD = 4096
+#: Size of a sketch, and the quantiles that are read off it.
+SKETCH, GRID = 1024, 128
+
+
 @dataclass(frozen=True)
 class RankedRow:
     """The row found at ``rank`` (from 1) among the rows of ``group``."""
@@ -50,197 +48,186 @@ class RankedRow:
     value_type: str
 
 
-def _literal(x: object, type_: str) -> Column:
-    """A collected value as a literal of its own type.
+@dataclass(frozen=True)
+class Order:
+    """Rows ordered by (``value``, ``key``); ``ranks`` maps their number to the wanted ranks from 1.
 
-    A zone-less timestamp goes through text: as a Python object it would be
-    taken for a time in the zone of the session.
+    With ``key=None`` only values are wanted, in any order of equal ones. ``where`` names a column and the value it must have.
     """
-    return F.lit(str(x) if type_ == "timestamp_ntz" else x).cast(type_)
 
+    value: str
+    ranks: Callable[[int], Sequence[int]]
+    key: str | None = None
+    where: tuple[str, object] | None = None
 
-@dataclass(frozen=True)
-class _Cells:
-    """Split points for ``value`` and ``key``, and how often each split point of ``value`` came up."""
 
-    value: str
-    key: str | None
-    points: list
-    repeats: list[int]
-    key_points: list
-
-    def add_to(self, df: DataFrame) -> DataFrame:
-        """Add ``_cell`` and ``_sub``; ordering by both never contradicts (value, key)."""
-        out = _locate(df, self.value, self.points, "_cell")
-        if self.key is None or max(self.repeats, default=1) == 1 or not self.key_points:
-            return out.withColumn("_sub", F.lit(0))
-        # Odd cells hold a single value; those of a repeated split point are cut along the key.
-        strides = F.array(*[F.lit(2 * math.ceil(len(self.key_points) / r) if r > 1 else 0) for r in self.repeats])
-        stride = F.when(F.col("_cell") % 2 == 1, F.nullif(F.get(strides, F.expr("_cell div 2")), F.lit(0)))
-        cut = _locate(out.withColumn("_stride", stride), self.key, self.key_points, "_key_cell")
-        return cut.withColumn("_sub", F.coalesce(F.expr("_key_cell div _stride"), F.lit(0))).drop("_key_cell", "_stride")
-
-
-def _cell_count(rows: int) -> int:
-    """40 cells of 250 rows for 10 thousand, 4 thousand of 250 thousand for a billion."""
-    return max(2, math.ceil(rows**0.4))
-
-
-def _make_cells(df: DataFrame, value: str, key: str | None, cells: int | None) -> tuple[_Cells, int]:
-    """Cells and the total weight, from a count and a pass for the split points."""
-    rows, n = df.agg(F.count(F.lit(1)), F.coalesce(F.sum("_w"), F.lit(0))).first()
-    if not rows:
-        return _Cells(value, key, [], [], []), 0
-    cells = cells or _cell_count(rows)
-    steps = [i / cells for i in range(1, cells)]
-    quantiles = [F.percentile_approx(c, steps, max(10_000, 8 * cells)) for c in (value, key) if c]
-    found = df.agg(*quantiles).first()
-    points = sorted(Counter(found[0]).items())
-    key_points = sorted(set(found[1])) if key else []
-    return _Cells(value, key, [p for p, _ in points], [r for _, r in points], key_points), n
-
-
-def _locate(df: DataFrame, c: str, points: list, out: str) -> DataFrame:
-    """Add ``out``: twice the number of split points below ``c``, plus one if ``c`` is one.
-
-    Every ``stride``-th point is looked at first and then one stretch, so a row
-    costs about two square roots of the number of points in comparisons.
-    """
-    if not points:
-        return df.withColumn(out, F.lit(0))
-    stride = math.ceil(math.sqrt(len(points)))
-    v = F.col(c)
+@dataclass
+class _Cuts:
+    """Points between the brackets of one order, in the code of the value, and of the key where the value is one point."""
+
+    points: list[float] = field(default_factory=list)
+    of_key: dict[float, list[float]] = field(default_factory=dict)
+
+
+def _code(df: DataFrame, c: str) -> Column:
+    """A double that never contradicts the order of ``c``."""
     type_ = df.schema[c].dataType.simpleString()
-    fine, coarse = (
-        F.array(*[_literal(p, type_) for p in some]).cast(f"array<{type_}>")
-        for some in (points, points[stride - 1 :: stride])
-    )
-    return (
-        df.withColumn("_skip", F.size(F.filter(coarse, lambda p: p < v)) * stride)
-        .withColumn(out, 2 * F.col("_skip") + F.aggregate(
-            F.slice(fine, F.col("_skip") + 1, stride), F.lit(0),
-            lambda acc, p: acc + F.when(p < v, 2).when(p == v, 1).otherwise(0),
-        ))
-        .drop("_skip")
+    if type_ == "timestamp_ntz":
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{c}`)").cast("double")
+    if type_ == "timestamp":
+        return F.unix_micros(F.col(c)).cast("double")
+    if type_ == "date":
+        return F.unix_date(F.col(c)).cast("double")
+    if type_ in ("string", "binary"):
+        raise TypeError(f"{c}: only numbers, dates and timestamps can be ordered this way")
+    return F.col(c).cast("double")
+
+
+def _place(code: Column, points: Sequence[float]) -> Column:
+    """Twice the number of points below ``code``, plus one if it is one of them."""
+    if not points:
+        return F.lit(0)
+    listed = F.array(*[F.lit(float(p)) for p in points])
+    return F.aggregate(listed, F.lit(0), lambda n, p: n + F.when(p < code, 2).when(p == code, 1).otherwise(0))
+
+
+def _bracketed(df: DataFrame, orders: Sequence[Order], cuts: Sequence[_Cuts]) -> DataFrame:
+    """Every row once per order it takes part in, with its bracket (``_cell``, ``_sub``)."""
+    entries = []
+    for i, (order, cut) in enumerate(zip(orders, cuts)):
+        code = _code(df, order.value)
+        cell = _place(code, cut.points)
+        sub, more = F.lit(0), code
+        if order.key:
+            key = _code(df, order.key)
+            for point, points in cut.of_key.items():
+                sub = F.when(code == F.lit(point), _place(key, points)).otherwise(sub)
+            more = F.when(cell % 2 == 1, key).otherwise(code)
+        known = F.col(order.value).isNotNull()
+        if order.where:
+            known = known & (F.col(order.where[0]) == F.lit(order.where[1]))
+        entry = F.struct(
+            F.lit(i).alias("_which"), cell.alias("_cell"), sub.alias("_sub"), more.alias("_code"),
+            F.col(order.value).cast("string").alias("_text"),
+        )
+        entries.append(F.when(known, entry))
+    columns = sorted({c for o in orders for c in (o.value, o.key) if c})
+    listed = df.select(*columns, F.explode(F.array_compact(F.array(*entries))).alias("_at"))
+    return listed.select(*columns, "_at.*")
+
+
+def _counted(df: DataFrame, orders: Sequence[Order], cuts: Sequence[_Cuts]) -> list:
+    """Rows of every bracket, whether they share one value, and quantiles of the code that cuts it further."""
+    steps = F.array(*[F.lit(g / GRID) for g in range(GRID + 1)])
+    cells = _bracketed(df, orders, cuts).groupBy("_which", "_cell", "_sub").agg(
+        F.count(F.lit(1)).alias("n"), (F.min("_text") == F.max("_text")).alias("single"),
+        F.kll_sketch_agg_double("_code", SKETCH).alias("sketch"),
+        F.first(F.struct(*sorted({o.value for o in orders}))).alias("some"),
     )
+    grid = F.when(F.kll_sketch_get_n_double("sketch") > 0, F.kll_sketch_get_quantile_double("sketch", steps))
+    found = cells.select("_which", "_cell", "_sub", "n", "single", "some", grid.alias("grid")).collect()
+    return sorted(found, key=lambda c: (c["_which"], c["_cell"], c["_sub"]))
+
 
+def rows_at_ranks(df: DataFrame, orders: Sequence[Order], held: Callable[[int], int] = lambda n: HELD) -> list[list[RankedRow]]:
+    """The rows at the wanted ranks of each order, by position in its ``ranks``.
 
-def _cell_ends(celled: DataFrame, group: Sequence[str] = ()) -> DataFrame:
-    """Weight per cell and the running weight before the cell."""
-    counts = celled.groupBy(*group, "_cell", "_sub").agg(F.sum("_w").alias("_count"))
-    ordered = Window.partitionBy(*group).orderBy("_cell", "_sub")
-    return counts.withColumn("_before", F.sum("_count").over(ordered) - F.col("_count"))
+    All orders share the aggregates and the fetch. ``held`` maps the rows of an order to those of a bracket that are fetched.
+    """
+    cuts = [_Cuts() for _ in orders]
+    wanted: list[list[int]] = []
+    sizes: list[int] = []
+    while True:
+        cells = _counted(df, orders, cuts)
+        if not wanted:
+            sizes = [sum(c["n"] for c in cells if c["_which"] == i) for i in range(len(orders))]
+            wanted = [list(o.ranks(n)) if n else [] for o, n in zip(orders, sizes)]
+        hits: dict[tuple, list[tuple[int, int]]] = {}
+        known: dict[tuple, object] = {}
+        refined = False
+        for i, ranks in enumerate(wanted):
+            before = 0
+            for c in (c for c in cells if c["_which"] == i):
+                inside = [(t, r) for t, r in enumerate(ranks) if before < r <= before + c["n"]]
+                if inside:
+                    place = (i, c["_cell"], c["_sub"])
+                    hits[place] = [(t, r - before) for t, r in inside]
+                    if c["single"] and orders[i].key is None:
+                        known[place] = c["some"][orders[i].value]
+                    elif c["n"] > held(sizes[i]) and _refine(cuts[i], orders[i], c, [r - before for _, r in inside]):
+                        refined = True
+                before += c["n"]
+        if not refined:
+            return _fetched(df, orders, cuts, hits, known, wanted, sizes)
+
+
+def _refine(cut: _Cuts, order: Order, cell, ranks: Sequence[int]) -> bool:
+    """Add the points that the sketch has next to each rank; False if the bracket cannot be cut further."""
+    of_key = cell["_cell"] % 2 == 1
+    if cell["grid"] is None or of_key and not (order.key and cell["single"]) or cell["_sub"] % 2 == 1:
+        return False
+    points = set()
+    for rank in ranks:
+        at = math.floor((rank - 0.5) / cell["n"] * GRID)
+        points.update(cell["grid"][max(0, at - 1) : at + 3])
+    have = cut.points if not of_key else cut.of_key.setdefault(cut.points[cell["_cell"] // 2], [])
+    new = points - set(have)
+    have[:] = sorted(set(have) | new)
+    return bool(new)
+
+
+def _fetched(df, orders, cuts, hits, known, wanted, sizes) -> list[list[RankedRow]]:
+    """The rows of the brackets that hold a wanted rank; ``known`` has those of which only the value matters, and which share it."""
+    found: list[list[RankedRow]] = [[] for _ in orders]
+    rows: dict[tuple, list] = {}
+    asked = [place for place in hits if place not in known]
+    if asked:
+        here = F.struct("_which", "_cell", "_sub").isin([F.struct(*[F.lit(x) for x in place]) for place in asked])
+        for row in _bracketed(df, orders, cuts).filter(here).drop("_code", "_text").collect():
+            rows.setdefault((row["_which"], row["_cell"], row["_sub"]), []).append(row)
+    for place, ranks in hits.items():
+        order = orders[place[0]]
+        type_ = df.schema[order.value].dataType.simpleString()
+        own = sorted(
+            rows.get(place, []), key=lambda r: (r[order.value] != r[order.value], r[order.value], r[order.key] if order.key else 0)
+        )
+        for target, rank in ranks:
+            value = known[place] if place in known else own[rank - 1][order.value]
+            found[place[0]].append(RankedRow(
+                order.where[1] if order.where else None, target, wanted[place[0]][target], sizes[place[0]], value,
+                own[rank - 1][order.key] if order.key else None, type_,
+            ))
+    return [sorted(f, key=lambda r: r.target) for f in found]
 
 
-def _weighted(df: DataFrame, value: str, key: str | None, group: Sequence[str] = ()) -> DataFrame:
-    """The columns that matter for an order, each row with weight one."""
-    known = df.filter(F.col(value).isNotNull())
-    return known.select(*group, value, *([key] if key else []), F.lit(1).cast("bigint").alias("_w"))
+def _held(cells: int | None) -> Callable[[int], int]:
+    """Rows of a bracket if the order is to be cut into at least ``cells``."""
+    return (lambda n: max(1, n // cells)) if cells else (lambda n: HELD)
 
 
 def order_statistics(
-    df: DataFrame,
-    value: str,
-    ranks: Callable[[int], Sequence[int]],
-    key: str | None = None,
-    cells: int | None = None,
+    df: DataFrame, value: str, ranks: Callable[[int], Sequence[int]], key: str | None = None, cells: int | None = None
 ) -> list[RankedRow]:
-    """The rows at the wanted ranks of the order (``value``, ``key``), by position in ``ranks``.
-
-    ``ranks`` maps the number of rows to the wanted ranks from 1. With
-    ``key=None`` only values come back, in any order of equal ones.
-    """
-    base = _weighted(df, value, key)
-    made, n = _make_cells(base, value, key, cells)
-    return _rows_at(base, made, None, {None: (n, ranks(n))}) if n else []
+    """`rows_at_ranks` of one order."""
+    return rows_at_ranks(df, [Order(value, ranks, key)], _held(cells))[0]
 
 
 def order_statistics_by(
-    df: DataFrame,
-    group: str,
-    wanted: Mapping[object, tuple[int, Sequence[int]]],
-    value: str,
-    key: str,
-    cells: int | None = None,
+    df: DataFrame, group: str, wanted: Mapping[object, tuple[int, Sequence[int]]], value: str, key: str, cells: int | None = None
 ) -> list[RankedRow]:
     """The same inside each group; ``wanted`` gives its size and ranks. Groups must be few."""
-    base = _weighted(df, value, key, [group])
-    made, _ = _make_cells(base, value, key, cells)
-    return _rows_at(base, made, group, wanted)
+    orders = [Order(value, lambda n, ranks=ranks: ranks, key, (group, g)) for g, (_, ranks) in wanted.items()]
+    found = rows_at_ranks(df, orders, _held(cells))
+    return sorted((r for rows in found for r in rows), key=lambda r: r.target)
 
 
-def _rows_at(
-    base: DataFrame, made: _Cells, group: str | None, wanted: Mapping[object, tuple[int, Sequence[int]]]
-) -> list[RankedRow]:
-    """Find the cells of the wanted ranks first, then the rows in those cells only."""
-    if not made.points:
-        return []
-    groups = [group] if group else []
-    places = [*groups, "_cell", "_sub"]
-    celled = made.add_to(base)
-    ranks = {g: list(enumerate(r)) for g, (_, r) in wanted.items()}
-    at: dict[tuple, dict[int, list[tuple[int, int]]]] = {}
-    per_group = reduce(
-        lambda other, g: F.when(F.col(group) == F.lit(g) if group else F.lit(True), _ranks_literal(ranks[g])).otherwise(other),
-        ranks, F.lit(None),
-    )
-    hits = (
-        _cell_ends(celled, groups)
-        .withColumn("_rank", F.explode(per_group))
-        .filter((F.col("_rank") > F.col("_before")) & (F.col("_rank") <= F.col("_before") + F.col("_count")))
-        .distinct()
-        .collect()
-    )
-    for h in hits:
-        of_group = ranks[h[group] if group else None]
-        at.setdefault(tuple(h[c] for c in places), {})[h["_rank"] - h["_before"]] = [
-            (t, r) for t, r in of_group if r == h["_rank"]
-        ]
-
-    rows = []
-    type_ = base.schema[made.value].dataType.simpleString()
-    if made.key is None:
-        # An odd cell holds one value, however many rows have it: nothing to sort.
-        for place in [p for p in at if p[-2] % 2 == 1]:
-            g = place[0] if group else None
-            rows += [
-                RankedRow(g, target, rank, wanted[g][0], made.points[place[-2] // 2], None, type_)
-                for wants in at.pop(place).values()
-                for target, rank in wants
-            ]
-
-    def here(place: tuple) -> Column:
-        return reduce(Column.__and__, [F.col(c) == F.lit(v) for c, v in zip(places, place)])
-
-    def covers(rank: int) -> Column:
-        return (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_w") < rank)
-
-    if not at:
-        return sorted(rows, key=lambda r: r.target)
-    in_cell = Window.partitionBy(*places).orderBy(made.value, *([made.key] if made.key else []))
-    found = (
-        celled.filter(reduce(Column.__or__, [here(p) for p in at]))
-        .withColumn("_upto", F.sum("_w").over(in_cell.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .filter(reduce(Column.__or__, [
-            here(p) & reduce(Column.__or__, [covers(r) for r in local]) for p, local in at.items()
-        ]))
-        .collect()
-    )
-    rows += [
-        RankedRow(
-            row[group] if group else None, target, rank, wanted[row[group] if group else None][0],
-            row[made.value], row[made.key] if made.key else None, type_,
-        )
-        for row in found
-        for local, wants in at[tuple(row[c] for c in places)].items()
-        if row["_upto"] - row["_w"] < local <= row["_upto"]
-        for target, rank in wants
-    ]
-    return sorted(rows, key=lambda r: r.target)
-
+def _literal(x: object, type_: str) -> Column:
+    """A collected value as a literal of its own type.
 
-def _ranks_literal(ranks: Sequence[tuple[int, int]]) -> Column:
-    return F.array(*[F.lit(r).cast("bigint") for r in sorted({r for _, r in ranks})])
+    A zone-less timestamp goes through text: as a Python object it would be
+    taken for a time in the zone of the session.
+    """
+    return F.lit(str(x) if type_ == "timestamp_ntz" else x).cast(type_)
 
 
 def after_cut(value: str, key: str, cut: RankedRow) -> Column:
@@ -266,76 +253,103 @@ def quantile_ranks(n: int, buckets: int) -> list[int]:
     return [b * (n - 1) // buckets + 1 for b in range(1, buckets)]
 
 
-def ntile_global(
-    df: DataFrame, value: str, key: str, tiles: int, out: str, cells: int | None = None
-) -> DataFrame:
+def edge_ranks(n: int, buckets: int) -> list[int]:
+    """The ranks on both sides of each inner quantile."""
+    low = quantile_ranks(n, buckets)
+    return low + [min(r + 1, n) for r in low]
+
+
+def tile_order(value: str, key: str, tiles: int) -> Order:
+    return Order(value, lambda n: ntile_ranks(n, tiles), key)
+
+
+def quantile_order(value: str, key: str, buckets: int) -> Order:
+    return Order(value, lambda n: quantile_ranks(n, buckets), key)
+
+
+def edge_order(value: str, buckets: int) -> Order:
+    return Order(value, lambda n: edge_ranks(n, buckets))
+
+
+def ntile_global(df: DataFrame, value: str, key: str, tiles: int, out: str, cells: int | None = None) -> DataFrame:
     """``NTILE(tiles) OVER (ORDER BY value, key)``."""
-    cuts = order_statistics(df, value, lambda n: ntile_ranks(n, tiles), key, cells)
+    cuts = rows_at_ranks(df, [tile_order(value, key, tiles)], _held(cells))[0]
     return df.withColumn(out, bucket_by_cuts(value, key, cuts))
 
 
-def equal_freq(
-    df: DataFrame, value: str, key: str, buckets: int, out: str, cells: int | None = None
-) -> DataFrame:
-    """Quantile buckets 1..k of the rank: ``max(1, ceil(k * (rank - 1) / (n - 1)))``."""
-    cuts = order_statistics(df, value, lambda n: quantile_ranks(n, buckets), key, cells)
-    return df.withColumn(out, bucket_by_cuts(value, key, cuts))
+def ntiles_global(df: DataFrame, tiles: Mapping[str, tuple[str, str, int]]) -> DataFrame:
+    """Several NTILEs in one search: ``{out: (value, key, tiles)}``."""
+    found = rows_at_ranks(df, [tile_order(*t) for t in tiles.values()])
+    return df.withColumns({out: bucket_by_cuts(v, k, cuts) for (out, (v, k, _)), cuts in zip(tiles.items(), found)})
 
 
-def quantile_edges(
-    df: DataFrame, value: str, buckets: int, cells: int | None = None
-) -> list[float]:
-    """The k - 1 inner quantiles, linearly interpolated between neighbouring rows."""
+def equal_freq(df: DataFrame, value: str, key: str, buckets: int, out: str, cells: int | None = None) -> DataFrame:
+    """Quantile buckets 1..k of the rank: ``max(1, ceil(k * (rank - 1) / (n - 1)))``."""
+    cuts = rows_at_ranks(df, [quantile_order(value, key, buckets)], _held(cells))[0]
+    return df.withColumn(out, bucket_by_cuts(value, key, cuts))
 
-    def around(n: int) -> list[int]:
-        low = quantile_ranks(n, buckets)
-        return low + [min(r + 1, n) for r in low]
 
-    rows = {r.target: r for r in order_statistics(df, value, around, None, cells)}
+def edges_between(rows: Sequence[RankedRow], buckets: int) -> list[float]:
+    """The k - 1 inner quantiles, linearly interpolated between the rows at `edge_ranks`."""
+    at = {r.target: r for r in rows}
     edges = []
-    for i in range(buckets - 1 if rows else 0):
-        low, high = float(rows[i].value), float(rows[i + buckets - 1].value)
-        share = (i + 1) * (rows[i].n - 1) % buckets / buckets
+    for i in range(buckets - 1 if at else 0):
+        low, high = float(at[i].value), float(at[i + buckets - 1].value)
+        share = (i + 1) * (at[i].n - 1) % buckets / buckets
         edges.append(low + (high - low) * share)
     return edges
 
 
+def quantile_edges(df: DataFrame, value: str, buckets: int, cells: int | None = None) -> list[float]:
+    """The k - 1 inner quantiles, linearly interpolated between neighbouring rows."""
+    return edges_between(rows_at_ranks(df, [edge_order(value, buckets)], _held(cells))[0], buckets)
+
+
 def bucket_by_edges(value: str, edges: Sequence[float]) -> Column:
     """Right-closed buckets 1..k: one more than the number of edges below the value."""
     above = [F.when(F.col(value).cast("double") > F.lit(e), 1).otherwise(0) for e in edges]
     return F.when(F.col(value).isNotNull(), reduce(Column.__add__, above, F.lit(1)))
 
 
-def global_rank(
-    df: DataFrame, value: str, key: str, out: str = "rank", cells: int | None = None
-) -> DataFrame:
-    """``ROW_NUMBER() OVER (ORDER BY value, key)`` for every row."""
-    made, _ = _make_cells(_weighted(df, value, key), value, key, cells)
-    celled = made.add_to(df.withColumn("_w", F.when(F.col(value).isNotNull(), 1).otherwise(0).cast("bigint")))
-    before = _cell_ends(celled).select("_cell", "_sub", "_before")
-    upto = Window.partitionBy("_cell", "_sub").orderBy(value, key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rank = F.when(F.col("_w") == 1, F.col("_before") + F.sum("_w").over(upto))
-    return celled.join(before, ["_cell", "_sub"]).select(*df.columns, rank.alias(out))
+def _ranged(df: DataFrame, order: Sequence[str], ranges: int | None) -> DataFrame:
+    """``df`` stored in ranges of ``order``; ``_range`` and ``_at`` (from 0) number the rows.
+
+    The key is part of the order, so a value that very many rows share is several ranges.
+    """
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    stored = materialize(placed.withColumn("_id", F.monotonically_increasing_id()), "ranges")
+    # The upper bits of the id are the task that wrote the row, the lower 33 its place there.
+    return stored.select(*df.columns, F.shiftright("_id", 33).alias("_range"), F.col("_id").bitwiseAND((1 << 33) - 1).alias("_at"))
+
+
+def _earlier(totals: DataFrame, sums: Sequence[str]) -> DataFrame:
+    """Sums over the earlier ranges; ``totals`` has one row per range."""
+    upto = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select("_range", *[F.coalesce(F.sum(s).over(upto), F.lit(0)).alias(s) for s in sums])
+
+
+def global_rank(df: DataFrame, value: str, key: str, out: str = "rank", cells: int | None = None) -> DataFrame:
+    """``ROW_NUMBER() OVER (ORDER BY value, key)`` for every row; NULL for rows without a value, which are not moved."""
+    ranged = _ranged(df.filter(F.col(value).isNotNull()), [value, key], cells)
+    before = _earlier(ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_before")), ["_before"])
+    # As many rows as there are ranges.
+    ranked = ranged.join(F.broadcast(before), "_range").select(*df.columns, (F.col("_before") + F.col("_at") + 1).alias(out))
+    unknown = df.filter(F.col(value).isNull()).withColumn(out, F.lit(None).cast("bigint"))
+    return ranked.unionByName(unknown)
 
 
-def running_totals(
-    df: DataFrame, value: str, sums: dict[str, Column], cells: int | None = None
-) -> DataFrame:
+def running_totals(df: DataFrame, value: str, sums: dict[str, Column], cells: int | None = None) -> DataFrame:
     """Add ``name``: the sum of its expression over all rows with a smaller value.
 
     ``value`` must be unique (aggregate by it first, which also takes the weight
     out of a hot value).
     """
-    made, _ = _make_cells(df.select(value, F.lit(1).alias("_w")), value, None, cells)
-    celled = made.add_to(df)
-    totals = celled.groupBy("_cell").agg(*[F.sum(e).alias(f"_t_{name}") for name, e in sums.items()])
-    earlier = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select("_cell", *[F.sum(f"_t_{name}").over(earlier).alias(f"_b_{name}") for name in sums])
-    in_cell = Window.partitionBy("_cell").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    return celled.join(before, "_cell").select(
-        *df.columns,
-        *[
-            (F.coalesce(F.col(f"_b_{name}"), F.lit(0)) + F.coalesce(F.sum(e).over(in_cell), F.lit(0))).alias(name)
-            for name, e in sums.items()
-        ],
+    ranged = _ranged(df, [value], cells)
+    totals = ranged.groupBy("_range").agg(*[F.sum(e).alias(f"_b_{name}") for name, e in sums.items()])
+    before = _earlier(totals, [f"_b_{name}" for name in sums])
+    in_range = Window.partitionBy("_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    inside = ranged.withColumns({f"_i_{name}": F.coalesce(F.sum(e).over(in_range), F.lit(0)) for name, e in sums.items()})
+    return inside.join(F.broadcast(before), "_range").select(
+        *df.columns, *[(F.col(f"_b_{name}") + F.col(f"_i_{name}")).alias(name) for name in sums]
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import whole_days
 from ..functions.numeric import ratio, round_half_even, round_half_up
-from ..functions.ordering import bucket_by_edges, equal_freq, quantile_edges
+from ..functions.ordering import bucket_by_cuts, bucket_by_edges, edge_order, edges_between, quantile_order, rows_at_ranks
 from .commerce import amount
 
 CUTOFF_DAYS = 90
@@ -36,13 +36,14 @@ def customer_activity(tx: DataFrame) -> DataFrame:
     )
 
 
-def account_features(activity: DataFrame) -> DataFrame:
+def account_features(activity: DataFrame, end: Column | None = None) -> DataFrame:
     """Customers with at least one sale, measured against the end of the data.
 
-    The end is the latest invoice of any kind, guests and credit notes included.
+    The end is the latest invoice of any kind, guests and credit notes included; it is looked up unless it is given.
     """
+    end = activity.agg(F.max("last_seen")).scalar() if end is None else end
     out = (
-        activity.withColumn("max_date", activity.agg(F.max("last_seen")).scalar())
+        activity.withColumn("max_date", end)
         .filter(F.col("customer_id").isNotNull() & F.col("last_order").isNotNull())
     )
 
@@ -66,7 +67,7 @@ def churn_label(features: DataFrame, cutoff_days: int = CUTOFF_DAYS) -> DataFram
 
 
 def segment_expr(r: Column, f: Column) -> Column:
-    """Segment of a recency and a frequency score; the first rule that holds wins."""
+    """Segment of a recency and a frequency score; the first rule that holds wins. Labels and limits are fixed values."""
     return (
         F.when((r >= 4) & (f >= 3), "Champions")
         .when((r >= 3) & (f >= 3), "Loyal")
@@ -83,10 +84,15 @@ def rfm_scores(features: DataFrame) -> DataFrame:
     and money at the quartiles of their rank, ties in customer order. Should two
     recency quartiles coincide, the higher score wins.
     """
-    recency_bin = bucket_by_edges("recency_days", quantile_edges(features, "recency_days", 4))
-    out = features.withColumn("r_score", 5 - recency_bin)
-    out = equal_freq(out, "frequency", "customer_id", 4, "f_score")
-    out = equal_freq(out, "monetary_exact", "customer_id", 4, "m_score")
+    ranked = ("frequency", "monetary_exact")
+    recency, frequency, money = rows_at_ranks(
+        features, [edge_order("recency_days", 4), *[quantile_order(c, "customer_id", 4) for c in ranked]]
+    )
+    out = features.withColumns({
+        "r_score": 5 - bucket_by_edges("recency_days", edges_between(recency, 4)),
+        "f_score": bucket_by_cuts("frequency", "customer_id", frequency),
+        "m_score": bucket_by_cuts("monetary_exact", "customer_id", money),
+    })
     return out.withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score")).withColumn(
         "segment", segment_expr(F.col("r_score"), F.col("f_score"))
     )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_start, months_apart
 from ..functions.numeric import percent, ratio, round_half_up, round_money
-from ..functions.ordering import ntile_global
+from ..functions.ordering import ntiles_global
 
 
 def amount() -> Column:
@@ -87,10 +87,10 @@ def rfm_quartiles(features: DataFrame, tiles: int = 4, n: int = 20) -> DataFrame
         "customer_id", F.col("recency_days").cast("bigint").alias("recency_days"), "frequency",
         F.round("monetary_exact", 2).alias("monetary"), (-F.col("recency_days")).alias("_recency"),
     )
-    for value, name in (("_recency", "recency"), ("frequency", "frequency"), ("monetary", "monetary")):
-        base = ntile_global(base, value, "customer_id", tiles, f"{name}_quartile")
+    values = (("_recency", "recency"), ("frequency", "frequency"), ("monetary", "monetary"))
+    tiled = ntiles_global(base, {f"{name}_quartile": (value, "customer_id", tiles) for value, name in values})
     return (
-        base.drop("_recency")
+        tiled.drop("_recency")
         .orderBy(F.desc("monetary"), "customer_id")
         .limit(n)
         .withColumn("monetary", F.col("monetary").cast("double"))

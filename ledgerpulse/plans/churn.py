@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from ..functions.ordering import global_rank
+from ..functions.ordering import global_rank, ntiles_global
 from ..operators import accounts, churn_model, commerce, dashboards, evaluation, ingest, quality, retention, sampling
 from ..operators import survival
 from ..sources import schemas, tables
@@ -27,15 +27,16 @@ def rounded(df: DataFrame, places: int, *columns: str) -> DataFrame:
 # --- inputs -----------------------------------------------------------------
 
 
-def activity(spark: SparkSession, d: str) -> DataFrame:
-    """Per-customer sums and dates, stored: one pass over the lines serves all that follows."""
-    tx = data.transactions(spark, d, "invoice", "customer_id", "invoice_date", "quantity", "price", "is_cancellation")
-    return materialize(accounts.customer_activity(tx), "activity")
-
-
 def features(spark: SparkSession, d: str) -> DataFrame:
-    """Account features, stored: cut rows, splits and fits read them several times."""
-    return materialize(accounts.churn_label(accounts.account_features(activity(spark, d))), "features")
+    """Account features over stored per-customer sums: one pass over the lines serves all that follows.
+
+    The end of the data is observed while the sums are written, so no later step looks for it.
+    """
+    tx = data.transactions(spark, d, "invoice", "customer_id", "invoice_date", "quantity", "price", "is_cancellation")
+    seen = Observation()
+    stored = materialize(accounts.customer_activity(tx).observe(seen, F.max("last_seen").cast("string").alias("end")), "activity")
+    end = F.lit(seen.get["end"]).cast(stored.schema["last_seen"].dataType)
+    return accounts.churn_label(accounts.account_features(stored, end))
 
 
 def formula_scores(spark: SparkSession, d: str) -> DataFrame:
@@ -88,8 +89,9 @@ def rfm_all(spark: SparkSession, d: str) -> DataFrame:
         "customer_id", "frequency", F.col("recency_days").cast("bigint").alias("recency_days"),
         (-F.col("recency_days")).alias("_recency"),
     )
-    out = commerce.ntile_global(base, "_recency", "customer_id", 4, "recency_quartile")
-    return commerce.ntile_global(out, "frequency", "customer_id", 7, "frequency_tile").drop("_recency")
+    return ntiles_global(base, {
+        "recency_quartile": ("_recency", "customer_id", 4), "frequency_tile": ("frequency", "customer_id", 7),
+    }).drop("_recency")
 
 
 def churn_status(spark: SparkSession, d: str) -> DataFrame:
@@ -256,7 +258,7 @@ def never_described(spark: SparkSession, d: str) -> DataFrame:
 
 
 def account_features(spark: SparkSession, d: str) -> DataFrame:
-    out = accounts.churn_label(accounts.account_features(activity(spark, d))).select(
+    out = features(spark, d).select(
         "customer_id", "first_order", "last_order", "frequency", "monetary", "recency_days", "tenure_days",
         "observed_days", "avg_order_value", "churned",
     )

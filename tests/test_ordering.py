@@ -88,13 +88,32 @@ def test_rows_without_a_value_are_set_aside(spark):
     assert len(O.quantile_edges(rows, "v", 5)) == 4
 
 
-def test_only_values_shared_by_many_rows_are_cut_along_the_key(spark):
-    rows = spark.range(4000).select("id", F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("v"), F.lit(1).alias("_w"))
-    made, n = O._make_cells(rows, "v", "id", 20)
-    cells = made.add_to(rows).groupBy("_cell", "_sub").count().toPandas()
-    hot = 2 * made.points.index(7) + 1
-    assert n == 4000 and set(cells[cells._sub > 0]._cell) == {hot}
-    assert len(cells) <= 3 * 20 and cells["count"].max() <= 3 * n / 20
+@pytest.mark.parametrize("cells", [40, None])
+def test_a_value_of_half_the_rows_is_cut_along_the_key(spark, cells):
+    rows = spark.range(20_000).select("id", F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("v"))
+    order = Window.orderBy("v", "id")
+    want = {r["rn"]: r["id"] for r in rows.withColumn("rn", F.row_number().over(order)).collect()}
+    ranks = [1, 3, 4, 5, 4999, 10_002, 10_003, 10_004, 20_000]
+    found = O.order_statistics(rows, "v", lambda n: ranks, "id", cells)
+    assert [(r.rank, r.key) for r in found] == [(r, want[r]) for r in ranks]
+    assert [r.value for r in O.order_statistics(rows, "v", lambda n: ranks, None, cells)] == [r.value for r in found]
+
+
+def test_brackets_follow_the_ranks_and_not_the_rows(spark):
+    for n in (2_000, 40_000):
+        rows = spark.range(n).select("id", F.pmod(F.xxhash64("id"), F.lit(n)).alias("v"))
+        cuts = [O._Cuts()]
+        order = [O.tile_order("v", "id", 4)]
+        for _ in range(2):
+            for cell in O._counted(rows, order, cuts):
+                O._refine(cuts[0], order[0], cell, [max(1, cell["n"] // 2)])
+        assert len(cuts[0].points) <= 40
+
+
+def test_a_hot_value_is_several_ranges(spark):
+    rows = spark.range(4000).select("id", F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("v"))
+    sizes = O._ranged(rows, ["v", "id"], 16).groupBy("_range").count().toPandas()["count"]
+    assert len(sizes) >= 12 and sizes.max() <= 4 * 4000 / 16
 
 
 @settings(max_examples=200, deadline=None)
