@@ -9,13 +9,12 @@ have their anchors at the same distance, and every start belongs to exactly one
    no repeat and is left out, as duplicate detection does for distinguishing prefixes in distributed string sorting.
 2. *Turned suffixes*: ``PASSAGE`` bytes from the anchor on, then the bytes before it backwards. Neighbours in this order that
    share ``PASSAGE + d`` bytes prove the starts at 0 to d bytes before the anchor repeated, and since the order is lexicographic no other
-   suffix proves more. What is left are starts whose repeat ends less than ``PASSAGE`` bytes behind the anchor.
-3. *Spans*: plain suffixes from the first start of an anchor on, for anchors whose core still has open starts. A shared prefix of
-   ``PASSAGE + d`` bytes proves the first d + 1 starts.
-4. Starts that are still open (repeats of hardly more than ``PASSAGE`` bytes) are sorted one by one, with all
-   others at the same distance from the same core.
+   suffix proves more. A start further off can only be shared with suffixes that differ within ``PASSAGE`` bytes from here,
+   and the most any of those shares says how far off that is at least.
+3. There the anchors that are still open, and all with their core, are turned again, and so on until none is open. A step settles one end
+   of a repeat, so there are few, and all but the first two are small.
 
-Each of 2, 3 and 4 is one merge sort: a task sorts what it has into runs in which equal suffixes are one entry with all its
+Each step is one merge sort: a task sorts what it has into runs in which equal suffixes are one entry with all its
 places, front-codes them in blocks and deals them out by splitters from a seeded sample; a loser tree per range merges the runs.
 An entry knows how many bytes it shares with the last one put out, losers keep what they share with their winner, and only
 bytes behind that are ever compared. The ends of neighbouring ranges (two per range) are compared on the driver.
@@ -31,7 +30,7 @@ import hashlib
 import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -51,8 +50,9 @@ BLOCK, SAMPLED = 256, 64
 #: Bytes of text that anchors are sought in at once.
 _SPAN = 1 << 20
 _PLACE = "p int, back smallint, upto smallint, core bigint"
+_FIELDS = ("p", "back", "upto", "core", "near")
 _RUNS = "part int, run bigint, seq int, payload binary"
-_FOUND = f"k1 bigint, k2 bigint, {_PLACE}, shared int, beside int, part int, low binary, high binary"
+_FOUND = f"k1 bigint, k2 bigint, {_PLACE}, near smallint, shared int, beside int, part int, at_low boolean, at_high boolean, low binary, high binary"
 _RANDOM = np.random.Generator(np.random.PCG64(20250311)).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x5851F42D4C957F2D
 
@@ -140,8 +140,8 @@ def decoded_block(payload: bytes) -> Iterator[tuple[int, bytes, np.ndarray]]:
     n, n_places = np.frombuffer(raw, np.int64, 2)
     shared, sizes, counts = np.frombuffer(raw, np.int32, 3 * n, 16).reshape(3, n)
     at = 16 + 12 * n
-    places = np.frombuffer(raw, np.int64, 6 * n_places, at).reshape(n_places, 6)
-    at, upto, key = int(at + 48 * n_places), 0, b""
+    places = np.frombuffer(raw, np.int64, 7 * n_places, at).reshape(n_places, 7)
+    at, upto, key = int(at + 56 * n_places), 0, b""
     for s, size, count in zip(shared.tolist(), sizes.tolist(), counts.tolist()):
         key = key[:s] + raw[at : at + size - s]
         at += size - s
@@ -209,31 +209,28 @@ def merged(runs: Sequence[Iterator[tuple[int, bytes, np.ndarray]]]) -> Iterator[
         winner = climb(winner)
 
 
-def _suffix(text: bytes, p: int, back: int, upto: int, passage: int, turned: bool) -> bytes:
-    if not turned:
-        return text[p - back : p - upto + passage]
-    ahead = text[p : p + passage]
-    return ahead + text[p - back : p][::-1] if len(ahead) == passage else ahead
+def turned(text: bytes, start: int, first: int, passage: int) -> bytes:
+    """A passage and, if it is whole, the bytes before it backwards down to ``first``."""
+    ahead = text[start : start + passage]
+    return ahead + text[first:start][::-1] if len(ahead) == passage else ahead
 
 
-def _cut(batch: pa.RecordBatch, passage: int, turned: bool, one_in: int = 1) -> Iterator[tuple[bytes, tuple[int, ...]]]:
+def _cut(batch: pa.RecordBatch, passage: int, one_in: int = 1) -> Iterator[tuple[bytes, tuple[int, ...]]]:
     """Suffix and place of all anchors of the batch, or of a seeded choice among them."""
     lists = batch.column("places")
     flat = lists.flatten()
     ends = np.cumsum([0, *[n or 0 for n in lists.value_lengths().to_pylist()]]).tolist()
-    p, back, upto, core = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("p", "back", "upto", "core"))
+    fields = np.column_stack([flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in _FIELDS])
     texts = utf8(batch.column("text"))
     for i, (k1, k2) in enumerate(zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist())):
-        own = slice(ends[i], ends[i + 1])
-        text = texts[i]
-        rows = np.column_stack([p[own], back[own], upto[own], core[own]])
+        rows, text = fields[ends[i] : ends[i + 1]], texts[i]
         if one_in > 1:
-            rows = rows[mix64((rows[:, 0] * 31 + k1 + rows[:, 1]).view(np.uint64)) % np.uint64(one_in) == 0]
-        for at, b, u, c in rows.tolist():
-            yield _suffix(text, at, b, u, passage, turned), (k1, k2, at, b, u, c)
+            rows = rows[mix64((rows[:, 0] * 31 + k1 + rows[:, 4]).view(np.uint64)) % np.uint64(one_in) == 0]
+        for p, back, upto, core, near in rows.tolist():
+            yield turned(text, p - near, p - back, passage), (k1, k2, p, back, upto, core, near)
 
 
-def sorted_runs(held: DataFrame, splitters: list[bytes], passage: int, turned: bool, run_bytes: int = RUN_BYTES) -> DataFrame:
+def sorted_runs(held: DataFrame, splitters: list[bytes], passage: int, run_bytes: int = RUN_BYTES) -> DataFrame:
     """Front-coded blocks of sorted runs, dealt out to the ranges between ``splitters``."""
     target = arrow_schema(_RUNS)
 
@@ -258,7 +255,7 @@ def sorted_runs(held: DataFrame, splitters: list[bytes], passage: int, turned: b
 
         for batch in batches:
             for step in _steps(batch):
-                for key, place in _cut(step, passage, turned):
+                for key, place in _cut(step, passage):
                     if key in entries:
                         entries[key].append(place)
                         held_bytes += 64
@@ -273,7 +270,7 @@ def sorted_runs(held: DataFrame, splitters: list[bytes], passage: int, turned: b
     return held.mapInArrow(run, _RUNS)
 
 
-def _splitters(held: DataFrame, n_places: int, passage: int, turned: bool, range_bytes: int) -> list[bytes]:
+def _splitters(held: DataFrame, n_places: int, passage: int, range_bytes: int) -> list[bytes]:
     """Ends of the ranges, from a sample of at most some `SAMPLED` suffixes per range."""
     ranges = -(-n_places * (passage + SLIDE // 2) // range_bytes)
     if ranges < 2:
@@ -281,7 +278,7 @@ def _splitters(held: DataFrame, n_places: int, passage: int, turned: bool, range
     one_in = max(1, n_places // (SAMPLED * ranges))
 
     def sample(batch: pa.RecordBatch) -> dict:
-        return {"suffix": [key for key, _ in _cut(batch, passage, turned, one_in)]}
+        return {"suffix": [key for key, _ in _cut(batch, passage, one_in)]}
 
     drawn = sorted(r["suffix"] for r in arrow_map(held, sample, "suffix binary").collect())
     drawn = [bytes(s) for s in drawn]
@@ -290,7 +287,11 @@ def _splitters(held: DataFrame, n_places: int, passage: int, turned: bool, range
 
 def merge_range(payloads: dict[int, list[bytes]], passage: int, part: int) -> dict:
     """Places of one range with the most bytes they share with any other (``shared``) and with any other
-    that shares less than a passage (``beside``), the latter at most too high at the ends of the range."""
+    that shares less than a passage (``beside``), as far as this range can tell.
+
+    Entries that share a whole passage are a stretch; what they share with others shows at its two ends. ``at_low`` and ``at_high`` mark
+    stretches that reach an end of the range.
+    """
     below, sizes, counts, places, low, high = [], [], [], [], b"", b""
     for shared, key, own in merged([iter(Run(p)) for p in payloads.values()]):
         if sizes and shared == len(key) == sizes[-1]:
@@ -305,44 +306,44 @@ def merge_range(payloads: dict[int, list[bytes]], passage: int, part: int) -> di
     below, sizes, counts = (np.array(x, np.int64) for x in (below, sizes, counts))
     above = np.append(below[1:], 0)
     best = np.where(counts > 1, sizes, np.maximum(below, above))
-    # Suffixes that share a whole passage are a stretch; what they share with others shows at its ends.
-    ends = below.copy()
-    ends[0] = passage - 1
-    opens = np.flatnonzero(ends < passage)
-    closes = np.append(ends[opens[1:]], passage - 1)
-    stretch = np.cumsum(ends < passage) - 1
-    beside = np.maximum(ends[opens], closes)[stretch]
+    opens = np.flatnonzero(below < passage)
+    stretch = np.cumsum(below < passage) - 1
+    beside = np.maximum(below[opens], np.append(below[opens[1:]], 0))[stretch]
     beside = np.where((sizes < passage) & (counts > 1), np.maximum(beside, sizes), beside)
     rows = np.concatenate(places)
     entry = np.repeat(np.arange(len(sizes)), counts)
-    edge = np.flatnonzero(np.diff(entry, prepend=-1))
     lows, highs = [None] * len(rows), [None] * len(rows)
-    lows[0], highs[int(edge[-1])] = low, high
-    made = {c: rows[:, i] for i, c in enumerate(("k1", "k2", "p", "back", "upto", "core"))}
-    return made | {"shared": best[entry], "beside": beside[entry], "part": np.full(len(rows), part), "low": lows, "high": highs}
+    lows[0], highs[int(np.flatnonzero(entry == entry[-1])[0])] = low, high
+    made = {c: rows[:, i] for i, c in enumerate(("k1", "k2", *_FIELDS))}
+    return made | {
+        "shared": best[entry], "beside": beside[entry], "part": np.full(len(rows), part),
+        "at_low": (stretch == 0)[entry], "at_high": (stretch == stretch[-1])[entry], "low": lows, "high": highs,
+    }
 
 
-def _across(ends: list, passage: int) -> list[tuple]:
-    """Rows for the ends of ranges that share more with the neighbouring range than with their own."""
+def _across(ends: Sequence, passage: int) -> list[tuple[int, int, int, int, int]]:
+    """Per range what its first and last entry share with the neighbouring ranges, and the most that the
+    stretches at its two ends share with anything beyond that is no whole passage."""
     lows = {r["part"]: r for r in ends if r["low"] is not None}
     highs = {r["part"]: r for r in ends if r["high"] is not None}
     parts = sorted(lows)
-    better = []
-    for a, b in zip(parts, parts[1:]):
-        shared = shared_bytes(bytes(highs[a]["high"]), bytes(lows[b]["low"]), 0)
-        for row in (highs[a], lows[b]):
-            if shared > row["shared"] and shared >= passage:
-                better.append((*[row[c] for c in ("k1", "k2", "p", "back", "upto", "core")], shared, row["beside"]))
-    return better
-
-
-def neighbours(held: DataFrame, passage: int, turned: bool, run_bytes: int = RUN_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """``shared`` and ``beside`` of every place in ``held`` (k1, k2, text, places), by one distributed merge sort.
-
-    A place may come twice, at the end of a range; the larger ``shared`` counts.
-    """
+    shared = [shared_bytes(bytes(highs[a]["high"]), bytes(lows[b]["low"]), 0) for a, b in zip(parts, parts[1:])]
+    after, before = [0] * len(parts), [0] * len(parts)
+    for i in range(len(parts) - 2, -1, -1):
+        here = lows[parts[i + 1]]
+        beyond = max(here["beside"], after[i + 1] if here["at_high"] else 0)
+        after[i] = shared[i] if shared[i] < passage else beyond
+    for i in range(1, len(parts)):
+        here = highs[parts[i - 1]]
+        beyond = max(here["beside"], before[i - 1] if here["at_low"] else 0)
+        before[i] = shared[i - 1] if shared[i - 1] < passage else beyond
+    return [(p, ([0] + shared)[i], (shared + [0])[i], before[i], after[i]) for i, p in enumerate(parts)]
+
+
+def neighbours(held: DataFrame, passage: int, run_bytes: int = RUN_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """``shared`` and ``beside`` of every place in ``held`` (k1, k2, text, places), by one distributed merge sort."""
     n_places = held.agg(F.sum(F.size("places"))).first()[0] or 0
-    runs = sorted_runs(held, _splitters(held, n_places, passage, turned, range_bytes), passage, turned, run_bytes)
+    runs = sorted_runs(held, _splitters(held, n_places, passage, range_bytes), passage, run_bytes)
     target = arrow_schema(_FOUND)
 
     def merge(table: pa.Table) -> pa.Table:
@@ -354,15 +355,22 @@ def neighbours(held: DataFrame, passage: int, turned: bool, run_bytes: int = RUN
         return pa.table([pa.array(made[f.name], type=f.type) for f in target], schema=target)
 
     found = materialize(runs.groupBy("part").applyInArrow(merge, _FOUND), "suffixes")
-    ends = found.filter("low IS NOT NULL OR high IS NOT NULL").drop("beside").withColumn("beside", F.lit(passage - 1)).collect()
-    plain = found.drop("part", "low", "high")
-    better = _across(ends, passage)
-    return plain.unionByName(held.sparkSession.createDataFrame(better, plain.schema)) if better else plain
+    ends = found.filter("low IS NOT NULL OR high IS NOT NULL").collect()
+    columns = ["k1", "k2", *_FIELDS, "shared", "beside"]
+    if len({r["part"] for r in ends}) < 2:
+        return found.select(*columns)
+    # One row per range.
+    beyond = held.sparkSession.createDataFrame(_across(ends, passage), "part int, low_shared int, high_shared int, before int, after int")
+    joined = found.join(F.broadcast(beyond), "part")
+    return joined.withColumns({
+        "shared": F.greatest("shared", F.when(F.col("low").isNotNull(), F.col("low_shared")), F.when(F.col("high").isNotNull(), F.col("high_shared"))),
+        "beside": F.greatest("beside", F.when(F.col("at_low"), F.col("before")), F.when(F.col("at_high"), F.col("after"))),
+    }).select(*columns)
 
 
 def _gathered(texts: DataFrame, places: DataFrame) -> DataFrame:
     """Texts with the list of their places."""
-    lists = places.groupBy("k1", "k2").agg(F.collect_set(F.struct("p", "back", "upto", "core")).alias("places"))
+    lists = places.groupBy("k1", "k2").agg(F.collect_set(F.struct(*_FIELDS)).alias("places"))
     return keyed_join(texts, lists, ["k1", "k2"]).select("k1", "k2", "text", "places")
 
 
@@ -379,37 +387,28 @@ def repeated_starts(docs: DataFrame, passage: int = PASSAGE, slide: int = SLIDE,
     long = docs.filter(F.octet_length("text") >= passage)
     places = materialize(arrow_map(long, found, f"k1 bigint, k2 bigint, {_PLACE}"), "anchors")
     often = places.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core")
-    held = materialize(_gathered(long, keyed_join(places, often, ["core"], "left_semi")), "held")
+    near = F.lit(0).cast("smallint")
+    held = materialize(_gathered(long, keyed_join(places, often, ["core"], "left_semi").withColumn("near", near)), "held")
     texts = held.select("k1", "k2", "text")
-
-    turned = materialize(neighbours(held, passage, True, **sizes), "turned")
-    proven = turned.filter(F.col("shared") >= passage).select(
-        "k1", "k2", (F.col("p") - F.col("shared") + passage).alias("first"), F.col("p").alias("last")
-    )
-    # Distances before the anchor that are still open: from `near` to `back`.
-    near = F.greatest("upto", F.col("shared") - passage + 1, passage - F.col("beside"))
-    opened = materialize(turned.withColumn("near", near).filter("near <= back"), "open")
-    place = ["k1", "k2", "p", "back", "upto", "core"]
-
-    def same_core(rows: DataFrame) -> DataFrame:
-        return keyed_join(turned.select(*place), rows.select("core").distinct(), ["core"], "left_semi")
-
-    spans = materialize(neighbours(_gathered(texts, same_core(opened)), passage, False, **sizes), "spans")
-    begin = F.col("p") - F.col("back")
-    by_span = spans.filter(F.col("shared") >= passage).select(
-        "k1", "k2", begin.alias("first"), (begin + F.col("shared") - passage).alias("last")
-    )
-    most = spans.groupBy(*place).agg(F.max("shared").alias("by_span"))
-    left = keyed_join(opened, most, place)
-    # A span that shares passage + d bytes settles the distances from back down to back - d.
-    far = F.least(F.col("back"), F.col("back") - F.col("by_span") + passage - 1)
-    left = materialize(left.withColumn("far", far).filter("near <= far").select("core", "near", "far"), "left")
-    wanted = left.select("core", F.explode(F.sequence("near", "far")).alias("at")).distinct()
-    single = keyed_join(same_core(left).distinct(), wanted, ["core"]).filter("at BETWEEN upto AND back")
-    single = single.select("k1", "k2", "p", F.col("at").cast("smallint").alias("back"), F.col("at").cast("smallint").alias("upto"), "core")
-    alone = neighbours(_gathered(texts, single), passage, False, **sizes)
-    by_start = alone.filter(F.col("shared") >= passage).select("k1", "k2", begin.alias("first"), begin.alias("last"))
-    return texts, proven.unionByName(by_span).unionByName(by_start)
+    start = F.col("p") - F.col("near")
+    stretches, every, turn = [], None, held
+    while True:
+        step = materialize(neighbours(turn, passage, **sizes), "step")
+        stretches.append(step.filter(F.col("shared") >= passage).select(
+            "k1", "k2", (start - F.col("shared") + passage).alias("first"), start.alias("last")
+        ))
+        if every is None:
+            every = step.drop("near", "shared", "beside").distinct()
+        else:
+            step = keyed_join(step, opened, ["k1", "k2", *_FIELDS], "left_semi")
+        # The least distance before the anchor at which a start can still be shared.
+        further = F.greatest(F.col("upto"), F.col("near") + F.greatest(F.col("shared") - passage + 1, passage - F.col("beside")))
+        opened = step.withColumn("near", further.cast("smallint")).filter("near <= back").select("k1", "k2", *_FIELDS)
+        opened = materialize(opened.distinct(), "open")
+        if opened.isEmpty():
+            return texts, reduce(DataFrame.unionByName, stretches)
+        wanted = opened.select("core", "near").distinct()
+        turn = materialize(_gathered(texts, keyed_join(every, wanted, ["core"]).filter("near <= back")), "turn")
 
 
 def without_passages(text: bytes, stretches: Sequence[tuple[int, int]], passage: int = PASSAGE) -> tuple[bytes, int]:
