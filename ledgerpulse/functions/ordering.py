@@ -339,6 +339,32 @@ def global_rank(df: DataFrame, value: str, key: str, out: str = "rank", cells: i
     return ranked.unionByName(unknown)
 
 
+def rows_at_positions(df: DataFrame, key: str, positions: DataFrame, at: str = "position") -> DataFrame:
+    """``positions`` with the row of ``df`` at each position (from 0, modulo the rows) in the order of ``key``.
+
+    ``df`` is stored once in ranges of the key. The rows of each range are counted, which turns a position into a
+    range and a place in it, and the stored rows are read once for those. A position may come up again.
+    """
+    ranged = _ranged(df, [key], None)
+    counts = sorted(ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect())
+    total = sum(c["n"] for c in counts)
+    if not total:
+        return positions.join(df.limit(0), F.lit(False))
+    # One entry per range.
+    starts = [0]
+    for c in counts:
+        starts.append(starts[-1] + c["n"])
+    listed = F.array(*[F.lit(s).cast("bigint") for s in starts[:-1]])
+    numbers = F.array(*[F.lit(c["_range"]) for c in counts])
+    asked = positions.withColumn("_pos", F.pmod(F.col(at), F.lit(total)))
+    asked = asked.withColumn("_nth", F.size(F.filter(listed, lambda s: s <= F.col("_pos"))))
+    located = asked.select(
+        *positions.columns, F.element_at(numbers, F.col("_nth")).alias("_range"),
+        (F.col("_pos") - F.element_at(listed, F.col("_nth"))).alias("_at"),
+    )
+    return located.join(ranged, ["_range", "_at"]).drop("_range", "_at")
+
+
 def running_totals(df: DataFrame, value: str, sums: dict[str, Column], cells: int | None = None) -> DataFrame:
     """Add ``name``: the sum of its expression over all rows with a smaller value.
 

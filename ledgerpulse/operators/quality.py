@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -44,6 +44,45 @@ def not_fitting(df: DataFrame, c: str, type_: DecimalType) -> DataFrame:
     return df.filter(lost).groupBy(c).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def length_rules(limits: dict[str, int]) -> dict[str, Column]:
+    """Rules that texts are no longer than their columns hold."""
+    return {f"{c}_too_long": F.length(c) > n for c, n in limits.items()}
+
+
+def fit_rule(c: str, type_: DecimalType) -> dict[str, Column]:
+    """The rule that a number fits its NUMERIC column."""
+    return {f"{c}_not_fitting": F.col(c).isNotNull() & F.col(c).try_cast(type_).isNull()}
+
+
+def checked_load(df: DataFrame, path: str, key: str, rules: dict[str, Column]) -> dict[str, int]:
+    """Write ``df`` to ``path`` in one job, rows that break a rule apart from the others; the rows per reason.
+
+    ``rules`` maps reasons to conditions of a violation (NULL is none). The key must be present and unique; of rows that share
+    one all are rejected, as none is the right one. Repeated keys are counted first, so a hot key is one row where the
+    rows meet them, and the counts of all reasons are observed while the rows are written. Accepted rows are read with `accepted`, the
+    others, with ``reasons``, with `rejects`.
+    """
+    repeated = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
+    marked = df.join(repeated, key, "left")
+    conditions = {"key_missing": F.col(key).isNull(), "key_repeated": F.col("_rows").isNotNull(), **rules}
+    reasons = F.array_compact(F.array(*[F.when(broken, F.lit(reason)) for reason, broken in conditions.items()]))
+    seen = Observation()
+    counted = marked.withColumn("reasons", reasons).select(*df.columns, "reasons").observe(
+        seen, F.count_if(F.size("reasons") == 0).alias("accepted"),
+        *[F.count_if(F.array_contains("reasons", r)).alias(r) for r in conditions],
+    )
+    counted.withColumn("rejected", (F.size("reasons") > 0).cast("string")).write.partitionBy("rejected").parquet(path)
+    return seen.get
+
+
+def accepted(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).filter(F.col("rejected") == "false").drop("rejected", "reasons")
+
+
+def rejects(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).filter(F.col("rejected") == "true").drop("rejected")
+
+
 def zero_price_report(tx: DataFrame) -> DataFrame:
     """Stock-adjustment lines (price zero) against all lines."""
     return tx.agg(

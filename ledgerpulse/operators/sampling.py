@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ordering import after_cut, global_rank, order_statistics_by
+from ..functions.ordering import after_cut, global_rank, order_statistics_by, rows_at_positions
 from ..functions.seeding import seeded_order
 
 SEED = 42
@@ -63,12 +63,15 @@ def resample(pool: DataFrame, key: str, groups: list[int], per_group: int, seed:
     Output: ``group``, ``draw`` and the columns of the pool.
     """
     spark = pool.sparkSession
-    size = pool.agg(F.count(F.lit(1))).scalar()
     draws = reduce(DataFrame.unionByName, [
         spark.range(per_group).select(
-            F.lit(g).alias("group"), F.col("id").alias("draw"), seeded_order("id", seed + g).alias("_order")
+            F.lit(g).alias("group"), F.col("id").alias("draw"), seeded_order("id", seed + g).alias("_position")
         )
         for g in groups
-    ]).withColumn("_rank", F.pmod(F.col("_order"), F.nullif(size, F.lit(0))) + 1)
-    numbered = global_rank(pool, key, key, "_rank")
-    return draws.join(numbered, "_rank").select("group", "draw", *pool.columns)
+    ])
+    return rows_at_positions(pool, key, draws, "_position").select("group", "draw", *pool.columns)
+
+
+def shuffled_positions(df: DataFrame, key: str, seed: int = 7) -> DataFrame:
+    """Every row with its position (from 1) in seeded order."""
+    return global_rank(df.withColumn("_seeded", seeded_order(key, seed)), "_seeded", key, "position").drop("_seeded")

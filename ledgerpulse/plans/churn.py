@@ -211,8 +211,12 @@ def duplicate_invoices(spark: SparkSession, d: str) -> DataFrame:
 
 
 def key_checks(spark: SparkSession, d: str) -> DataFrame:
-    """Duplicate keys per dimension (none expected)."""
-    star = normalized(spark, d)
+    """Duplicate keys per dimension (none expected), both dimensions from one stored pass over the raw lines."""
+    keys = data.raw_invoices(spark, d).select("stock_code", "customer_id", "country", "description").withColumns({
+        c: F.lit(None).cast(schemas.RAW_INVOICES[raw].dataType)
+        for c, raw in (("invoice", "invoice"), ("quantity", "quantity"), ("invoice_date", "invoicedate"), ("price", "price"))
+    })
+    star = ingest.normalize_invoices(materialize(keys, "lines"))
     parts = {"customers": star.customers, "products": star.products}
     return quality.union_by_name(
         quality.duplicate_keys(df, schemas.PRIMARY_KEY[name]).agg(
@@ -221,6 +225,39 @@ def key_checks(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def priced_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Lines per stock code once lines without a price are gone; every fiftieth product is given away here."""
+    tx = data.transactions(spark, d, "stock_code", "quantity", "price")
+    free = F.col("stock_code").cast("int") % 50 == 7
+    given = tx.withColumn("price", F.when(free, F.lit(0)).otherwise(F.col("price")).cast(schemas.PRICE))
+    return quality.without_zero_price(given).groupBy("stock_code").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("quantity").alias("units")
+    )
+
+
+def _stored_by_keys(spark: SparkSession, d: str) -> str:
+    path = fresh_path(spark, "by-keys")
+    tables.write_by_keys(data.transactions(spark, d), path, ["stock_code", "invoice"], files=16)
+    return path
+
+
+def invoice_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """All lines of the invoices and credit notes of the three largest orders, from the table laid out by keys."""
+    largest = data.table(spark, d, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(3)
+    numbers = [str(r["o_orderkey"]) for r in largest.select("o_orderkey").collect()]
+    found = tables.look_up(spark, _stored_by_keys(spark, d), "invoice", numbers + ["C" + n for n in numbers])
+    return found.withColumn("price", F.col("price").cast("double"))
+
+
+def stock_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """Lines and units of the five dearest products, from the table laid out by keys."""
+    dearest = data.table(spark, d, "part").orderBy(F.desc("p_retailprice"), "p_partkey").limit(5)
+    codes = [str(r["p_partkey"]) for r in dearest.select("p_partkey").collect()]
+    return tables.look_up(spark, _stored_by_keys(spark, d), "stock_code", codes).groupBy("stock_code", "is_cancellation").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("quantity").alias("units")
+    )
+
+
 def orphan_documents(spark: SparkSession, d: str) -> DataFrame:
     return quality.orphans(data.table(spark, d, "documents"), "doc_id", data.table(spark, d, "labels"))
 
@@ -386,10 +423,13 @@ QUERIES: dict[str, Query] = {
     "d_length_checks": length_checks,
     "d_precision_checks": precision_checks,
     "d_zero_price": zero_price,
+    "d_priced_lines": priced_lines,
     "d_guest_share": guest_share,
     "d_never_described": never_described,
     "io_raw_csv_ingest": raw_csv_ingest,
     "io_stored_fact_month": stored_fact_month,
+    "io_invoice_lookup": invoice_lookup,
+    "io_stock_lookup": stock_lookup,
     "io_scores_csv": scores_csv,
     "io_replaced_table": replaced_table,
     "ch_account_features": account_features,

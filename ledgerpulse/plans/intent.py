@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import dashboards, drift, evaluation, intents, sampling, text_model
-from ..sources import documents, tables
+from ..operators import dashboards, drift, evaluation, intents, quality, sampling, text_model
+from ..sources import documents, keyed_store, schemas, tables
 from ..sources import testdata as data
 from ..sources.workspace import fresh_path, materialize, spread
 from ..streaming import monitor
@@ -101,6 +101,64 @@ def stored_conversations(spark: SparkSession, d: str) -> DataFrame:
     return late.groupBy("batch", "category").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def upserted_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Two loads of the keyed store that overlap, the second one twice, read back."""
+    path = fresh_path(spark, "store")
+    docs = materialize(shaped_documents(spark, d), "documents")
+    late = docs.filter("batch >= 4").withColumn("category", F.upper("category"))
+    for load in (docs.filter("batch <= 6"), late, late):
+        keyed_store.upsert(load, path, "conversation_id")
+    return keyed_store.read_store(spark, path, schemas.DOCUMENTS, "conversation_id")
+
+
+def load_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Rows accepted and rejected, by reason, of a load in which rows break each rule of the relational table."""
+    number = F.substring("conversation_id", 6, 12).try_cast("int")
+    damage = F.pmod(number, F.lit(50))
+    long = {c: F.when(damage == at, F.repeat(c, 15)).otherwise(F.col(c)) for c, at in (("true_intent", 13), ("predicted_intent", 17), ("category", 19))}
+    rows = shaped_documents(spark, d).withColumns({
+        **long,
+        "confidence": F.when(damage == 29, F.lit(12.5)).otherwise(F.col("confidence")),
+        "conversation_id": F.when(damage == 7, F.format_string("conv_%06d", number - 1)).when(damage == 11, F.lit(None))
+        .when(damage == 23, F.concat("conversation_id", F.lit("0" * 20))).otherwise(F.col("conversation_id")),
+    })
+    path = fresh_path(spark, "checked")
+    rules = quality.length_rules(schemas.MAX_LENGTH["conversations"]) | quality.fit_rule("confidence", schemas.CONFIDENCE)
+    quality.checked_load(materialize(rows, "load"), path, "conversation_id", rules)
+    kept = quality.accepted(spark, path).agg(F.lit("accepted").alias("reason"), F.count(F.lit(1)).alias("rows"))
+    broken = quality.rejects(spark, path).select(F.explode("reasons").alias("reason")).groupBy("reason")
+    return kept.unionByName(broken.agg(F.count(F.lit(1)).alias("rows")))
+
+
+def utterances_csv(spark: SparkSession, d: str) -> DataFrame:
+    """Texts with their class as CSV, line breaks and quotes included, read back."""
+    path = fresh_path(spark, "utterances.csv")
+    rows = data.text_rows(spark, d).select("text", "intent_name")
+    rows.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False).csv(path)
+    return tables.read_csv(spark, path, schemas.UTTERANCES, multi_line=True)
+
+
+def classified_csv(spark: SparkSession, d: str) -> DataFrame:
+    """Classified rows as CSV and read back with their declared types, per batch and prediction."""
+    path = fresh_path(spark, "classified.csv")
+    tables.write_csv(data.classified(spark, d).select(schemas.CLASSIFIED.names), path)
+    back = tables.read_csv(spark, path, schemas.CLASSIFIED)
+    return back.groupBy("batch", "category", "pred").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("correct").alias("correct"), F.sum(F.length("text")).alias("chars"),
+        F.round(F.sum("confidence"), 4).alias("confidence"),
+    )
+
+
+def batch_stats_csv(spark: SparkSession, d: str) -> DataFrame:
+    """Batch statistics as one CSV file in batch order, read back with the place of every line."""
+    path = fresh_path(spark, "batches.csv")
+    stats = pool_stats(spark, d)[1].select(schemas.BATCH_STATS.names)
+    tables.write_csv(rounded(stats, 9, "accuracy", "avg_confidence", "hard_intent_share").orderBy("batch").coalesce(1), path)
+    lines = tables.read_csv(spark, path, schemas.BATCH_STATS)
+    return lines.withColumn("position", F.monotonically_increasing_id() + 1)
+
+
 def low_confidence(spark: SparkSession, d: str) -> DataFrame:
     return documents.low_confidence(shaped_documents(spark, d))
 
@@ -120,6 +178,11 @@ def macro_f1(spark: SparkSession, d: str) -> DataFrame:
     return rounded(evaluation.f1_summary(pool_counts(spark, d)[1]), 9, "macro_f1")
 
 
+def binary_f1(spark: SparkSession, d: str) -> DataFrame:
+    """F1 of one class against all others."""
+    return rounded(evaluation.binary_f1(pool_counts(spark, d)[1], "purchase"), 9, "f1")
+
+
 def class_report(spark: SparkSession, d: str) -> DataFrame:
     return rounded(evaluation.class_report(pool_counts(spark, d)[1]), 9, "precision", "recall", "f1")
 
@@ -197,6 +260,11 @@ def shuffled_rows(spark: SparkSession, d: str) -> DataFrame:
     return sampling.seeded_shuffle(data.table(spark, d, "events").select("event_id", "event_type"), "event_id")
 
 
+def shuffled_positions(spark: SparkSession, d: str) -> DataFrame:
+    """Position of every event after a seeded shuffle."""
+    return sampling.shuffled_positions(data.table(spark, d, "events").select("event_id", "event_type"), "event_id")
+
+
 # --- text models --------------------------------------------------------------
 
 
@@ -302,10 +370,16 @@ QUERIES: dict[str, Query] = {
     "d_shaped_documents": shaped_documents,
     "io_document_roundtrip": document_roundtrip,
     "io_stored_conversations": stored_conversations,
+    "io_upserted_documents": upserted_documents,
+    "io_utterances_csv": utterances_csv,
+    "io_classified_csv": classified_csv,
+    "io_batch_stats_csv": batch_stats_csv,
+    "d_load_rejects": load_rejects,
     "io_low_confidence": low_confidence,
     "io_misclassified": misclassified,
     "ev_accuracy": accuracy,
     "ev_macro_f1": macro_f1,
+    "ev_binary_f1": binary_f1,
     "ev_class_report": class_report,
     "ev_confusion": confusion,
     "ev_confusion_matrix": confusion_matrix,
@@ -321,6 +395,7 @@ QUERIES: dict[str, Query] = {
     "dr_resampled": resampled,
     "dr_shuffled_batches": shuffled,
     "dr_shuffled_rows": shuffled_rows,
+    "dr_shuffled_positions": shuffled_positions,
     "ml_tfidf": tfidf,
     "ml_intent_split": intent_split,
     "ml_intent_classified": intent_classified,

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -34,12 +37,12 @@ def read_raw_invoices(
     """Raw invoice export under model column names.
 
     Descriptions may hold quoted line breaks, so a file is one task, as a gzip file is anyway; without such
-    breaks ``multi_line=False`` lets plain files be split. ``partitions`` deals the rows of a few large files
-    out again before any work.
+    breaks ``multi_line=False`` lets plain files be split. Only the parsing stays with that task: the rows are dealt out
+    behind it, to ``partitions`` tasks or as many as adaptive execution wants.
     """
     raw = read_csv(spark, path, schemas.RAW_INVOICES, multi_line)
-    if partitions:
-        raw = raw.repartition(partitions)
+    if multi_line or partitions:
+        raw = raw.repartition(partitions) if partitions else raw.hint("rebalance")
     return raw.withColumnsRenamed(RAW_TO_MODEL)
 
 
@@ -83,6 +86,44 @@ def write_transactions(tx: DataFrame, path: str) -> None:
     )
 
 
+def z_order(df: DataFrame, columns: Sequence[str], bits: int = 6, out: str = "_z") -> DataFrame:
+    """Add ``out``: the bits of the rank of each column, interleaved from the lowest up.
+
+    The rank of a row is the range it falls in when the table is dealt out by that column; the other columns
+    break ties, so a value that very many rows share spreads over several ranges.
+    """
+    ids = []
+    for i, c in enumerate(columns):
+        rest = [o for o in columns if o != c]
+        df = df.repartitionByRange(1 << bits, c, *rest).withColumn(f"_rank{i}", F.spark_partition_id())
+        ids.append(f"_rank{i}")
+    z = reduce(Column.bitwiseOR, [
+        F.shiftleft(F.shiftright(F.col(c), b).bitwiseAND(1), b * len(ids) + i) for b in range(bits) for i, c in enumerate(ids)
+    ])
+    return df.withColumn(out, z).drop(*ids)
+
+
+def write_by_keys(df: DataFrame, path: str, columns: Sequence[str], files: int, bits: int = 6) -> None:
+    """A table that can be looked up by any of ``columns``: files follow their Z-order.
+
+    A file, and each of its row groups, holds a narrow stretch of every column, which its statistics tell; Bloom filters of the
+    columns tell within that stretch. Takes the place of one index per column.
+    """
+    writer = z_order(df, columns, bits).repartitionByRange(files, "_z", *columns).sortWithinPartitions("_z", *columns).drop("_z").write
+    for c in columns:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", True)
+    writer.mode("overwrite").parquet(path)
+
+
+def look_up(spark: SparkSession, path: str, column: str, values: Sequence[object]) -> DataFrame:
+    """Rows with one of ``values``, asked for so that Parquet can tell from its statistics and filters.
+
+    Spark hands an IN list to Parquet as single values only while it is short, hence the chain of equalities.
+    """
+    wanted = reduce(Column.__or__, [F.col(column) == F.lit(v) for v in values], F.lit(False))
+    return spark.read.parquet(path).filter(wanted)
+
+
 def write_conversations(flat: DataFrame, path: str) -> None:
     """Classified rows by batch, ordered by category inside each file."""
     (
