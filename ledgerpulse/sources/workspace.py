@@ -6,10 +6,15 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
+_owner: ContextVar[str | None] = ContextVar("owner", default=None)
+_owned: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,7 +33,51 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/ledgerpulse/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_folder(spark)}/ledgerpulse/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    if _owner.get():
+        _owned.setdefault(_owner.get(), []).append(path)
+    return path
+
+
+@contextmanager
+def owner(name: str) -> Iterator[None]:
+    """Paths made inside belong to ``name``, until `release` removes them."""
+    token = _owner.set(name)
+    try:
+        yield
+    finally:
+        _owner.reset(token)
+
+
+def release(spark: SparkSession, name: str, *still_read: DataFrame) -> int:
+    """Remove what belongs to ``name``, unless one of ``still_read`` reads it; how many paths went.
+
+    For callers whose results have been written: intermediates of a finished step only take disk.
+    """
+    needed = {f.split(":", 1)[-1] for df in still_read for f in df.inputFiles()}
+    kept, gone = [], 0
+    for path in _owned.pop(name, []):
+        plain = path.split(":", 1)[-1].lstrip("/")
+        if any(plain in f for f in needed):
+            kept.append(path)
+        else:
+            _remove(spark, path)
+            gone += 1
+    if kept:
+        _owned[name] = kept
+    return gone
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def drop_stored(df: DataFrame) -> None:
+    """Remove a table that `materialize` stored and that nothing will read again."""
+    path = df.__dict__.pop("stored_at", None)
+    if path:
+        _remove(df.sparkSession, path)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -40,7 +89,9 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__["stored_at"] = path
+    return out
 
 
 def spread(df: DataFrame) -> DataFrame:
