@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import dashboards, drift, evaluation, intents, quality, sampling, text_model
 from ..sources import documents, keyed_store, schemas, tables
 from ..sources import testdata as data
 from ..sources.workspace import fresh_path, materialize, spread
-from ..streaming import monitor
+from ..streaming import baseline, ledger, monitor
 from .churn import Query, formula_scores, rounded
 
 INTENT_TEST_SHARE = 0.25
@@ -17,6 +17,8 @@ INTENT_TEST_SHARE = 0.25
 STOP_WORDS = ["and", "at", "for", "he", "in", "is", "it", "of", "on", "or", "that", "the", "to", "was", "with"]
 # The artificial classifier of the streaming query gets worse on this day.
 DRIFT_DAY = "2024-01-22 00:00:00"
+# Streams that are started twice get the rows from here on with their second load; rows before the other time can be held back.
+SECOND_LOAD, HELD_BACK = "2024-01-19 00:00:00", "2024-01-11 00:00:00"
 
 
 # --- inputs -----------------------------------------------------------------
@@ -360,6 +362,40 @@ def stream_documents(spark: SparkSession, d: str) -> DataFrame:
     return _run_monitor(monitor.read_documents(spark, path, schema), spark.read.schema(schema).json(path))
 
 
+def _arrivals(spark: SparkSession, d: str) -> tuple[DataFrame, Column]:
+    rows = data.classified_rows(data.table(spark, d, "events"), F.col("ts") >= F.lit(DRIFT_DAY).cast("timestamp_ntz"))
+    rows = rows.select("event_id", "ts", "confidence", "correct")
+    return rows, F.col("ts") < F.lit(SECOND_LOAD).cast("timestamp_ntz")
+
+
+def stream_baseline(spark: SparkSession, d: str) -> DataFrame:
+    """Daily accuracy with the running baseline from keyed state; the stream is stopped after its first files and started again."""
+    rows, first = _arrivals(spark, d)
+    folder, table, checkpoint = (fresh_path(spark, x) for x in ("arrivals", "windows", "stream"))
+    for load in (rows.filter(first), rows.filter(~first)):
+        load.write.mode("append").json(folder)
+        stats = monitor.window_stats(monitor.read_documents(spark, folder, rows.schema), "ts")
+        baseline.start(stats, table, checkpoint, availableNow=True).awaitTermination()
+    arrived = spark.read.schema(rows.schema).json(folder)
+    closed = baseline.read_sums(spark, table)
+    whole = baseline.with_open(closed, monitor.open_windows(arrived, table, "ts"))
+    judged = baseline.judged(whole)
+    return judged.join(whole.select("window_start", "closed"), "window_start")
+
+
+def stream_late_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Rows kept and rows too late per day, where a hundredth of the first ten days arrives with the second load."""
+    rows, first = _arrivals(spark, d)
+    held = (F.col("event_id") % 100 == 3) & (F.col("ts") < F.lit(HELD_BACK).cast("timestamp_ntz"))
+    folder, checkpoint = fresh_path(spark, "arrivals"), fresh_path(spark, "stream")
+    book = ledger.Ledger(fresh_path(spark, "ledger"), "ts")
+    for load in (rows.filter(first & ~held), rows.filter(~first | held)):
+        load.write.mode("append").json(folder)
+        book.start(monitor.read_documents(spark, folder, rows.schema), checkpoint, availableNow=True).awaitTermination()
+    late = book.late(spark).groupBy("window_start").agg(F.count(F.lit(1)).alias("late_rows"))
+    return book.windows(spark).join(late, "window_start", "left").na.fill(0, ["late_rows"])
+
+
 QUERIES: dict[str, Query] = {
     "nq_b1_batch_accuracy": batch_accuracy,
     "nq_b2_intent_precision": intent_precision,
@@ -409,4 +445,6 @@ QUERIES: dict[str, Query] = {
     "bi_kpi_document": kpi_document,
     "st_event_windows": stream_events,
     "st_document_windows": stream_documents,
+    "st_keyed_baseline": stream_baseline,
+    "st_late_rows": stream_late_rows,
 }
