@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_start, months_apart
-from ..functions.numeric import percent, ratio, round_half_up, round_money
+from ..functions.numeric import exact_percent, exact_ratio, ratio, round_money
 from ..functions.ordering import ntiles_global
 
 
@@ -44,7 +44,7 @@ def monthly_activity(tx: DataFrame) -> DataFrame:
     before = F.lag("revenue").over(Window.orderBy("month"))
     return monthly.select(
         "month", "active_customers", round_money("revenue").alias("revenue"),
-        round_half_up(percent(F.col("revenue") - before, before), 1).alias("revenue_mom_change_pct"),
+        exact_percent(F.col("revenue") - before, before, 1).alias("revenue_mom_change_pct"),
     ).orderBy("month")
 
 
@@ -72,7 +72,7 @@ def cohort_retention(tx: DataFrame, max_month: int = 6) -> DataFrame:
     )
     return (
         active.withColumn("cohort_customers", size)
-        .withColumn("retention_pct", round_half_up(percent("active_customers", "cohort_customers"), 1))
+        .withColumn("retention_pct", exact_percent("active_customers", "cohort_customers", 1))
         .select("cohort_month", "month_number", "active_customers", "cohort_customers", "retention_pct")
         .orderBy("cohort_month", "month_number")
     )
@@ -113,7 +113,7 @@ def churn_status(activity: DataFrame, cutoff_days: int = 90) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("customers"))
     )
     total = F.sum("customers").over(Window.partitionBy())
-    return counts.withColumn("pct", round_half_up(percent(F.col("customers"), total), 1))
+    return counts.withColumn("pct", exact_percent(F.col("customers"), total, 1))
 
 
 def product_revenue(tx: DataFrame) -> DataFrame:
@@ -140,7 +140,7 @@ def top_products(tx: DataFrame, products: DataFrame, n: int = 15) -> DataFrame:
         top.join(F.broadcast(running), "revenue")
         .select(
             "stock_code", "description", "revenue",
-            round_half_up(percent(F.col("_running"), total), 2).alias("cumulative_pct"),
+            exact_percent(F.col("_running"), total, 2).alias("cumulative_pct"),
         )
         .orderBy(F.desc("revenue"), "stock_code")
         .withColumn("revenue", round_money("revenue"))
@@ -197,9 +197,7 @@ def revenue_drops(tx: DataFrame, floor: float = 500, keep: float = 0.2, n: int =
         fallen.select(
             "customer_id", "month", round_money("revenue").alias("revenue"),
             round_money("prev_revenue").alias("prev_revenue"),
-            round_half_up(
-                percent(F.col("revenue") - F.col("prev_revenue"), F.col("prev_revenue")), 1
-            ).alias("mom_change_pct"),
+            exact_percent(F.col("revenue") - F.col("prev_revenue"), F.col("prev_revenue"), 1).alias("mom_change_pct"),
         )
         .orderBy("mom_change_pct", "customer_id", "month")
         .limit(n)
@@ -220,7 +218,7 @@ def high_value_customers(tx: DataFrame, n: int = 15) -> DataFrame:
     mean = ratio("_total", "orders")
     return (
         per_customer.filter(mean > overall)
-        .select("customer_id", "orders", round_half_up(mean, 2).alias("avg_order_value"))
+        .select("customer_id", "orders", exact_ratio("_total", "orders", 2).alias("avg_order_value"))
         .orderBy(F.desc("avg_order_value"), "customer_id")
         .limit(n)
     )

@@ -108,3 +108,20 @@ def kpi_document(scores: DataFrame, pool: DataFrame, stats: DataFrame, pairs: in
         "confused_pairs": _column_of(top, rank, F.col("pair")),
         "confused_counts": _column_of(top, rank, F.col("count")),
     })
+
+
+def kpi_values(document: DataFrame) -> DataFrame:
+    """The KPI document as rows ``field``, ``item`` and ``value``; arrays come with their label, flags as 0 and 1."""
+    single = ("total_accounts", "churn_rate", "at_risk_accounts", "value_at_risk", "total_conversations", "accuracy", "n_alerts", "n_batches")
+    entry = lambda field, item, value: F.struct(
+        F.lit(field).alias("field"), item.cast("string").alias("item"), value.cast("double").alias("value")
+    )
+    lists = [F.array(*[entry(c, F.lit(""), F.col(c)) for c in single])]
+    lists.append(F.transform(F.map_entries("segments"), lambda e: entry("segments", e["key"], e["value"])))
+
+    def listed(field: str, labels: str) -> Column:
+        zipped = F.arrays_zip(F.col(labels).alias("a"), F.col(field).alias("b"))
+        return F.transform(zipped, lambda e: entry(field, e["a"], e["b"].cast("int") if field == "batch_alert" else e["b"]))
+
+    lists += [listed("batch_accuracy", "batch_labels"), listed("batch_alert", "batch_labels"), listed("confused_counts", "confused_pairs")]
+    return document.select(F.inline(F.concat(*lists)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import flag, percent, ratio, round_half_up
+from ..functions.numeric import exact_percent, exact_ratio, flag, ratio
 
 
 def _right() -> Column:
@@ -20,8 +20,8 @@ def batch_accuracy(flat: DataFrame, max_drop_pp: float = 5) -> DataFrame:
     """
     stats = flat.groupBy("batch").agg(
         F.count(F.lit(1)).alias("n"),
-        round_half_up(percent(_right(), F.count(F.lit(1))), 1).alias("accuracy_pct"),
-        round_half_up(ratio(F.sum("confidence"), F.count("confidence")), 3).alias("avg_confidence"),
+        exact_percent(_right(), F.count(F.lit(1)), 1).alias("accuracy_pct"),
+        exact_ratio(F.sum("confidence"), F.count("confidence"), 3).alias("avg_confidence"),
     )
     return running_baseline(stats, max_drop_pp)
 
@@ -31,12 +31,12 @@ def running_baseline(stats: DataFrame, max_drop_pp: float = 5, order: str = "bat
     earlier = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     # Percentages have one decimal, so their exact mean is taken in DECIMAL.
     exact = F.col("accuracy_pct").cast("decimal(5,1)")
-    baseline = ratio(F.sum(exact).over(earlier), F.count(exact).over(earlier))
+    fallen = F.col("_sum") - F.col("_count") * exact
     return (
-        stats.withColumn("_baseline", baseline)
-        .withColumn("running_baseline", round_half_up("_baseline", 1))
-        .withColumn("drift_alert", (F.col("_baseline") - F.col("accuracy_pct")).cast("decimal(28,6)") > max_drop_pp)
-        .drop("_baseline")
+        stats.withColumns({"_sum": F.sum(exact).over(earlier), "_count": F.count(exact).over(earlier)})
+        .withColumn("running_baseline", exact_ratio("_sum", "_count", 1))
+        .withColumn("drift_alert", F.when(F.col("_count") > 0, fallen > F.lit(str(max_drop_pp)).cast("decimal(9,3)") * F.col("_count")))
+        .drop("_sum", "_count")
         .orderBy(order)
     )
 
@@ -47,7 +47,7 @@ def intent_precision(flat: DataFrame, min_predictions: int = 5) -> DataFrame:
         flat.groupBy("predicted_intent")
         .agg(F.count(F.lit(1)).alias("predictions"), _right().alias("correct"))
         .filter(F.col("predictions") >= min_predictions)
-        .withColumn("precision_pct", round_half_up(percent("correct", "predictions"), 1))
+        .withColumn("precision_pct", exact_percent("correct", "predictions", 1))
         .orderBy("precision_pct", "predicted_intent")
     )
 
@@ -68,7 +68,7 @@ def category_accuracy(flat: DataFrame) -> DataFrame:
     stats = flat.groupBy("category").agg(F.count(F.lit(1)).alias("n"), _right().alias("_right"))
     share = ratio("_right", "n")
     return stats.select(
-        "category", "n", round_half_up(percent("_right", "n"), 1).alias("accuracy_pct"),
+        "category", "n", exact_percent("_right", "n", 1).alias("accuracy_pct"),
         F.rank().over(Window.orderBy(share)).alias("worst_rank"),
     ).orderBy("worst_rank", F.asc_nulls_last("category"))
 

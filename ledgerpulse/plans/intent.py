@@ -331,6 +331,13 @@ def kpi_document(spark: SparkSession, d: str) -> DataFrame:
     return dashboards.kpi_document(formula_scores(spark, d), *pool_stats(spark, d))
 
 
+def kpi_values(spark: SparkSession, d: str) -> DataFrame:
+    """Every figure of the KPI document."""
+    values = dashboards.kpi_values(materialize(kpi_document(spark, d), "kpis"))
+    places = F.when(F.col("field") == "value_at_risk", F.round("value", 2)).otherwise(F.round("value", 9))
+    return values.withColumn("value", places)
+
+
 # --- streams ------------------------------------------------------------------
 
 
@@ -443,6 +450,7 @@ QUERIES: dict[str, Query] = {
     "bi_wrong_pairs": wrong_pairs,
     "bi_category_share": category_share,
     "bi_kpi_document": kpi_document,
+    "bi_kpi_values": kpi_values,
     "st_event_windows": stream_events,
     "st_document_windows": stream_documents,
     "st_keyed_baseline": stream_baseline,

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from ..functions.numeric import ratio, round_half_up
+from ..functions.numeric import exact_ratio
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -46,10 +46,11 @@ def with_sums(stats: DataFrame, by: Column | None = None) -> DataFrame:
 
 def judged(sums: DataFrame, max_drop_pp: float = 5) -> DataFrame:
     """Running baseline and alert from the sums of earlier windows; works on streams and tables."""
-    baseline = ratio(F.col("earlier_tenths"), 10 * F.col("earlier_windows"))
+    windows = 10 * F.col("earlier_windows")
+    fallen = F.col("earlier_tenths") - windows * F.col("accuracy_pct").cast("decimal(5,1)")
     return sums.select(
-        "window_start", "n", "accuracy_pct", "avg_confidence", round_half_up(baseline, 1).alias("running_baseline"),
-        ((baseline - F.col("accuracy_pct")).cast("decimal(28,6)") > max_drop_pp).alias("drift_alert"),
+        "window_start", "n", "accuracy_pct", "avg_confidence", exact_ratio("earlier_tenths", windows, 1).alias("running_baseline"),
+        F.when(windows > 0, fallen > F.lit(str(max_drop_pp)).cast("decimal(9,3)") * windows).alias("drift_alert"),
     )
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.numeric import flag, percent, ratio, round_half_up
+from ..functions.numeric import exact_percent, exact_ratio, flag
 
 WINDOWS = "window_start timestamp_ntz, n bigint, correct bigint, confidence decimal(38,6), confident bigint"
 _COLUMNS = [c.split()[0] for c in WINDOWS.split(", ")]
@@ -105,8 +105,8 @@ class Ledger:
         closed = spark.read.parquet(f"{self.path}/closed").select(*_COLUMNS, F.lit(True).alias("closed"))
         opened = spark.createDataFrame([Row(*w, False) for w in self.state()[1]], f"{WINDOWS}, closed boolean")
         return closed.unionByName(opened).select(
-            "window_start", "n", round_half_up(percent("correct", "n"), 1).alias("accuracy_pct"),
-            round_half_up(ratio("confidence", "confident"), 3).alias("avg_confidence"), "closed",
+            "window_start", "n", exact_percent("correct", "n", 1).alias("accuracy_pct"),
+            exact_ratio("confidence", "confident", 3).alias("avg_confidence"), "closed",
         )
 
     def late(self, spark: SparkSession) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..functions.numeric import flag, percent, ratio, round_half_up
+from ..functions.numeric import exact_percent, exact_ratio, flag
 from ..operators.intents import running_baseline
 
 STATS_SCHEMA = "window_start timestamp_ntz, n bigint, accuracy_pct double, avg_confidence double"
@@ -50,8 +50,8 @@ def window_stats(
         .groupBy(F.window(event_time, window).alias("_window"))
         .agg(
             rows.alias("n"),
-            round_half_up(percent(F.sum(flag(F.col(correct).cast("boolean"))), rows), 1).alias("accuracy_pct"),
-            round_half_up(ratio(F.sum("confidence"), F.count("confidence")), 3).alias("avg_confidence"),
+            exact_percent(F.sum(flag(F.col(correct).cast("boolean"))), rows, 1).alias("accuracy_pct"),
+            exact_ratio(F.sum("confidence"), F.count("confidence"), 3).alias("avg_confidence"),
         )
         .select(start.alias("window_start"), "n", "accuracy_pct", "avg_confidence")
     )

@@ -8,6 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerpulse.functions import numeric
 from ledgerpulse.functions.numeric import round_half_even, round_half_up
 from ledgerpulse.operators import accounts, commerce, dashboards, drift, evaluation, ingest, intents, quality, retention
 from ledgerpulse.operators.sampling import train_sizes
@@ -220,3 +221,19 @@ def test_violation_tables(spark):
     lines = tx(spark, [("1", "a", 1, "UK", datetime(2010, 1, 1), 1, p) for p in ("0", "1")])
     assert tuple(quality.zero_price_report(lines).first()) == (1, 2)
     assert quality.without_zero_price(lines).count() == 1
+
+
+@pytest.mark.parametrize("top, bottom, places, times, want", [
+    ("1", "8", 2, 1, 0.13), ("-1", "8", 2, 1, -0.13), ("1", "-8", 2, 1, -0.13), ("0.125", "1", 2, 1, 0.13), ("2.5", "1", 0, 1, 3.0),
+    ("1", "2000", 1, 100, 0.1), ("999999", "2000000", 1, 100, 50.0), ("9999994", "20000000", 1, 100, 50.0), ("0", "7", 1, 100, 0.0),
+    ("49.949999", "1", 1, 1, 49.9), ("49.95", "1", 1, 1, 50.0), ("123456789012.345", "0.001", 1, 1, 123456789012345.0), ("5", "0", 1, 1, None),
+])
+def test_ratios_are_rounded_once(spark, top, bottom, places, times, want):
+    row = spark.range(1).select(F.lit(top).cast("decimal(30,6)").alias("t"), F.lit(bottom).cast("decimal(30,6)").alias("b"))
+    assert row.select(numeric.exact_ratio("t", "b", places, times)).first()[0] == want
+
+
+def test_a_ratio_just_under_a_half_is_not_rounded_twice(spark):
+    # 0.24999995 has seven decimals: brought to six it would be 0.25, and 0.3 from there.
+    row = spark.sql("SELECT 24999995L AS t, 100000000L AS b")
+    assert row.select(numeric.exact_ratio("t", "b", 1)).first()[0] == 0.2

@@ -25,7 +25,7 @@ def test_same_rows(spark, tables, duck, name):
 
 def test_only_fitted_models_and_the_document_lack_sql():
     assert set(SQL) <= set(QUERIES)
-    assert all(q.startswith(("ml_", "sv_cox", "bi_kpi_document")) for q in MODELS)
+    assert all(q.startswith(("ml_intent", "ml_quality", "bi_kpi_document")) for q in MODELS)
 
 
 @pytest.mark.parametrize("name", MODELS)
