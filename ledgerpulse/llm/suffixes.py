@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerpulse.llm.common import _steps, arrow_map, arrow_schema, keyed_join, mix64, utf8
-from ledgerpulse.sources.workspace import materialize
+from ledgerpulse.sources.workspace import drop_stored, materialize
 
 #: Bytes of a passage, starts among which an anchor is chosen (a power of two), bytes hashed for the choice.
 PASSAGE, SLIDE, GRAM = 400, 128, 16
@@ -341,7 +341,7 @@ def _across(ends: Sequence, passage: int) -> list[tuple[int, int, int, int, int]
 
 
 def neighbours(held: DataFrame, passage: int, run_bytes: int = RUN_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """``shared`` and ``beside`` of every place in ``held`` (k1, k2, text, places), by one distributed merge sort."""
+    """``shared`` and ``beside`` of every place in ``held`` (k1, k2, text, places), stored, by one distributed merge sort."""
     n_places = held.agg(F.sum(F.size("places"))).first()[0] or 0
     runs = sorted_runs(held, _splitters(held, n_places, passage, range_bytes), passage, run_bytes)
     target = arrow_schema(_FOUND)
@@ -358,14 +358,17 @@ def neighbours(held: DataFrame, passage: int, run_bytes: int = RUN_BYTES, range_
     ends = found.filter("low IS NOT NULL OR high IS NOT NULL").collect()
     columns = ["k1", "k2", *_FIELDS, "shared", "beside"]
     if len({r["part"] for r in ends}) < 2:
-        return found.select(*columns)
+        return found
     # One row per range.
     beyond = held.sparkSession.createDataFrame(_across(ends, passage), "part int, low_shared int, high_shared int, before int, after int")
     joined = found.join(F.broadcast(beyond), "part")
-    return joined.withColumns({
+    known = joined.withColumns({
         "shared": F.greatest("shared", F.when(F.col("low").isNotNull(), F.col("low_shared")), F.when(F.col("high").isNotNull(), F.col("high_shared"))),
         "beside": F.greatest("beside", F.when(F.col("at_low"), F.col("before")), F.when(F.col("at_high"), F.col("after"))),
-    }).select(*columns)
+    })
+    out = materialize(known.select(*columns), "step")
+    drop_stored(found)
+    return out
 
 
 def _gathered(texts: DataFrame, places: DataFrame) -> DataFrame:
@@ -389,16 +392,19 @@ def repeated_starts(docs: DataFrame, passage: int = PASSAGE, slide: int = SLIDE,
     often = places.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core")
     near = F.lit(0).cast("smallint")
     held = materialize(_gathered(long, keyed_join(places, often, ["core"], "left_semi").withColumn("near", near)), "held")
+    drop_stored(places)
     texts = held.select("k1", "k2", "text")
     start = F.col("p") - F.col("near")
     stretches, every, turn = [], None, held
     while True:
-        step = materialize(neighbours(turn, passage, **sizes), "step")
+        step = neighbours(turn, passage, **sizes)
+        if turn is not held:
+            drop_stored(turn)
         stretches.append(step.filter(F.col("shared") >= passage).select(
             "k1", "k2", (start - F.col("shared") + passage).alias("first"), start.alias("last")
         ))
         if every is None:
-            every = step.drop("near", "shared", "beside").distinct()
+            every = step.select("k1", "k2", "p", "back", "upto", "core").distinct()
         else:
             step = keyed_join(step, opened, ["k1", "k2", *_FIELDS], "left_semi")
         # The least distance before the anchor at which a start can still be shared.
