@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import month_start, months_apart
+from ..functions.bitmaps import common_ids, id_bitmaps, n_ids
+from ..functions.dates import month_start
 from ..functions.numeric import exact_percent, exact_ratio, ratio, round_money
 from ..functions.ordering import ntiles_global
 
@@ -33,14 +34,13 @@ def monthly_activity(tx: DataFrame) -> DataFrame:
 
     Credit notes make a customer active but bring no revenue.
     """
-    monthly = (
-        tx.filter(F.col("customer_id").isNotNull())
-        .groupBy(month_start("invoice_date").alias("month"))
-        .agg(
-            F.count_distinct("customer_id").alias("active_customers"),
-            F.sum(F.when(~F.col("is_cancellation"), amount())).alias("revenue"),
-        )
+    known = tx.filter(F.col("customer_id").isNotNull()).select("customer_id", "is_cancellation", amount().alias("_amount"), month_start("invoice_date").alias("month"))
+    # Revenue rides along with the bitmaps, so the lines are read once.
+    parts = known.groupBy("month", F.bitmap_bucket_number("customer_id").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("customer_id")).alias("ids"),
+        F.sum(F.when(~F.col("is_cancellation"), F.col("_amount"))).alias("_revenue"),
     )
+    monthly = parts.groupBy("month").agg(n_ids().alias("active_customers"), F.sum("_revenue").alias("revenue"))
     before = F.lag("revenue").over(Window.orderBy("month"))
     return monthly.select(
         "month", "active_customers", round_money("revenue").alias("revenue"),
@@ -51,21 +51,25 @@ def monthly_activity(tx: DataFrame) -> DataFrame:
 def cohort_retention(tx: DataFrame, max_month: int = 6) -> DataFrame:
     """Share of each first-purchase cohort that is active 0..max_month months later.
 
-    Lines are reduced to distinct customer-months on the map side, a handful of
-    rows also for a hot customer. The cohort is then the first of a customer's
-    months, and as everybody is active in month 0, that count is the cohort's
-    size; no join is needed for either.
+    Two sets of bitmaps are built: who bought in a month, and whose first month it was (from one row per customer). A cell of the result is
+    the number of ids that a cohort shares with a month, so no customer-month is shuffled; everybody is active in
+    month 0, which makes that cell the cohort's size.
     """
-    active_months = (
-        customer_sales(tx).select("customer_id", month_start("invoice_date").alias("active_month")).distinct()
+    bought = customer_sales(tx).select("customer_id", month_start("invoice_date").alias("active_month"))
+    months = id_bitmaps(bought, ["active_month"], "customer_id")
+    born = bought.groupBy("customer_id").agg(F.min("active_month").alias("cohort_month"))
+    cohorts = id_bitmaps(born, ["cohort_month"], "customer_id")
+    ages = F.explode(F.sequence(F.lit(0), F.lit(max_month))).alias("month_number")
+    # Each bitmap of a cohort meets those of the months that follow, each bitmap of a month the cohorts before it.
+    later = cohorts.select("cohort_month", "_bucket", "ids", ages)
+    seen = months.select(ages, "active_month", "_bucket", "ids").withColumn(
+        "cohort_month", F.add_months("active_month", -F.col("month_number"))
     )
-    first = F.min("active_month").over(Window.partitionBy("customer_id"))
     active = (
-        active_months.withColumn("cohort_month", first)
-        .withColumn("month_number", months_apart(F.col("active_month"), F.col("cohort_month")))
-        .filter(F.col("month_number").between(0, max_month))
+        common_ids(later, seen, ["cohort_month", "month_number"])
         .groupBy("cohort_month", "month_number")
-        .agg(F.count(F.lit(1)).alias("active_customers"))
+        .agg(n_ids().alias("active_customers"))
+        .filter("active_customers > 0")
     )
     size = F.max(F.when(F.col("month_number") == 0, F.col("active_customers"))).over(
         Window.partitionBy("cohort_month")
@@ -167,9 +171,13 @@ def monthly_demand(tx: DataFrame, n: int = 5) -> DataFrame:
 
 def country_revenue(tx: DataFrame, n: int = 10) -> DataFrame:
     """Countries by revenue. Guests count in the revenue but not as customers."""
+    # Guests are a bucket of their own, without ids.
+    parts = sales(tx).groupBy("country", F.bitmap_bucket_number("customer_id").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("customer_id")).alias("ids"), F.sum(amount()).alias("_revenue")
+    )
     top = (
-        sales(tx).groupBy("country")
-        .agg(F.count_distinct("customer_id").alias("customers"), F.sum(amount()).alias("revenue"))
+        parts.groupBy("country")
+        .agg(n_ids().alias("customers"), F.sum("_revenue").alias("revenue"))
         .orderBy(F.desc("revenue"), "country")
         .limit(n)
     )

@@ -54,6 +54,8 @@ def release(spark: SparkSession, name: str, *still_read: DataFrame) -> int:
 
     For callers whose results have been written: intermediates of a finished step only take disk.
     """
+    if any(df.storageLevel.useMemory or df.storageLevel.useDisk for df in still_read):
+        return 0  # a cached table may not have been read yet
     needed = {f.split(":", 1)[-1] for df in still_read for f in df.inputFiles()}
     kept, gone = [], 0
     for path in _owned.pop(name, []):

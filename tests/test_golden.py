@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerpulse.functions import numeric
+from ledgerpulse.functions import bitmaps, dates, numeric
 from ledgerpulse.functions.numeric import round_half_even, round_half_up
 from ledgerpulse.operators import accounts, commerce, dashboards, drift, evaluation, ingest, intents, quality, retention
 from ledgerpulse.operators.sampling import train_sizes
@@ -237,3 +237,23 @@ def test_a_ratio_just_under_a_half_is_not_rounded_twice(spark):
     # 0.24999995 has seven decimals: brought to six it would be 0.25, and 0.3 from there.
     row = spark.sql("SELECT 24999995L AS t, 100000000L AS b")
     assert row.select(numeric.exact_ratio("t", "b", 1)).first()[0] == 0.2
+
+
+def test_bitmaps_count_like_distinct(spark):
+    rows = spark.range(3000).select(
+        F.pmod(F.col("id"), F.lit(7)).alias("g"), F.when(F.col("id") % 11 > 0, F.pmod(F.xxhash64("id"), F.lit(90_000)) - 5).cast("int").alias("c")
+    )
+    rows = rows.unionByName(spark.range(500).select(F.lit(3).cast("bigint").alias("g"), F.lit(42).alias("c")))
+    maps = bitmaps.id_bitmaps(rows, ["g"], "c")
+    want = {r["g"]: r["n"] for r in rows.groupBy("g").agg(F.count_distinct("c").alias("n")).collect()}
+    assert {r["g"]: r["n"] for r in maps.groupBy("g").agg(bitmaps.n_ids().alias("n")).collect()} == want
+    one, two = (maps.filter(F.col("g") == g).withColumn("k", F.lit(1)) for g in (1, 2))
+    ids = {g: {r["c"] for r in rows.filter(F.col("g") == g).collect()} - {None} for g in (1, 2)}
+    met = bitmaps.common_ids(one, two, ["k"]).agg(bitmaps.n_ids().alias("n")).first()["n"]
+    assert (met or 0) == len(ids[1] & ids[2])
+    assert bitmaps.id_bitmaps(rows.filter("c IS NULL"), ["g"], "c").count() == 0
+
+
+def test_months_apart(spark):
+    row = spark.sql("SELECT DATE'2011-03-01' AS a, DATE'2009-12-01' AS b")
+    assert row.select(dates.months_apart(F.col("a"), F.col("b"))).first()[0] == 15
