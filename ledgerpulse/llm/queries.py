@@ -32,7 +32,7 @@ def op1_warc_transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Write all pages as WARC archives, read them back and assemble the transactions."""
     path = fresh_path(spark, "warc")
     warc.write_warc(warc.warc_records(read(spark, folder, "pages")), path)
-    records = materialize(warc.read_warc(spark, path, payloads=False), "records")
+    records = materialize(warc.read_warc(spark, path, payloads=False, sound=True), "records")
     return warc.capture_digests(warc.assemble(records))
 
 

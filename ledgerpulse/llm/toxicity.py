@@ -58,6 +58,8 @@ _HIDDEN = bytes(_LOOKS.get(i, _PLAIN[i]) for i in range(256))
 #: Characters put between letters to break a word up.
 _BREAKS = b"*._-~^`'"
 _DRAWN = re.compile(rb"([A-Za-z])\1\1")
+_LETTERS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+_BEYOND = re.compile(r"[^\x00-\x7f]")
 _MIXED = re.compile(rb"[A-Za-z](?:[0-9@$!|+]|[*._~^-][A-Za-z][*._~^-])[A-Za-z]?(?=[A-Za-z*._~^-])")
 
 
@@ -78,6 +80,16 @@ def terms(text: bytes | None) -> set[bytes]:
     return {b"w" + w for w in words} | {b"s" + w[:STEM] for w in words if len(w) > STEM}
 
 
+def letter_counts(data: bytes) -> tuple[int, int]:
+    """Letters and capitals of any script, each counted once."""
+    letters, capitals = (len(data) - len(data.translate(None, some)) for some in (_LETTERS, _UPPER))
+    if not data.isascii():
+        for c, times in Counter(_BEYOND.findall(data.decode("utf-8", "replace"))).items():
+            letters += times * c.isalpha()
+            capitals += times * c.isupper()
+    return letters, capitals
+
+
 def features(text: bytes | None, lexicon: Lexicon) -> list[float]:
     """The dense features of one text, in the order of ``FEATURES``."""
     data = text or b""
@@ -94,13 +106,12 @@ def features(text: bytes | None, lexicon: Lexicon) -> list[float]:
         while at - hits[first] >= STRETCH:
             first += 1
         peak = max(peak, last - first + 1)
-    letters = max(1, sum(map(data.count, (b"e", b"a", b"n", b"t"))) * 3)
     size = max(1, len(data))
-    capitals = len(data) - len(data.translate(None, _UPPER))
+    letters, capitals = letter_counts(data)
     return [
         math.log1p(len(words)), exact / n, (len(hits) - exact) / n, max(0, len(hidden) - len(hits)) / n,
-        math.log1p(len(hits)), float(peak), near / n, second / n, capitals / letters,
-        sum(1 for w in data.split() if len(w) > 3 and w.isupper()) / n if capitals > n / 4 else 0.0,
+        math.log1p(len(hits)), float(peak), near / n, second / n, capitals / max(1, letters),
+        sum(1 for w in data.split() if len(w) > 3 and w.isupper()) / n,
         data.count(b"!") / n, data.count(b"?") / n, (len(data) - len(data.translate(None, _MARKS))) / size,
         len(_MIXED.findall(data)) / n, len(_DRAWN.findall(data)) / n,
     ]

@@ -154,15 +154,20 @@ def parse_record(data: bytes, start: int, end: int) -> dict:
         head, mark, payload = block.partition(END.encode())
         fields = _fields(head.partition(b"\r\n")[2])
         declared = {k.lower(): v for k, v in fields.items()}.get("content-length", "")
-        n = int(declared) if declared.isdigit() else len(payload)
+        # A revisit has no payload of its own, so its size is what it says; that of a response is what is there.
+        n = int(declared) if declared.isdigit() and kind == "revisit" else len(payload)
     elif kind == "metadata":
         fields = _fields(block)
-    digest = _hex(headers.get("warc-payload-digest"))
+    digest, sound = _hex(headers.get("warc-payload-digest")), None
+    if kind == "response":
+        own = hashlib.sha1(payload).hexdigest()
+        sound = own == digest if digest else None
+        digest = own
     return {
         "type": kind, "record_id": headers.get("warc-record-id"), "concurrent_to": headers.get("warc-concurrent-to"),
         "refers_to": headers.get("warc-refers-to"), "target_uri": headers.get("warc-target-uri"),
         "date": headers.get("warc-date"), "payload_digest": digest, "payload_bytes": n,
-        "digest_ok": hashlib.sha1(payload).hexdigest() == digest if digest and kind == "response" else None,
+        "digest_ok": sound,
         "fields": list(fields.items()), "payload": payload,
     }
 
@@ -194,9 +199,12 @@ def _whole(data: bytes) -> Iterator[dict]:
         data = data[found[1]:].lstrip(b"\r\n")
 
 
-def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+def read_warc(spark: SparkSession, path: str, payloads: bool = True, sound: bool = False) -> DataFrame:
     """One row per record of all archives under ``path``; without ``payloads`` that column is null.
 
+    Size and digest of a response are those of the payload that was read. If they contradict the declared digest, ``digest_ok`` is
+    false, and with ``sound`` the read fails.
+
     Files must be gzipped, one member or one per record, as archives are; Spark does not split those.
     """
 
@@ -208,6 +216,8 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
         )
         rows, size = [], 0
         for record in split_records(pieces):
+            if sound and record["digest_ok"] is False:
+                raise ValueError(f"the payload of {record['record_id']} does not have the declared digest")
             if not payloads:
                 record["payload"] = None
             size += len(record["payload"] or b"")

@@ -9,25 +9,14 @@ from collections import Counter
 from itertools import permutations
 
 import numpy as np
-import oracle
 import pytest
 from conftest_rows import ROWS
 
-from ledgerpulse.llm import audit, bloom, phrases, queries, sql, suffixes
+from ledgerpulse.llm import audit, bloom, phrases, suffixes
 
 LABELS = "doc_id bigint, quality int, toxic int, text string"
 
 
-@pytest.fixture(scope="module")
-def duck(tables):
-    return oracle.connect(tables)
-
-
-@pytest.mark.parametrize("name", ["op11_son_phrases", "op12_filter_audit", "op13_suffix_runs"])
-def test_query_equals_its_sql(spark, tables, duck, name):
-    assert oracle.compare(queries.QUERIES[name](spark, tables), duck, sql.SQL[name]) == []
-
-
 # 11 phrases
 def brute_phrases(rows, support, top, longest=5):
     counts, sizes = {}, Counter()

@@ -12,6 +12,8 @@ import oracle
 import pytest
 from conftest_rows import ROWS
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as contract
 from ledgerpulse.llm import (
     components, embeddings, langid, lines, linking, minhash, mixing, pieces, queries, recipes, sql, toxicity, urlfilter, warc,
@@ -44,7 +46,7 @@ def test_same_rows_as_sql(spark, tables, name):
 def test_all_are_registered():
     names = contract.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")} == set(range(1, 14))
 
 
 # 1 WARC
@@ -73,6 +75,29 @@ def test_warc_round_trip_of_odd_payloads(spark):
     assert got == sorted(want, key=str)
 
 
+def test_a_mangled_payload_is_noticed(spark):
+    path = fresh_path(spark, "warc")
+    pages = spark.createDataFrame([(1, "u", "z" * 3000), (2, "v", "fine")], "page_id bigint, url string, html string")
+    mangled = F.when(F.col("value").startswith("WARC/1.1\r\nWARC-Type: response"), F.replace("value", F.lit("z" * 3000), F.lit("y" * 3000))).otherwise(F.col("value"))
+    warc.write_warc(warc.warc_records(pages).select(mangled.alias("value")), path)
+    read = {r["page_id"]: r for r in warc.capture_digests(warc.assemble(warc.read_warc(spark, path))).collect()}
+    assert read[1]["payload_digest"] == hashlib.sha1(b"y" * 3000).hexdigest() and read[1]["payload_bytes"] == 3000
+    assert warc.read_warc(spark, path).filter("NOT digest_ok").count() == 1
+    with pytest.raises(Exception, match="declared digest"):
+        warc.read_warc(spark, path, sound=True).collect()
+
+
+def test_empty_tables_give_empty_results(spark, none):
+    pages = spark.createDataFrame([], "page_id bigint, url string, html string")
+    path = fresh_path(spark, "warc")
+    warc.write_warc(warc.warc_records(pages), path)
+    assert warc.capture_digests(warc.assemble(warc.read_warc(spark, path, sound=True))).count() == 0
+    assert urlfilter.judge_urls(pages, queries.RULES).count() == 0
+    vectors = spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")
+    assert embeddings.near_vectors(vectors).count() == 0
+    assert pieces.encode(none.select("doc_id", "text")).count() == 0
+
+
 def test_warc_pieces_are_put_together_by_length():
     one = b"WARC/1.1\r\nWARC-Type: resource\r\nContent-Length: 30\r\n\r\n" + b"a\r\n\r\nWARC/1.1\r\nb" + b"c" * 14
     two = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Length: 2\r\n\r\nhi"
@@ -374,6 +399,17 @@ def test_components_of_a_long_path(spark):
 
 
 # 10 toxicity
+def test_letters_and_shouted_words_are_counted_whole():
+    lexicon = toxicity.Lexicon(frozenset([b"bad"]), frozenset())
+    index = {f: i for i, f in enumerate(toxicity.FEATURES)}
+    for text in ["", "ABC def", "ÄÖ äö Straße", "ПРИВЕТ мир", "ALL CAPITALS HERE " * 30, "word " * 5000 + "SHOUT " * 100, "日本 語 A", "é" * 50]:
+        got = toxicity.features(text.encode(), lexicon)
+        letters, capitals = sum(c.isalpha() for c in text), sum(c.isupper() for c in text)
+        assert toxicity.letter_counts(text.encode()) == (letters, capitals)
+        values = [capitals / max(1, letters), sum(len(w) > 3 and w.isupper() for w in text.encode().split()) / max(1, len(text.encode().translate(toxicity._PLAIN).split()))]
+        assert [got[8], got[9]] == pytest.approx(values) and len(index) == len(got)
+
+
 def test_toxicity_on_held_out_rows(spark):
     folder = "/root/testdata/sf0.01"
     out = queries.op10_toxicity_trees(spark, folder).join(queries.read(spark, folder, "labels"), "doc_id").toPandas()
