@@ -77,13 +77,13 @@ def _centred(table: pa.Table, first: bool, last: bool, close: Callable[[pa.Table
 
     Buckets of more than ``_TRIED`` rows, and the first and last if asked for, are kept whole.
     """
-    bucket = table["bucket"].to_numpy()
+    bucket, ids = table["bucket"].to_numpy(), table["id"].to_numpy()
     n = len(bucket)
     starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if n else np.zeros(0, np.int64)
     sizes = np.diff(np.r_[starts, n])
     keep = np.repeat(sizes > _TRIED, sizes)
     for step in range(1, min(_TRIED, max(sizes, default=1))):
-        here = np.flatnonzero(bucket[step:] == bucket[:-step])
+        here = np.flatnonzero((bucket[step:] == bucket[:-step]) & (ids[step:] != ids[:-step]))
         if not len(here):
             break
         near = here[close(table.take(pa.array(here)), table.take(pa.array(here + step)))]

@@ -432,3 +432,11 @@ def test_features_see_disguises():
     names = dict(zip(toxicity.FEATURES, toxicity.features(b"Oh i.d.i.o.t and 1d1ot, you IDIOT !!", lexicon)))
     assert names["hidden_density"] > 0 and names["near_second"] > 0 and names["exclaims"] > 0
     assert set(toxicity.features(None, lexicon)) == {0.0}
+
+
+def test_lines_that_share_half_a_name_are_told_apart(spark):
+    halves = [(b"a" * 8 + b"b" * 8), (b"a" * 8 + b"c" * 8), (b"x" * 8 + b"a" * 8), (b"x" * 8 + b"y" * 8), b"q" * 16]
+    rows = [(bytearray(n), int.from_bytes(n[:8], "little", signed=True)) for n in halves]
+    df = spark.createDataFrame(rows, "name binary, node bigint")
+    nodes = [r[0] for r in df.select(lines._told_apart(df)).collect()]
+    assert len(set(nodes)) == len(halves) and nodes[-1] == rows[-1][1]
