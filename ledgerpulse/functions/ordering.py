@@ -129,11 +129,12 @@ def _counted(df: DataFrame, orders: Sequence[Order], cuts: Sequence[_Cuts]) -> l
     return sorted(found, key=lambda c: (c["_which"], c["_cell"], c["_sub"]))
 
 
-def rows_at_ranks(df: DataFrame, orders: Sequence[Order], held: Callable[[int], int] = lambda n: HELD) -> list[list[RankedRow]]:
+def rows_at_ranks(df: DataFrame, orders: Sequence[Order], held: Callable[[int], int] | None = None) -> list[list[RankedRow]]:
     """The rows at the wanted ranks of each order, by position in its ``ranks``.
 
     All orders share the aggregates and the fetch. ``held`` maps the rows of an order to those of a bracket that are fetched.
     """
+    held = held or _held(None)
     cuts = [_Cuts() for _ in orders]
     wanted: list[list[int]] = []
     sizes: list[int] = []

@@ -20,7 +20,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.workspace import materialize, spread
@@ -87,11 +87,38 @@ def tfidf_long(stages: PipelineModel, df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def classify_terms(
+    weights: DataFrame, key: str, coefficients: DataFrame, labels: list[str], intercepts: dict[str, float] | None = None
+) -> DataFrame:
+    """``pred`` and ``confidence`` per document from its term weights (`tfidf_long`) and a table of coefficients
+    (``term``, ``label``, ``b``): the scoring of the classifier as a join and two sums.
+
+    A document without a known term gets the intercepts alone only if it is in ``weights`` at all. Of classes that score the same the
+    first in label order wins.
+    """
+    listed = F.explode(F.array(*[F.struct(F.lit(c).alias("label"), F.lit((intercepts or {}).get(c, 0.0)).alias("a")) for c in sorted(labels)]))
+    bases = weights.select(key).distinct().select(key, listed.alias("_c")).select(key, "_c.label", F.lit(None).cast("double").alias("v"), "_c.a")
+    parts = weights.join(coefficients, "term").select(key, "label", (F.col("weight") * F.col("b")).alias("v"), F.lit(0.0).alias("a"))
+    scores = bases.unionByName(parts).groupBy(key, "label").agg((F.sum("a") + F.coalesce(F.sum("v"), F.lit(0.0))).alias("z"))
+    best = F.max(F.struct("z", (-F.array_position(F.array(*[F.lit(c) for c in sorted(labels)]), F.col("label"))).alias("first"), "label"))
+    classes = F.collect_list("z")  # as many as there are classes
+    out = scores.groupBy(key).agg(best.alias("best"), classes.alias("zs"))
+    total = F.aggregate(F.col("zs"), F.lit(0.0), lambda acc, z: acc + F.exp(z - F.col("best.z")))
+    return out.select(key, F.col("best.label").alias("pred"), (1 / total).alias("confidence"))
+
+
 @dataclass(frozen=True)
 class IntentModel:
     stages: PipelineModel
     labels: list[str]
 
+    def coefficients(self, spark: SparkSession) -> tuple[DataFrame, dict[str, float]]:
+        """The fitted coefficients as rows ``term``, ``label``, ``b``, and the intercepts."""
+        vocabulary, fit = self.stages.stages[1].vocabulary, self.stages.stages[-2]
+        matrix = fit.coefficientMatrix.toArray()
+        rows = [(t, c, float(b)) for c, own in zip(self.labels, matrix) for t, b in zip(vocabulary, own)]
+        return spark.createDataFrame(rows, "term string, label string, b double"), dict(zip(self.labels, map(float, fit.interceptVector)))
+
     def classify(self, df: DataFrame) -> DataFrame:
         """Add ``pred`` and ``confidence`` (highest class probability), batch or stream."""
         return self.stages.transform(df).select(

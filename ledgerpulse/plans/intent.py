@@ -277,6 +277,19 @@ def tfidf(spark: SparkSession, d: str) -> DataFrame:
     return rounded(text_model.tfidf_long(stages, rows, "doc_id"), 6, "weight")
 
 
+def intent_scored(spark: SparkSession, d: str) -> DataFrame:
+    """Documents classified with stated coefficients: thousandths of a hash of class and term, from -1 to 1."""
+    rows = spread(data.text_rows(spark, d))
+    stages = text_model.tfidf_stages(rows, stop_words=STOP_WORDS)
+    weights = materialize(text_model.tfidf_long(stages, rows, "doc_id"), "weights")
+    labels = ["de", "en", "es", "fr"]
+    digest = F.md5(F.concat("label", F.lit("-"), "term"))
+    stated = weights.select("term").distinct().withColumn("label", F.explode(F.array(*[F.lit(c) for c in labels]))).withColumn(
+        "b", (F.pmod(F.conv(F.substring(digest, 1, 6), 16, 10).cast("bigint"), F.lit(2001)) - 1000) / 1000
+    )
+    return rounded(text_model.classify_terms(weights, "doc_id", stated, labels), 6, "confidence")
+
+
 def intent_split(spark: SparkSession, d: str) -> DataFrame:
     split = sampling.split_by_class(data.text_rows(spark, d), "intent_name", "doc_id", INTENT_TEST_SHARE)
     return split.select("doc_id", "intent_name", "split")
@@ -441,6 +454,7 @@ QUERIES: dict[str, Query] = {
     "dr_shuffled_rows": shuffled_rows,
     "dr_shuffled_positions": shuffled_positions,
     "ml_tfidf": tfidf,
+    "ml_intent_scored": intent_scored,
     "ml_intent_split": intent_split,
     "ml_intent_classified": intent_classified,
     "ml_intent_report": intent_report,
