@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -59,20 +59,20 @@ def checked_load(df: DataFrame, path: str, key: str, rules: dict[str, Column]) -
 
     ``rules`` maps reasons to conditions of a violation (NULL is none). The key must be present and unique; of rows that share
     one all are rejected, as none is the right one. Repeated keys are counted first, so a hot key is one row where the
-    rows meet them, and the counts of all reasons are observed while the rows are written. Accepted rows are read with `accepted`, the
-    others, with ``reasons``, with `rejects`.
+    rows meet them. Accepted rows are read with `accepted`, the others, with ``reasons``, with `rejects`. The counts come from that column of
+    the written files: counts observed during the write would leave the session unable to ship Spark ML's classifiers to its tasks.
     """
     repeated = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
     marked = df.join(repeated, key, "left")
     conditions = {"key_missing": F.col(key).isNull(), "key_repeated": F.col("_rows").isNotNull(), **rules}
     reasons = F.array_compact(F.array(*[F.when(broken, F.lit(reason)) for reason, broken in conditions.items()]))
-    seen = Observation()
-    counted = marked.withColumn("reasons", reasons).select(*df.columns, "reasons").observe(
-        seen, F.count_if(F.size("reasons") == 0).alias("accepted"),
-        *[F.count_if(F.array_contains("reasons", r)).alias(r) for r in conditions],
+    checked = marked.withColumn("reasons", reasons).select(*df.columns, "reasons")
+    checked.withColumn("rejected", (F.size("reasons") > 0).cast("string")).write.partitionBy("rejected").parquet(path)
+    written = df.sparkSession.read.parquet(path)
+    counts = written.agg(
+        F.count_if(F.size("reasons") == 0).alias("accepted"), *[F.count_if(F.array_contains("reasons", r)).alias(r) for r in conditions]
     )
-    counted.withColumn("rejected", (F.size("reasons") > 0).cast("string")).write.partitionBy("rejected").parquet(path)
-    return seen.get
+    return counts.first().asDict()
 
 
 def accepted(spark: SparkSession, path: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -30,12 +30,12 @@ def rounded(df: DataFrame, places: int, *columns: str) -> DataFrame:
 def features(spark: SparkSession, d: str) -> DataFrame:
     """Account features over stored per-customer sums: one pass over the lines serves all that follows.
 
-    The end of the data is observed while the sums are written, so no later step looks for it.
+    The end of the data is looked up once in what was stored, so no later step looks for it.
     """
     tx = data.transactions(spark, d, "invoice", "customer_id", "invoice_date", "quantity", "price", "is_cancellation")
-    seen = Observation()
-    stored = materialize(accounts.customer_activity(tx).observe(seen, F.max("last_seen").cast("string").alias("end")), "activity")
-    end = F.lit(seen.get["end"]).cast(stored.schema["last_seen"].dataType)
+    stored = materialize(accounts.customer_activity(tx), "activity")
+    end = stored.agg(F.max("last_seen").cast("string")).first()[0]
+    end = F.lit(end).cast(stored.schema["last_seen"].dataType)
     return accounts.churn_label(accounts.account_features(stored, end))
 
 
