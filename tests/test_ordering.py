@@ -132,3 +132,22 @@ def test_published_bucket_sizes():
     assert [b - a for a, b in zip(uppers, uppers[1:])] == [54, 54, 54, 53, 54, 54, 53, 54, 54, 54]
     uppers = [0, *O.quantile_ranks(5881, 4), 5881]
     assert [b - a for a, b in zip(uppers, uppers[1:])] == [1471, 1470, 1470, 1470]
+
+def test_brackets_are_searched_not_scanned(spark):
+    points = [float(p) for p in range(-100, 100)]
+    values = [None, float("nan"), float("inf"), float("-inf"), -0.0, 0.5, -100.0, 99.0, 99.5, 7.0]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "v double, id bigint")
+    cut = O._Cuts(points, {7.0: [1.0, 9.0]})
+    out = O._bracketed(df, [O.Order("v", lambda n: [1], "id")], [cut])
+    found = {r["id"]: (r["_cell"], r["_sub"], r["_code"]) for r in out.collect()}
+    # Spark puts NaN above all numbers.
+    place = lambda v, ps: 2 * len(ps) if v != v else 2 * sum(p < v for p in ps) + (v in ps)
+    for i, v in enumerate(values):
+        if v is None:
+            assert i not in found
+            continue
+        cell = place(v, points)
+        assert found[i][:2] == (cell, place(i, [1.0, 9.0]) if v == 7.0 else 0)
+        assert cell % 2 == 0 or found[i][2] == i
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" not in plan  # a loop over all points at every row
