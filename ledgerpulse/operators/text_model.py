@@ -94,16 +94,21 @@ def classify_terms(
     (``term``, ``label``, ``b``): the scoring of the classifier as a join and two sums.
 
     A document without a known term gets the intercepts alone only if it is in ``weights`` at all. Of classes that score the same the
-    first in label order wins.
+    first in label order wins. ``coefficients`` has as many terms as the vocabulary of a model, so it goes to the weights, which stay
+    where they are; a document's weights are then summed before they move.
     """
-    listed = F.explode(F.array(*[F.struct(F.lit(c).alias("label"), F.lit((intercepts or {}).get(c, 0.0)).alias("a")) for c in sorted(labels)]))
-    bases = weights.select(key).distinct().select(key, listed.alias("_c")).select(key, "_c.label", F.lit(None).cast("double").alias("v"), "_c.a")
-    parts = weights.join(coefficients, "term").select(key, "label", (F.col("weight") * F.col("b")).alias("v"), F.lit(0.0).alias("a"))
-    scores = bases.unionByName(parts).groupBy(key, "label").agg((F.sum("a") + F.coalesce(F.sum("v"), F.lit(0.0))).alias("z"))
-    best = F.max(F.struct("z", (-F.array_position(F.array(*[F.lit(c) for c in sorted(labels)]), F.col("label"))).alias("first"), "label"))
-    classes = F.collect_list("z")  # as many as there are classes
-    out = scores.groupBy(key).agg(best.alias("best"), classes.alias("zs"))
-    total = F.aggregate(F.col("zs"), F.lit(0.0), lambda acc, z: acc + F.exp(z - F.col("best.z")))
+    classes = sorted(set(labels))
+    per_term = coefficients.groupBy("term").agg(*[
+        F.sum(F.when(F.col("label") == c, F.col("b"))).alias(f"_b{i}") for i, c in enumerate(classes)
+    ])
+    joined = weights.select(key, "term", "weight").join(F.broadcast(per_term), "term", "left")
+    sums = joined.groupBy(key).agg(*[F.sum(F.col("weight") * F.col(f"_b{i}")).alias(f"_v{i}") for i in range(len(classes))])
+    zs = [F.lit((intercepts or {}).get(c, 0.0)) + F.coalesce(F.col(f"_v{i}"), F.lit(0.0)) for i, c in enumerate(classes)]
+    scored = sums.select(key, F.array(*[
+        F.struct(z.alias("z"), F.lit(-i).alias("first"), F.lit(c).alias("label")) for i, (c, z) in enumerate(zip(classes, zs))
+    ]).alias("zs"))
+    out = scored.withColumn("best", F.array_max("zs"))
+    total = F.aggregate(F.col("zs"), F.lit(0.0), lambda acc, z: acc + F.exp(z["z"] - F.col("best.z")))
     return out.select(key, F.col("best.label").alias("pred"), (1 / total).alias("confidence"))
 
 

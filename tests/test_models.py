@@ -224,3 +224,25 @@ def test_kaplan_meier_by_hand(spark):
 def test_covariates_are_clipped(spark):
     features = spark.createDataFrame([(1.0, 1, 2, -5.0)], "observed_days double, churned int, frequency int, monetary double")
     assert survival.cox_covariates(features).first()["monetary_root4"] == pytest.approx(0.01**0.25)
+
+
+def test_terms_are_scored_where_the_weights_lie(spark):
+    weights = spark.createDataFrame(
+        [(1, "a", 0.5), (1, "b", 2.0), (2, "zz", 1.0), (3, "b", -1.0), (None, "a", 1.0)], "id bigint, term string, weight double"
+    )
+    coefficients = spark.createDataFrame(
+        [("a", "x", 1.0), ("a", "y", -1.0), ("b", "y", 0.25)], "term string, label string, b double"
+    )
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = text_model.classify_terms(weights, "id", coefficients, ["y", "x"], {"y": 0.1})
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        found = {r["id"]: (r["pred"], r["confidence"]) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    want = {1: (0.5, 0.1), 2: (0.0, 0.1), 3: (0.0, -0.15), None: (1.0, -0.9)}  # x, y
+    for key, (x, y) in want.items():
+        assert found.pop(key) == ("x" if x >= y else "y", pytest.approx(1 / (1 + math.exp(-abs(x - y)))))
+    assert not found
+    assert "SortMergeJoin" not in plan and "Union" not in plan
