@@ -3,11 +3,12 @@
 A shard is a run of documents of one task, at most `SHARD_WORDS` words. Of a phrase that occurs ``support`` times
 in a language, some shard holds at least its share of them: ``support * (words of the shard) / (words of the
 language)``. Every shard is mined completely at that lowered support, level by level: a phrase can only be frequent if
-the phrases without its last and without its first word are. The union of what the shards find are the
-candidates, and any phrase with enough occurrences is among them. A second pass counts all of them everywhere:
+the phrases without its last and without its first word are. A shard that does not report a phrase holds fewer than its
+lowered support. What the shards report and what the others may hold add up to a bound; phrases whose bound
+reaches the support are the candidates, and any phrase with enough occurrences is among them. A second pass counts all of them everywhere:
 membership is asked of a Bloom filter over the candidates, which is at most `MEMBER_BITS` large. What it
 lets through by chance it lets through in every shard alike, so counts are exact for those too and the
-support decides. Candidates are closed under dropping an end word, so this pass goes level by level as well.
+support decides. With a phrase that has enough occurrences all its parts are candidates, so this pass goes level by level as well.
 
 Shards count in arrays of word numbers; only distinct phrases with their counts are shuffled, and are summed before.
 
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ledgerpulse.llm import bloom
 from ledgerpulse.llm.common import _steps, arrow_schema, keyed_join, mix64, utf8
-from ledgerpulse.sources.workspace import materialize
+from ledgerpulse.sources.workspace import drop_stored, materialize
 
 #: Words of the longest phrase.
 LONGEST = 5
@@ -158,16 +159,36 @@ def word_counts(docs: DataFrame, shard_words: int = SHARD_WORDS) -> dict[str, in
     return {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
 
 
+def possible(mined: DataFrame, hidden: dict[int, int], support: int) -> DataFrame:
+    """Hashes of phrases that can have ``support`` occurrences: those reported, and in every other shard as many as it may hide.
+
+    ``n`` has what shards reported beyond that, ``hidden`` the sum of it over all shards of a language.
+    """
+    short = F.create_map(*[x for lang, n in hidden.items() for x in (F.lit(lang), F.lit(support - n).cast("bigint"))])
+    return mined.filter("h1 IS NOT NULL").filter(F.col("n") >= short[F.col("lang")]).select("h1", "h2")
+
+
 def frequent_phrases(docs: DataFrame, sizes: dict[str, int], support: int, longest: int = LONGEST, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``lang``, ``phrase``, ``words`` and exact ``f`` of every phrase with at least ``support`` occurrences."""
 
+    order = {lang: i for i, lang in enumerate(sorted(sizes))}
+
     def mine(shard: Shard) -> Iterator[dict]:
         least = max(1, -(-support * shard.n // sizes[shard.lang])) if shard.n else 1
-        for n, first, _ in shard.frequent(least, longest):
+        # What the shard may hold of a phrase that it does not report.
+        yield {"lang": [order[shard.lang]], "h1": [None], "h2": [None], "n": [least - 1]}
+        for n, first, counts in shard.frequent(least, longest):
             h = shard.hashes(n, first)
-            yield {"h1": h[:, 0].view(np.int64), "h2": h[:, 1].view(np.int64)}
-
-    candidates = materialize(over_shards(docs, mine, bloom.HASHES, shard_words).distinct(), "candidates")
+            yield {
+                "lang": np.full(len(first), order[shard.lang], np.int32), "h1": h[:, 0].view(np.int64), "h2": h[:, 1].view(np.int64),
+                "n": counts - (least - 1),
+            }
+
+    mined = over_shards(docs, mine, f"lang int, {bloom.HASHES}, n bigint", shard_words)
+    mined = materialize(mined.groupBy("lang", "h1", "h2").agg(F.sum("n").alias("n")), "mined")
+    hidden = {r["lang"]: r["n"] for r in mined.filter("h1 IS NULL").collect()}
+    candidates = materialize(possible(mined, hidden, support), "candidates")
+    drop_stored(mined)
     n_candidates = max(1, candidates.count())
     bits = min(MEMBER_BITS, -(-12 * n_candidates // 64) * 64)
     level = bloom.filled(candidates, bloom.Level(bits, max(1, min(6, round(bits / n_candidates * 0.69))), 11))

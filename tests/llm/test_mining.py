@@ -216,3 +216,9 @@ def test_every_passage_has_one_anchor_at_the_same_distance():
             assert owner.setdefault((t, p - distance), distance) == distance
     assert {s for t, s in owner if t == 0} == set(range(550 - 63)) and {s for t, s in owner if t == 2} == set(range(550 - 63))
     assert all(owner[0, 400 + i] == owner[2, i] for i in range(150 - 63))
+
+
+def test_candidates_need_a_bound_that_reaches_the_support(spark):
+    mined = spark.createDataFrame([(0, None, None, 90), (0, 1, 1, 9), (0, 2, 2, 10), (1, None, None, 0), (1, 3, 3, 99), (1, 4, 4, 100)], "lang int, h1 bigint, h2 bigint, n bigint")
+    out = phrases.possible(mined, {0: 90, 1: 0}, 100)
+    assert {r["h1"] for r in out.collect()} == {2, 4}
