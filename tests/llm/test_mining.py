@@ -222,3 +222,15 @@ def test_candidates_need_a_bound_that_reaches_the_support(spark):
     mined = spark.createDataFrame([(0, None, None, 90), (0, 1, 1, 9), (0, 2, 2, 10), (1, None, None, 0), (1, 3, 3, 99), (1, 4, 4, 100)], "lang int, h1 bigint, h2 bigint, n bigint")
     out = phrases.possible(mined, {0: 90, 1: 0}, 100)
     assert {r["h1"] for r in out.collect()} == {2, 4}
+
+
+def test_anchors_are_gone_before_texts_are_gathered(spark, monkeypatch):
+    events = []
+    drop, gather = suffixes.drop_stored, suffixes._gathered
+    monkeypatch.setattr(suffixes, "drop_stored", lambda df: (events.append(sorted(df.columns)), drop(df)))
+    monkeypatch.setattr(suffixes, "_gathered", lambda *args: (events.append("gathered"), gather(*args))[1])
+    body = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(600))
+    rows = [(1, body), (2, "x" + body), (3, "short")]
+    out = suffixes.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {r["doc_id"]: r["n_removed"] for r in out.collect()} == {1: 600, 2: 600, 3: 0}
+    assert "text" not in events[0] and events[1] == "gathered"
