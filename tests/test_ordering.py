@@ -10,6 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerpulse.functions import ordering as O
+from ledgerpulse.sources import testdata as data
 from ledgerpulse.sources.testdata import table
 
 
@@ -151,3 +152,22 @@ def test_brackets_are_searched_not_scanned(spark):
         assert cell % 2 == 0 or found[i][2] == i
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "aggregate(" not in plan  # a loop over all points at every row
+
+
+def test_one_row_group_is_read_by_all_cores(spark, tmp_path):
+    kinds = F.array(*[F.lit(t) for t in data.EVENT_TYPES])
+    rows = spark.range(20_000).select(
+        F.col("id").alias("event_id"), F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id)").alias("ts"),
+        F.element_at(kinds, (F.col("id") % 5 + 1).cast("int")).alias("event_type"),
+        F.concat(F.lit('{"k": '), F.col("id") % 100, F.lit("}")).alias("props"),
+    )
+    rows.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    spark.conf.set(key, "1k")
+    try:
+        pool = data.classified(spark, str(tmp_path))
+        files = [r["count"] for r in pool.groupBy(F.input_file_name()).count().collect()]
+    finally:
+        spark.conf.unset(key)
+    assert sum(files) == 20_000 and len(files) > 2 and max(files) < 10_000
+    assert {r["batch"]: r["count"] for r in pool.groupBy("batch").count().collect()} == dict.fromkeys(range(10), 2000)
