@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
     IDF,
@@ -54,24 +54,33 @@ def top_terms(terms: DataFrame, n: int) -> list[str]:
     return sorted(r["term"] for r in counts.orderBy(F.desc("n"), "term").limit(n).select("term").collect())
 
 
-def tfidf_stages(
-    train: DataFrame, text: str = "text", ngrams: int = 2, terms: int = 3000, stop_words: list[str] | None = None
-) -> PipelineModel:
-    """Text to ``_tfidf``: count times ``ln((1 + n) / (1 + df)) + 1``, rows scaled to length one.
+def term_counts(train: DataFrame, text: str, ngrams: int, terms: int, stop_words: list[str] | None) -> tuple[PipelineModel, DataFrame]:
+    """Text to ``_terms`` and ``_counts``, and the rows of ``train`` with both.
 
     The vocabulary is found with one aggregate over all terms and is bounded by
     ``terms``, so it fits in the model.
     """
     to_terms = term_stages(text, ngrams, stop_words)
-    split = to_terms.transform(spread(train.select(text)))
-    vocabulary = top_terms(split, terms)
-    counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_terms", outputCol="_counts")
-    idf = IDF(inputCol="_counts", outputCol="_idf").fit(counter.transform(split))
+    split = to_terms.transform(spread(train))
+    counter = CountVectorizerModel.from_vocabulary(top_terms(split, terms), inputCol="_terms", outputCol="_counts")
+    return PipelineModel([to_terms, counter]), counter.transform(split)
+
+
+def weight_stages(counted: DataFrame) -> list[Transformer]:
+    """``_counts`` to ``_tfidf``: count times ``ln((1 + n) / (1 + df)) + 1``, rows scaled to length one."""
+    idf = IDF(inputCol="_counts", outputCol="_idf").fit(counted)
     weights = ElementwiseProduct(
         scalingVec=Vectors.dense(idf.idf.toArray() + 1), inputCol="_counts", outputCol="_weighted"
     )
-    unit = Normalizer(p=2.0, inputCol="_weighted", outputCol="_tfidf")
-    return PipelineModel([to_terms, counter, weights, unit])
+    return [weights, Normalizer(p=2.0, inputCol="_weighted", outputCol="_tfidf")]
+
+
+def tfidf_stages(
+    train: DataFrame, text: str = "text", ngrams: int = 2, terms: int = 3000, stop_words: list[str] | None = None
+) -> PipelineModel:
+    """Text to ``_tfidf``, fitted on ``train``."""
+    counts, counted = term_counts(train.select(text), text, ngrams, terms, stop_words)
+    return PipelineModel([*counts.stages, *weight_stages(counted)])
 
 
 def tfidf_long(stages: PipelineModel, df: DataFrame, key: str) -> DataFrame:
@@ -144,19 +153,15 @@ def intent_model(
 ) -> IntentModel:
     """Fit vocabulary, weights and classifier on ``train`` only.
 
-    The vectors are stored once, in files of even size, so the text is not
-    tokenised again for every iteration. The loss is a weighted sum plus ``l2 / 2`` times the squared
+    The counts are stored once, in files of even size, so the text is tokenised for the
+    vocabulary and for the counts only, not for the weights and not for every iteration. The loss is a weighted sum plus ``l2 / 2`` times the squared
     coefficients; balanced weights add up to the number of rows.
     """
-    vectorise = tfidf_stages(train, text, ngrams, terms, stop_words)
     weight, n = balanced_weight(train, label)
-    ready = materialize(
-        vectorise.transform(spread(train.select(text, label)))
-        .withColumn("_weight", weight)
-        .select(label, "_weight", "_tfidf")
-        .hint("rebalance"),
-        "tfidf",
-    )
+    counts, counted = term_counts(train.select(text, label), text, ngrams, terms, stop_words)
+    counted = materialize(counted.select(label, "_counts").hint("rebalance"), "counts")
+    weigh = weight_stages(counted)
+    ready = PipelineModel(weigh).transform(counted.withColumn("_weight", weight)).select(label, "_weight", "_tfidf")
     indexer = StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc").fit(ready)
     regression = LogisticRegression(
         featuresCol="_tfidf", labelCol="_label", weightCol="_weight", probabilityCol="_probability",
@@ -164,4 +169,4 @@ def intent_model(
         regParam=l2 / n, maxIter=max_iter, tol=tol,
     ).fit(indexer.transform(ready))
     back = IndexToString(inputCol="_prediction", outputCol="pred", labels=indexer.labels)
-    return IntentModel(PipelineModel([*vectorise.stages, regression, back]), list(indexer.labels))
+    return IntentModel(PipelineModel([*counts.stages, *weigh, regression, back]), list(indexer.labels))
