@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
@@ -153,15 +154,18 @@ def intent_model(
 ) -> IntentModel:
     """Fit vocabulary, weights and classifier on ``train`` only.
 
-    The counts are stored once, in files of even size, so the text is tokenised for the
+    The counts are kept on disk until the vectors are stored, in files of even size, so the text is tokenised for the
     vocabulary and for the counts only, not for the weights and not for every iteration. The loss is a weighted sum plus ``l2 / 2`` times the squared
     coefficients; balanced weights add up to the number of rows.
     """
     weight, n = balanced_weight(train, label)
     counts, counted = term_counts(train.select(text, label), text, ngrams, terms, stop_words)
-    counted = materialize(counted.select(label, "_counts").hint("rebalance"), "counts")
+    # Kept in its own partitions, so the vectors are stored in the same order as if they were made from the texts again.
+    counted = counted.select(label, "_counts").persist(StorageLevel.DISK_ONLY)
     weigh = weight_stages(counted)
-    ready = PipelineModel(weigh).transform(counted.withColumn("_weight", weight)).select(label, "_weight", "_tfidf")
+    weighted = PipelineModel(weigh).transform(counted.withColumn("_weight", weight))
+    ready = materialize(weighted.select(label, "_weight", "_tfidf").hint("rebalance"), "tfidf")
+    counted.unpersist()
     indexer = StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc").fit(ready)
     regression = LogisticRegression(
         featuresCol="_tfidf", labelCol="_label", weightCol="_weight", probabilityCol="_probability",
