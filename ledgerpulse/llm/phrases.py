@@ -10,7 +10,7 @@ membership is asked of a Bloom filter over the candidates, which is at most `MEM
 lets through by chance it lets through in every shard alike, so counts are exact for those too and the
 support decides. With a phrase that has enough occurrences all its parts are candidates, so this pass goes level by level as well.
 
-Shards count in arrays of word numbers; only distinct phrases with their counts are shuffled, and are summed before.
+Texts are stored by language first, so that shards are of one language as far as may be. Shards count in arrays of word numbers; only distinct phrases with their counts are shuffled, and are summed before.
 
 Defined results: a null text counts as the empty text, a null language is ``und``. Languages must be few; their word
 counts come to the driver. Repeated rows count as often as they are there. Phrases that tie for the last
@@ -37,6 +37,8 @@ from ledgerpulse.sources.workspace import drop_stored, materialize
 LONGEST = 5
 #: Words of a shard, of all languages together; bounds the memory of a task.
 SHARD_WORDS = 4_000_000
+#: Words of a stored range of texts; two such tasks fit into an executor of 3 GB.
+DEALT_WORDS = 3_000_000
 #: Most bits of the filter over the candidates (64 MB). Beyond some 50 million candidates it lets more through, never less.
 MEMBER_BITS = 1 << 29
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -153,6 +155,18 @@ def over_shards(docs: DataFrame, work: Callable[[Shard], Iterator[dict]], schema
     return docs.mapInArrow(run, schema)
 
 
+def by_language(docs: DataFrame, words: int) -> DataFrame:
+    """The rows in ranges of their language, one that holds many of them in several ranges of about `DEALT_WORDS`.
+
+    A task then spends its words on one or two languages, so a language is in few shards with a high share of the support each,
+    and few phrases can reach the support that do not. Within a language rows are told apart by where they lie, as
+    texts may be equal. Of few ``words`` every core gets a part.
+    """
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    ranges = max(-(-words // DEALT_WORDS), min(cores, -(-8 * words // DEALT_WORDS)))
+    return docs.withColumn("_at", F.monotonically_increasing_id()).repartitionByRange(ranges, "lang", "_at").drop("_at")
+
+
 def word_counts(docs: DataFrame, shard_words: int = SHARD_WORDS) -> dict[str, int]:
     """Words of every language."""
     rows = over_shards(docs, lambda s: iter([{"lang": [s.lang], "n": [s.n]}]), "lang string, n bigint", shard_words)
@@ -232,7 +246,9 @@ def collocations(docs: DataFrame, support: int = 100, top: int = 2000, longest:
     spark = docs.sparkSession
     if not sizes:
         return spark.createDataFrame([], "lang string, rank bigint, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint")
+    texts = materialize(by_language(texts, sum(sizes.values())), "texts")
     grams = materialize(frequent_phrases(texts, sizes, support, longest, shard_words), "phrases")
+    drop_stored(texts)
     out = scored(grams, sizes)
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     # First within slices of a language, so that no task sorts all phrases of one.

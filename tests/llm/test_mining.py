@@ -11,6 +11,7 @@ from itertools import permutations
 import numpy as np
 import pytest
 from conftest_rows import ROWS
+from pyspark.sql import functions as F
 
 from ledgerpulse.llm import audit, bloom, phrases, suffixes
 
@@ -63,6 +64,22 @@ def test_phrases_against_all_counts(spark, shard_words, support, top):
     assert {tuple(r) for r in out.collect()} == brute_phrases(rows, support, top)
 
 
+def test_shards_are_of_one_language_as_far_as_may_be(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "DEALT_WORDS", 1000)
+    rows = [(f"w{i % 7} w{i % 5} w{i % 3} x y", "abcd"[i % 4]) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(4)
+    dealt = phrases.by_language(docs, 20_000)
+    held = dealt.groupBy(F.spark_partition_id().alias("task"), "lang").count().collect()
+    assert sum(r["count"] for r in held) == 4000 and len({r["task"] for r in held}) > 12
+    assert len(held) <= len({r["task"] for r in held}) + 3
+    made = []
+    real = phrases.over_shards
+    monkeypatch.setattr(phrases, "over_shards", lambda *a, **k: made.append(a[0]) or real(*a, **k))
+    assert {tuple(r) for r in phrases.collocations(docs, 100, 40).collect()} == brute_phrases([(c, t) for t, c in rows], 100, 40)
+    # Both passes over the candidates read what was stored by language.
+    assert len(made) == 3 and all("texts-" in f for m in made[1:] for f in m.inputFiles())
+
+
 def test_a_filter_that_passes_everything_changes_no_count(spark, monkeypatch):
     rows = texts(3, 60)
     df = spark.createDataFrame([(t, lang) for lang, t in rows], "text string, lang string")
