@@ -31,9 +31,10 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +52,7 @@ _OWN_BLANK = "\udfff"
 #: Characters of a chunk, and chunks of a block of the scan.
 CHUNK, BLOCK = 32768, 64
 #: Units that a task remembers before it puts them by; those put by are kept until the next time.
-REMEMBERED = 1 << 16
+REMEMBERED = 1 << 17
 NONE = -math.inf
 
 
@@ -66,10 +67,9 @@ class Vocabulary:
     prefix: bool
     penalty: float = 10.0
     _units: dict = field(default_factory=dict, compare=False, repr=False)
-    _older: dict = field(default_factory=dict, compare=False, repr=False)
 
     def __getstate__(self) -> dict:
-        return {k: self.__dict__[k] for k in ("ids", "scores", "bytes_", "unknown", "prefix", "penalty")} | {"_units": {}, "_older": {}}
+        return {k: self.__dict__[k] for k in ("ids", "scores", "bytes_", "unknown", "prefix", "penalty")} | {"_units": {}}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -89,6 +89,12 @@ class Vocabulary:
         begun = {p[:n]: NONE for p in self.scores for n in range(1, len(p))}
         return begun | self.scores
 
+    @cached_property
+    def endings(self) -> dict[str, float]:
+        """Scores of pieces, and minus infinity for what only ends one."""
+        ended = {p[n:]: NONE for p in self.scores for n in range(1, len(p))}
+        return ended | self.scores
+
     @cached_property
     def unit(self) -> re.Pattern:
         """Matches the text between two places that no piece reaches across."""
@@ -150,44 +156,65 @@ class Vocabulary:
                     best[stop], back[stop] = here + score, at
         return best, back
 
-    def _best(self, unit: str) -> tuple[tuple[int, ...], float]:
-        """``forward`` from the unit's start and back, without what only chunks need."""
-        known, alone, n = self.table.get, self.alone, len(unit)
-        best, back = [0.0] + [NONE] * n, [0] * (n + 1)
-        for at in range(n):
-            here, stop = best[at], at + 1
-            score = known(unit[at:stop])
-            if (score is None or score == NONE) and here + alone > best[stop]:
-                best[stop], back[stop] = here + alone, at
-            while score is not None:
-                if here + score > best[stop]:
-                    best[stop], back[stop] = here + score, at
-                stop += 1
-                score = known(unit[at:stop]) if stop <= n else None
-        return tuple(self.spelled(_trace(unit, back, 0, n))), best[n]
-
-    def segment(self, unit: str) -> tuple[tuple[int, ...], float]:
-        """Ids and score of a unit."""
-        found = self._units.get(unit)
-        if found is None:
-            found = self._older.get(unit) or self._best(unit)
-            if len(self._units) >= REMEMBERED:
-                self._older.clear()
-                self._older.update(self._units)
-                self._units.clear()
-            self._units[unit] = found
-        return found
+    def _best(self, units: list[str]) -> Iterator[tuple[tuple[int, ...], float]]:
+        """Ids and score of each of some sorted units, as `forward` finds them.
+
+        The best way to a place depends on what stands before it only, so it is kept for the start that a unit shares with the one before.
+        """
+        known, alone = self.endings.get, self.alone
+        best, back, last = [0.0], [0], ""
+        for unit in units:
+            same = 0
+            for a, b in zip(last, unit):
+                if a != b:
+                    break
+                same += 1
+            del best[same + 1 :], back[same + 1 :]
+            for stop in range(same + 1, len(unit) + 1):
+                at = stop - 1
+                score = known(unit[at:stop])
+                top, origin = (best[at] + alone, at) if score is None or score == NONE else (NONE, at)
+                while score is not None:
+                    if (reached := best[at] + score) >= top:  # of equals, the one that begins first
+                        top, origin = reached, at
+                    if not at:
+                        break
+                    at -= 1
+                    score = known(unit[at:stop])
+                best.append(top)
+                back.append(origin)
+            last = unit
+            yield tuple(self.spelled(_trace(unit, back, 0, len(unit)))), best[-1]
+
+    def segmented(self, units: list[str]) -> tuple[dict[str, tuple[int, ...]], dict[str, float]]:
+        """Ids and scores by unit, for these units at least; each that is not remembered is looked at once."""
+        ids, scores = self._units.setdefault("now", ({}, {}))
+        if len(ids) >= REMEMBERED:
+            self._units["before"] = ids, scores
+            ids, scores = self._units["now"] = {}, {}
+        older, older_scores = self._units.get("before", ({}, {}))
+        fresh = []
+        for unit in {u for u in units if u not in ids}:
+            if unit in older:
+                ids[unit], scores[unit] = older[unit], older_scores[unit]
+            else:
+                fresh.append(unit)
+        fresh.sort()
+        for unit, (own, score) in zip(fresh, self._best(fresh)):
+            ids[unit], scores[unit] = own, score
+        return ids, scores
+
+    def encode_all(self, texts: list[str]) -> list[tuple[list[int], float]]:
+        """Ids and score of whole texts."""
+        per_text = [self.unit.findall(self.normal(text)) for text in texts]
+        ids, scores = self.segmented(list(chain.from_iterable(per_text)))
+        return [
+            (list(chain.from_iterable(map(ids.__getitem__, units))), sum(map(scores.__getitem__, units), 0.0)) for units in per_text
+        ]
 
     def encode(self, text: str) -> tuple[list[int], float]:
         """Ids and score of a whole text."""
-        ids: list[int] = []
-        total = 0.0
-        segment, units = self.segment, self._units
-        for unit in self.unit.findall(self.normal(text)):
-            own, score = units.get(unit) or segment(unit)
-            ids += own
-            total += score
-        return ids, total
+        return self.encode_all([text])[0]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; without byte pieces, unknown ones give nothing."""
@@ -261,7 +288,7 @@ def transfer(v: Vocabulary, text: str, lead: int) -> np.ndarray:
             if best:
                 out[state, : min(k, end - lead + 1)] = best[end : max(lead, end - k + 1) - 1 if max(lead, end - k + 1) else None : -1][:k]
         return _closed(out, lead, end, k)
-    middle = sum(v.segment(u)[1] for u in units)
+    middle = sum(map(v.segmented(units)[1].__getitem__, units))
     tail = v.forward(text, {tail_start: 0.0}, tail_start, end)[0]
     ends = np.full(k, NONE)
     for state in range(min(k, end - tail_start + 1)):
@@ -417,8 +444,7 @@ def _traced(v: Vocabulary, row: dict) -> list[int]:
         return v.spelled(_trace(text, back, lead, stop))
     head_end, tail_start, units = parted
     ids = v.spelled(_trace(text, back, lead, head_end))
-    for unit in units:
-        ids += v.segment(unit)[0]
+    ids += chain.from_iterable(map(v.segmented(units)[0].__getitem__, units))
     back = v.forward(text, {tail_start: 0.0}, tail_start, len(text))[1]
     return ids + v.spelled(_trace(text, back, tail_start, stop))
 
@@ -457,7 +483,9 @@ def encode(docs: DataFrame, path: str = MODEL, text: str = "text", chunk: int =
 
     def encoded(batch: pa.RecordBatch) -> dict:
         v = shared.value
-        found = [None if t is None else v.encode(t) for t in batch.column(text).to_pylist()]
+        texts = batch.column(text).to_pylist()
+        coded = iter(v.encode_all([t for t in texts if t is not None]))
+        found = [None if t is None else next(coded) for t in texts]
         own = {c: batch.column(c) for c in names}
         return own | {"ids": _lists([x and x[0] for x in found]), "score": [None if x is None else x[1] for x in found]}
 
@@ -472,7 +500,7 @@ def encode(docs: DataFrame, path: str = MODEL, text: str = "text", chunk: int =
 def _lists(values: list[list[int] | None]) -> pa.Array:
     """Lists of ids as an Arrow array, without a Python object per id on the way."""
     sizes = np.array([0 if x is None else len(x) for x in values], np.int64)
-    flat = np.fromiter((i for x in values if x for i in x), np.int32, int(sizes.sum()))
+    flat = np.fromiter(chain.from_iterable(x for x in values if x), np.int32, int(sizes.sum()))
     offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
     mask = pa.array([x is None for x in values])
     return pa.ListArray.from_arrays(offsets, pa.array(flat), mask=mask)

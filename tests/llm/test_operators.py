@@ -250,6 +250,24 @@ def test_segmentation_is_the_library_s_for_unigram_scores():
         assert own.encode(text)[0] == library.encode(text)
 
 
+def test_units_of_a_text_are_looked_at_once_and_share_their_starts(monkeypatch):
+    v = pieces.load_vocabulary()
+    looked = []
+    known = pieces.Vocabulary._best
+    monkeypatch.setattr(pieces.Vocabulary, "_best", lambda self, units: looked.extend(units) or known(self, units))
+    monkeypatch.setattr(pieces, "REMEMBERED", 2)
+    text = "zaqxwer zaqxwert zaqxwerty zaq zaqü日x zb " * 3
+    texts = [text, "", text[:20]]
+    units = {u for t in texts for u in v.unit.findall(v.normal(t))}
+    coded = v.encode_all(texts)
+    assert sorted(looked) == sorted(units)
+    assert coded == [pieces.load_vocabulary().encode(t) for t in texts] and v.decode(coded[0][0]) == text
+    # Each as the search through a text finds it, whatever it shares with its neighbours.
+    for unit in units:
+        best, back = v.forward(unit, {0: 0.0}, 0, len(unit))
+        assert next(known(v, [unit])) == (tuple(v.spelled(pieces._trace(unit, back, 0, len(unit)))), best[-1]) == (v.segmented([unit])[0][unit], v.segmented([unit])[1][unit])
+
+
 # 8 lines
 def brute_lines(rows, shortest=10, percent=90):
     spots = [(i is None, i or 0, n, b) for i, t in rows for n, b in lines._comparable(t.encode() if t is not None else None, shortest)]
