@@ -11,7 +11,7 @@ pieces back. Matrices are a small part of the text, and a group holds those of o
 
 Where no piece can reach across a place (before a blank that follows another character, and on either side of a
 character that only stands alone) every segmentation has a border there. Units between such places are
-segmented once per task and remembered; a chunk's matrix and map are made from its first and last unit and the sum over
+segmented once per task, the new ones of a batch side by side, and remembered by number; a chunk's matrix and map are made from its first and last unit and the sum over
 those in between, and only these two are traced anew.
 
 A file of the unigram kind has log probabilities for scores, taken as they are. One of the BPE kind has merge
@@ -31,10 +31,12 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
-from itertools import chain
+from itertools import accumulate, chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -51,11 +53,81 @@ BLANK = "▁"
 _OWN_BLANK = "\udfff"
 #: Characters of a chunk, and chunks of a block of the scan.
 CHUNK, BLOCK = 32768, 64
-#: Units that a task remembers before it puts them by; those put by are kept until the next time.
+#: Units that a task remembers before it starts anew.
 REMEMBERED = 1 << 17
+#: Longest unit, and characters of units, that are searched side by side.
+SIDE_BY_SIDE, SPAN = 40, 1 << 15
 NONE = -math.inf
 
 
+class _Memory:
+    """Units by number, with the ids and scores of all of them in arrays."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[str, int] = defaultdict()
+        self.numbers.default_factory = self.numbers.__len__
+        self.ids, self.ends, self.scores = array("i"), array("q", [0]), array("d")
+
+    def add(self, found: list[tuple[tuple[int, ...], float]]) -> None:
+        """What belongs to the units that were numbered last, in their order."""
+        last = self.ends[-1]
+        self.ids.extend(chain.from_iterable([ids for ids, _ in found]))
+        self.ends.extend(accumulate([len(ids) for ids, _ in found], initial=last))
+        self.ends.pop(len(self.scores))
+        self.scores.extend([score for _, score in found])
+
+    def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[float]]:
+        """Ids of these units, one after the other, where each ends, and the scores."""
+        ids, ends, scores = np.frombuffer(self.ids, np.int32), np.frombuffer(self.ends, np.int64), np.frombuffer(self.scores)
+        starts = ends[numbers]
+        sizes = ends[numbers + 1] - starts
+        until = np.cumsum(sizes)
+        at = np.repeat(starts - until + sizes, sizes)
+        at += np.arange(len(at))
+        return ids[at], until, scores[numbers].tolist()
+
+
+class _Steps:
+    """What begins a piece, by number, and in a hash table the number that each goes to by one character more."""
+
+    def __init__(self, table: dict[str, float], ids: dict[str, int]) -> None:
+        begun = ["", *sorted(table, key=len)]
+        number = {p: i for i, p in enumerate(begun)}
+        kinds = {c: i for i, c in enumerate(sorted({p[-1] for p in begun[1:]}), 1)}
+        self.kind = np.zeros(0x110000, np.int32)  # 0 for characters of no piece
+        self.kind[[ord(c) for c in kinds]] = list(kinds.values())
+        self.kinds = len(kinds) + 1
+        self.single = np.array([False, *(table.get(c, NONE) != NONE for c in kinds)])
+        self.score = np.array([NONE, *(table[p] for p in begun[1:])])
+        self.id = np.array([ids.get(p, -1) for p in begun], np.int32)
+        goes = np.array([number[p[:-1]] * self.kinds + kinds[p[-1]] for p in begun[1:]], np.int64)
+        bits = max(4, (4 * len(begun)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.keys, self.to = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+        for place, key, to in zip(self._place(goes).tolist(), goes.tolist(), range(1, len(begun))):
+            while self.keys[place] >= 0:
+                place = (place + 1) % len(self.keys)
+            self.keys[place], self.to[place] = key, to
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def next(self, at: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """The number after each of ``at`` by a character, or 0."""
+        key = at.astype(np.int64) * self.kinds + kind
+        place = self._place(key)
+        there = self.keys[place]
+        out = np.where(there == key, self.to[place], 0)
+        left = np.flatnonzero((there != key) & (there >= 0))
+        while len(left):
+            place[left] = (place[left] + 1) % len(self.keys)
+            there = self.keys[place[left]]
+            hit = there == key[left]
+            out[left[hit]] = self.to[place[left[hit]]]
+            left = left[~hit & (there >= 0)]
+        return out
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """Pieces with their ids and scores; what a text is turned into is decided by these alone."""
@@ -90,10 +162,8 @@ class Vocabulary:
         return begun | self.scores
 
     @cached_property
-    def endings(self) -> dict[str, float]:
-        """Scores of pieces, and minus infinity for what only ends one."""
-        ended = {p[n:]: NONE for p in self.scores for n in range(1, len(p))}
-        return ended | self.scores
+    def steps(self) -> _Steps:
+        return _Steps(self.table, self.ids)
 
     @cached_property
     def unit(self) -> re.Pattern:
@@ -157,60 +227,117 @@ class Vocabulary:
         return best, back
 
     def _best(self, units: list[str]) -> Iterator[tuple[tuple[int, ...], float]]:
-        """Ids and score of each of some sorted units, as `forward` finds them.
-
-        The best way to a place depends on what stands before it only, so it is kept for the start that a unit shares with the one before.
+        """Ids and score of each unit, as `forward` finds them."""
+        if not units:
+            return iter(())
+        kinds = self.steps.kind[np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)]
+        sizes = np.array([*map(len, units)])
+        ends = np.cumsum(sizes)
+        side = (sizes <= SIDE_BY_SIDE) & np.logical_and.reduceat(self.steps.single[kinds], ends - sizes)
+        found: list = [None] * len(units)
+        for i in np.flatnonzero(~side).tolist():
+            best, back = self.forward(units[i], {0: 0.0}, 0, len(units[i]))
+            found[i] = tuple(self.spelled(_trace(units[i], back, 0, len(units[i])))), best[-1]
+        at = np.flatnonzero(side)
+        for part in np.split(at, np.flatnonzero(np.diff(ends[at] // SPAN)) + 1):
+            if len(part):
+                whole = np.repeat(np.isin(np.arange(part[0], part[-1] + 1), part), sizes[part[0] : part[-1] + 1])
+                own = self._side_by_side(kinds[ends[part[0]] - sizes[part[0]] : ends[part[-1]]][whole], sizes[part])
+                for i, best in zip(part.tolist(), own):
+                    found[i] = best
+        return iter(found)
+
+    def _side_by_side(self, kinds: np.ndarray, sizes: np.ndarray) -> list[tuple[tuple[int, ...], float]]:
+        """`forward` of many short units at once, place by place, from the kinds of all their characters and their sizes.
+
+        Every character must be a piece.
         """
-        known, alone = self.endings.get, self.alone
-        best, back, last = [0.0], [0], ""
-        for unit in units:
-            same = 0
-            for a, b in zip(last, unit):
-                if a != b:
-                    break
-                same += 1
-            del best[same + 1 :], back[same + 1 :]
-            for stop in range(same + 1, len(unit) + 1):
-                at = stop - 1
-                score = known(unit[at:stop])
-                top, origin = (best[at] + alone, at) if score is None or score == NONE else (NONE, at)
-                while score is not None:
-                    if (reached := best[at] + score) >= top:  # of equals, the one that begins first
-                        top, origin = reached, at
-                    if not at:
-                        break
-                    at -= 1
-                    score = known(unit[at:stop])
-                best.append(top)
-                back.append(origin)
-            last = unit
-            yield tuple(self.spelled(_trace(unit, back, 0, len(unit)))), best[-1]
+        steps = self.steps
+        order = np.argsort(-sizes, kind="stable")
+        rank = np.argsort(order)
+        here = len(sizes) - np.r_[0, np.cumsum(np.bincount(sizes))[1:-1]]  # units that have a character at a place
+        base = np.r_[0, np.cumsum(here)]
+        # Characters by place, at each place the longer units first; so those that go on come first everywhere.
+        place = np.arange(len(kinds)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        moved = np.empty_like(kinds)
+        moved[base[place] + np.repeat(rank, sizes)] = kinds
+        kinds, place = moved, np.repeat(np.arange(len(here)), here)
+        unit = np.arange(len(kinds)) - base[place]
+        reach = np.r_[here, np.zeros(self.longest + 1, np.int64)]
+        at, node = np.arange(len(kinds)), steps.next(np.zeros(len(kinds), np.int32), kinds)
+        scores, ids, found = [], [], []
+        for length in range(1, self.longest + 1):
+            score, own = np.full(len(kinds), NONE), np.zeros(len(kinds), np.int32)
+            score[at], own[at] = steps.score[node], steps.id[node]
+            scores.append(score)
+            ids.append(own)
+            found.append(np.bincount(place[at[score[at] != NONE]], minlength=len(here)).tolist())
+            goes = unit[at] < reach[place[at] + length]
+            at, node = at[goes], node[goes]
+            node = steps.next(node, kinds[base[place[at] + length] + unit[at]])
+            at, node = at[node > 0], node[node > 0]
+            if not len(at):
+                break
+        best, back = [np.zeros(len(sizes))], [np.zeros(len(sizes), np.int8)]
+        for stop, n in enumerate(here.tolist(), 1):
+            top, last = np.full(n, NONE), np.zeros(n, np.int8)
+            for length in range(1, min(stop, len(scores)) + 1):
+                start = stop - length
+                if not found[length - 1][start]:
+                    continue
+                reached = best[start][:n] + scores[length - 1][base[start] : base[start] + n]
+                better = reached >= top  # of equals, the one that begins first
+                top[better], last[better] = reached[better], length
+            best.append(top)
+            back.append(last)
+        first = np.r_[0, np.cumsum([len(x) for x in back])]
+        best, back, ids = np.concatenate(best), np.concatenate(back), np.array(ids)
+        at, stop, traced = np.arange(len(sizes)), sizes[order], []
+        total = best[first[stop] + at]
+        while len(at):
+            length = back[first[stop] + at]
+            stop = stop - length
+            traced.append((at, ids[length - 1, base[stop] + at]))
+            at, stop = at[stop > 0], stop[stop > 0]
+        ends = np.r_[0, np.cumsum(np.bincount(np.concatenate([at for at, _ in traced])))]
+        own = np.empty(ends[-1], np.int32)
+        for back_from, (at, piece) in enumerate(traced, 1):
+            own[ends[at + 1] - back_from] = piece
+        own = own.tolist()
+        return [(tuple(own[a:b]), score) for a, b, score in zip(ends[rank].tolist(), ends[rank + 1].tolist(), total[rank].tolist())]
+
+    def numbered(self, units: list[str]) -> tuple[_Memory, np.ndarray]:
+        """The numbers of these units in the memory; each that is not remembered is looked at once."""
+        memory = self._units.get("memory")
+        if memory is None or len(memory.numbers) >= REMEMBERED:
+            memory = self._units["memory"] = _Memory()
+        n = len(memory.numbers)
+        numbers = np.fromiter(map(memory.numbers.__getitem__, units), np.int64, len(units))  # new ones get the next numbers
+        fresh = [*islice(reversed(memory.numbers), len(memory.numbers) - n)][::-1]
+        if fresh:
+            memory.add(list(self._best(fresh)))
+        return memory, numbers
 
     def segmented(self, units: list[str]) -> tuple[dict[str, tuple[int, ...]], dict[str, float]]:
-        """Ids and scores by unit, for these units at least; each that is not remembered is looked at once."""
-        ids, scores = self._units.setdefault("now", ({}, {}))
-        if len(ids) >= REMEMBERED:
-            self._units["before"] = ids, scores
-            ids, scores = self._units["now"] = {}, {}
-        older, older_scores = self._units.get("before", ({}, {}))
-        fresh = []
-        for unit in {u for u in units if u not in ids}:
-            if unit in older:
-                ids[unit], scores[unit] = older[unit], older_scores[unit]
-            else:
-                fresh.append(unit)
-        fresh.sort()
-        for unit, (own, score) in zip(fresh, self._best(fresh)):
-            ids[unit], scores[unit] = own, score
-        return ids, scores
+        """Ids and scores by unit."""
+        memory, numbers = self.numbered(units)
+        ids, until, scores = memory.of(numbers)
+        parts = np.split(ids, until[:-1])
+        return {unit: tuple(own.tolist()) for unit, own in zip(units, parts)}, dict(zip(units, scores))
+
+    def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[float]]:
+        """Ids of whole texts, one after the other, where each begins and the last ends, and the scores."""
+        per_text = [self.unit.findall(self.normal(text)) for text in texts]
+        memory, numbers = self.numbered(list(chain.from_iterable(per_text)))
+        ids, until, scores = memory.of(numbers)
+        edges = np.cumsum([0, *map(len, per_text)])
+        sums = [sum(scores[a:b], 0.0) for a, b in zip(edges.tolist(), edges[1:].tolist())]
+        return ids, np.concatenate([[0], until])[edges], sums
 
     def encode_all(self, texts: list[str]) -> list[tuple[list[int], float]]:
         """Ids and score of whole texts."""
-        per_text = [self.unit.findall(self.normal(text)) for text in texts]
-        ids, scores = self.segmented(list(chain.from_iterable(per_text)))
-        return [
-            (list(chain.from_iterable(map(ids.__getitem__, units))), sum(map(scores.__getitem__, units), 0.0)) for units in per_text
-        ]
+        ids, edges, scores = self.encoded(texts)
+        return [(ids[a:b].tolist(), score) for a, b, score in zip(edges, edges[1:], scores)]
 
     def encode(self, text: str) -> tuple[list[int], float]:
         """Ids and score of a whole text."""
@@ -288,7 +415,8 @@ def transfer(v: Vocabulary, text: str, lead: int) -> np.ndarray:
             if best:
                 out[state, : min(k, end - lead + 1)] = best[end : max(lead, end - k + 1) - 1 if max(lead, end - k + 1) else None : -1][:k]
         return _closed(out, lead, end, k)
-    middle = sum(map(v.segmented(units)[1].__getitem__, units))
+    memory, numbers = v.numbered(units)
+    middle = sum(memory.of(numbers)[2])
     tail = v.forward(text, {tail_start: 0.0}, tail_start, end)[0]
     ends = np.full(k, NONE)
     for state in range(min(k, end - tail_start + 1)):
@@ -444,7 +572,8 @@ def _traced(v: Vocabulary, row: dict) -> list[int]:
         return v.spelled(_trace(text, back, lead, stop))
     head_end, tail_start, units = parted
     ids = v.spelled(_trace(text, back, lead, head_end))
-    ids += chain.from_iterable(map(v.segmented(units)[0].__getitem__, units))
+    memory, numbers = v.numbered(units)
+    ids += memory.of(numbers)[0].tolist()
     back = v.forward(text, {tail_start: 0.0}, tail_start, len(text))[1]
     return ids + v.spelled(_trace(text, back, tail_start, stop))
 
@@ -484,10 +613,10 @@ def encode(docs: DataFrame, path: str = MODEL, text: str = "text", chunk: int =
     def encoded(batch: pa.RecordBatch) -> dict:
         v = shared.value
         texts = batch.column(text).to_pylist()
-        coded = iter(v.encode_all([t for t in texts if t is not None]))
-        found = [None if t is None else next(coded) for t in texts]
-        own = {c: batch.column(c) for c in names}
-        return own | {"ids": _lists([x and x[0] for x in found]), "score": [None if x is None else x[1] for x in found]}
+        missing = np.array([t is None for t in texts], bool)
+        ids, edges, scores = v.encoded([t or "" for t in texts])
+        lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(ids), mask=pa.array(missing))
+        return {c: batch.column(c) for c in names} | {"ids": lists, "score": pa.array(scores, pa.float64(), mask=missing)}
 
     giant = F.coalesce(F.char_length(text) > chunk, F.lit(False))
     short = arrow_map(rows.filter(~giant), encoded, schema)

@@ -268,6 +268,28 @@ def test_units_of_a_text_are_looked_at_once_and_share_their_starts(monkeypatch):
         assert next(known(v, [unit])) == (tuple(v.spelled(pieces._trace(unit, back, 0, len(unit)))), best[-1]) == (v.segmented([unit])[0][unit], v.segmented([unit])[1][unit])
 
 
+def test_short_units_are_searched_side_by_side(monkeypatch):
+    import random
+
+    v = pieces.load_vocabulary()
+    draw = random.Random(5)
+    parts = ["th", "er", "ing", "tion", "ou", "é", "'", ".", "日", "\udfff", "ß", "q", pieces.BLANK, "the"]
+    units = ["".join(draw.choices(parts, k=draw.randint(1, 9))) for _ in range(500)] + ["a" * pieces.SIDE_BY_SIDE, "a" * (pieces.SIDE_BY_SIDE + 1), "tion" * 40]
+    units = list(dict.fromkeys(units))
+    monkeypatch.setattr(pieces, "SPAN", 300)  # several lots, units of either kind in each
+    alone = [v.forward(unit, {0: 0.0}, 0, len(unit)) for unit in units]
+    expected = [(tuple(v.spelled(pieces._trace(unit, back, 0, len(unit)))), best[-1]) for unit, (best, back) in zip(units, alone)]
+    lots, whole = [], []
+    known, forward = pieces.Vocabulary._side_by_side, pieces.Vocabulary.forward
+    monkeypatch.setattr(pieces.Vocabulary, "_side_by_side", lambda self, kinds, sizes: lots.append(len(sizes)) or known(self, kinds, sizes))
+    monkeypatch.setattr(pieces.Vocabulary, "forward", lambda self, text, *more: whole.append(text) or forward(self, text, *more))
+    assert list(v._best(units)) == expected and list(v._best([])) == []
+    odd = [u for u in units if len(u) > pieces.SIDE_BY_SIDE or any(c not in v.scores for c in u)]
+    assert whole == odd and 3 < len(lots) < 60 and sum(lots) == len(units) - len(odd) > len(odd)
+    ids, scores = v.segmented(units + units[:9])
+    assert [(ids[u], scores[u]) for u in units] == expected
+
+
 # 8 lines
 def brute_lines(rows, shortest=10, percent=90):
     spots = [(i is None, i or 0, n, b) for i, t in rows for n, b in lines._comparable(t.encode() if t is not None else None, shortest)]
