@@ -430,6 +430,20 @@ def test_chains_of_edits_and_leftover_buckets(spark):
     assert got == comp
 
 
+def test_links_leave_no_table_behind_but_the_components(spark, monkeypatch):
+    made = []
+    for module in (linking, components):
+        monkeypatch.setattr(module, "materialize", lambda df, name, known=module.materialize: made.append(known(df, name)) or made[-1])
+    rows = [(b, i) for b in range(4) for i in range(10 * b, 10 * b + 8)] + [(9, 3), (9, 13), (9, 23)]
+    shared = linking.materialize(linking.shared_members(spark.createDataFrame(rows, "bucket bigint, id bigint")), "shared")
+    # Stars find no link of the bucket that joins the others; its centre is not one of the pair.
+    found = linking.link_buckets(shared, lambda pairs: pairs.filter("b <> 3"))
+    assert dict(plain(found)) == {i: 10 * b for b in range(4) for i in range(10 * b + 1, 10 * b + 8)} | {20: 10, **{i: 10 for i in range(21, 28)}}
+    left = [df for df in made if "stored_at" in df.__dict__]
+    # What the result reads, and the labels of the first round.
+    assert len(made) > 8 and len(left) == 2 and shared not in left
+
+
 def test_components_of_a_long_path(spark):
     rng = np.random.default_rng(3)
     order = rng.permutation(300).tolist()
