@@ -430,6 +430,17 @@ def test_chains_of_edits_and_leftover_buckets(spark):
     assert got == comp
 
 
+def test_only_wanted_lines_are_moved(spark, monkeypatch):
+    rows = [(i, "\n".join(f"Line {n} of text {i}" for n in range(200))) for i in (*range(4), None)] + [(9, ""), (10, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    keyed = lines._keyed(docs, "doc_id").filter("id = 2 OR id IS NULL").drop("text")
+    wanted = keyed.withColumn("line", F.when(F.col("id").isNull(), 0).otherwise(150)).withColumn("node", F.col("line").cast("bigint") + 7)
+    made = []
+    monkeypatch.setattr(lines, "arrow_map", lambda *a, known=lines.arrow_map: made.append(known(*a)) or made[-1])
+    assert dict(plain(lines._line_texts(docs, "doc_id", wanted, 10))) == {7: "line 0 of text none", 157: "line 150 of text 2"}
+    assert made[-1].count() < 20  # of 400 in the two texts
+
+
 def test_links_leave_no_table_behind_but_the_components(spark, monkeypatch):
     made = []
     for module in (linking, components):
