@@ -1,5 +1,9 @@
 """Phrase collocations by partitioned mining: local support first, then one exact count of all candidates.
 
+Before that all phrases are counted by the bucket their hash falls into. A bucket holds the occurrences of all its phrases, so none of a bucket
+below the support can reach it, and shards report phrases of the other buckets only. In a large table a shard's share of the support
+falls to one; without the buckets it would then report all its phrases.
+
 A shard is a run of documents of one task, at most `SHARD_WORDS` words. Of a phrase that occurs ``support`` times
 in a language, some shard holds at least its share of them: ``support * (words of the shard) / (words of the
 language)``. Every shard is mined completely at that lowered support, level by level: a phrase can only be frequent if
@@ -21,7 +25,9 @@ the language are not read. An empty table, or one in which nothing is frequent,
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +37,7 @@ from pyspark.sql import functions as F
 
 from ledgerpulse.llm import bloom
 from ledgerpulse.llm.common import _steps, arrow_schema, keyed_join, mix64, utf8
-from ledgerpulse.sources.workspace import drop_stored, materialize
+from ledgerpulse.sources.workspace import drop_stored, materialize, sweep
 
 #: Words of the longest phrase.
 LONGEST = 5
@@ -41,6 +47,10 @@ SHARD_WORDS = 4_000_000
 DEALT_WORDS = 3_000_000
 #: Most bits of the filter over the candidates (64 MB). Beyond some 50 million candidates it lets more through, never less.
 MEMBER_BITS = 1 << 29
+#: Binary logarithm of the buckets in which phrases are counted (a filter of 32 MB). With very many words they let more through, never less.
+BUCKET_BITS = 28
+#: Ranges of buckets that are added up in one place.
+RANGES = 256
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _FOLD = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t" + _BREAKS, b"abcdefghijklmnopqrstuvwxyz " + b"." * len(_BREAKS)
@@ -82,6 +92,31 @@ def levels(ids: np.ndarray, n_words: int, words_kept: np.ndarray, keep: Keep, lo
         n_ranks = max(1, int(wanted.sum()))
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """Which of 2 ** ``bits`` buckets hold enough occurrences, one bit each."""
+
+    bits: int
+    enough: np.ndarray
+
+    def hold(self, spots: np.ndarray) -> np.ndarray:
+        return (self.enough[spots >> 3] >> (spots & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def packed(spots: np.ndarray) -> bytes:
+    """Sorted numbers as bytes: what each is more than the one before, where 255 stands for 255 and more to come."""
+    gaps = np.diff(spots, prepend=spots.dtype.type(0))
+    ends = np.cumsum(gaps // 255 + 1, dtype=np.int64)
+    out = np.full(int(ends[-1]) if len(ends) else 0, 255, np.uint8)
+    out[ends - 1] = gaps % 255
+    return out.tobytes()
+
+
+def unpacked(gaps: bytes) -> np.ndarray:
+    steps = np.frombuffer(gaps, np.uint8)
+    return np.cumsum(steps, dtype=np.int64)[steps != 255]
+
+
 class Shard:
     """Words of one language as numbers, with two hashes of every phrase."""
 
@@ -104,14 +139,39 @@ class Shard:
             h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + self._words[self.ids[first + k]])
         return h
 
+    def spots(self, n: int, first: np.ndarray, bits: int) -> np.ndarray:
+        """The bucket (of 2 ** ``bits``) of phrases of ``n`` words."""
+        h = self._words[self.ids[first], 0] ^ self._seed[0]
+        for k in range(1, n):
+            h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + self._words[self.ids[first + k], 0])
+        return (mix64(h) >> np.uint64(64 - bits)).astype(np.uint32)
+
+    def all_spots(self, longest: int, bits: int) -> Iterator[np.ndarray]:
+        """`spots` of all phrases of up to ``longest`` words, one array per length."""
+        own, word = self._words[self.ids, 0], self.is_word[self.ids]
+        h, whole = own ^ self._seed[0], word
+        for n in range(1, longest + 1):
+            if n > 1:
+                h = mix64(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + own[n - 1 :])
+                whole = whole[:-1] & word[n - 1 :]
+            yield (mix64(h[whole]) >> np.uint64(64 - bits)).astype(np.uint32)
+
     def phrases(self, n: int, first: np.ndarray) -> list[str]:
         words = self.vocabulary
         return [" ".join([words[w] for w in row]) for row in (self.ids[first[:, None] + np.arange(n)]).tolist()]
 
-    def frequent(self, least: int, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Phrases with at least ``least`` occurrences."""
-        counts = np.bincount(self.ids, minlength=len(self.vocabulary))
-        return levels(self.ids, len(self.vocabulary), self.is_word & (counts >= least), lambda n, first, c: c >= least, longest)
+    def frequent(self, least: int, longest: int, buckets: Buckets) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Phrases with at least ``least`` occurrences, of the ``buckets`` that reach the support."""
+
+        def keep(n: int, first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+            wanted = counts >= least
+            wanted[wanted] = buckets.hold(self.spots(n, first[wanted], buckets.bits))
+            return wanted
+
+        seen, first, counts = np.unique(self.ids, return_index=True, return_counts=True)
+        words = self.is_word.copy()
+        words[seen] &= keep(1, first, counts)
+        return levels(self.ids, len(self.vocabulary), words, keep, longest)
 
     def members(self, level: bloom.Level, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Phrases that the filter holds, however rare they are here."""
@@ -167,10 +227,66 @@ def by_language(docs: DataFrame, words: int) -> DataFrame:
     return docs.withColumn("_at", F.monotonically_increasing_id()).repartitionByRange(ranges, "lang", "_at").drop("_at")
 
 
-def word_counts(docs: DataFrame, shard_words: int = SHARD_WORDS) -> dict[str, int]:
-    """Words of every language."""
-    rows = over_shards(docs, lambda s: iter([{"lang": [s.lang], "n": [s.n]}]), "lang string, n bigint", shard_words)
-    return {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+def first_counts(docs: DataFrame, support: int, longest: int = LONGEST, shard_words: int = SHARD_WORDS) -> tuple[dict[str, int], Buckets]:
+    """Words of every language, and the buckets in which phrases occur ``support`` times in all.
+
+    A shard sends the sorted numbers of its buckets, about a byte per occurrence; ranges of buckets are added up in tasks of their own.
+    """
+    bits = BUCKET_BITS
+    width = (1 << bits) // RANGES
+
+    def spots(shard: Shard) -> Iterator[dict]:
+        yield {"part": [-1], "lang": [shard.lang], "n": [shard.n], "gaps": [None]}
+        own = np.sort(np.concatenate(list(shard.all_spots(longest, bits))))
+        # As many of one shard as the support are enough.
+        more = np.ones(len(own), bool)
+        more[support:] = own[support:] != own[: max(0, len(own) - support)]
+        own = own[more]
+        edges = np.searchsorted(own, np.arange(RANGES + 1) * width)
+        for part in np.flatnonzero(np.diff(edges)).tolist():
+            gaps = packed(own[edges[part] : edges[part + 1]] - np.uint32(part * width))
+            yield {"part": [part], "lang": [None], "n": [None], "gaps": [gaps]}
+
+    schema = "part int, lang string, n bigint, enough binary"
+    target = arrow_schema(schema)
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, at, words = np.zeros(width, np.uint32), -1, Counter()
+
+        def found() -> pa.RecordBatch:
+            enough = np.flatnonzero(counts >= support).astype(np.uint32).tobytes()
+            return pa.RecordBatch.from_pylist([{"part": at, "lang": None, "n": None, "enough": enough}], schema=target)
+
+        for batch in batches:
+            for i, part in enumerate(batch.column("part").to_pylist()):
+                if part < 0:
+                    words[batch.column("lang")[i].as_py()] += batch.column("n")[i].as_py()
+                    continue
+                if part != at:
+                    if at >= 0:
+                        yield found()
+                    counts[:] = 0
+                    at = part
+                own = unpacked(batch.column("gaps")[i].as_py())
+                first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+                counts[own[first]] += np.diff(np.r_[first, len(own)]).astype(np.uint32)
+        if at >= 0:
+            yield found()
+        if words:
+            yield pa.RecordBatch.from_pylist([{"part": -1, "lang": k, "n": n, "enough": None} for k, n in words.items()], schema=target)
+
+    rows = over_shards(docs, spots, "part int, lang string, n bigint, gaps binary", shard_words)
+    rows = rows.repartition("part").sortWithinPartitions("part").mapInArrow(added, schema)
+    sizes: dict[str, int] = {}
+    enough = np.zeros((1 << bits) // 8, np.uint8)
+    for row in rows.collect():
+        if row["part"] < 0:
+            sizes[row["lang"]] = row["n"]
+        else:
+            here = np.zeros(width, np.uint8)
+            here[np.frombuffer(row["enough"], np.uint32)] = 1
+            enough[row["part"] * width // 8 : (row["part"] + 1) * width // 8] = np.packbits(here, bitorder="little")
+    return sizes, Buckets(bits, enough)
 
 
 def possible(mined: DataFrame, hidden: dict[int, int], support: int) -> DataFrame:
@@ -182,16 +298,19 @@ def possible(mined: DataFrame, hidden: dict[int, int], support: int) -> DataFram
     return mined.filter("h1 IS NOT NULL").filter(F.col("n") >= short[F.col("lang")]).select("h1", "h2")
 
 
-def frequent_phrases(docs: DataFrame, sizes: dict[str, int], support: int, longest: int = LONGEST, shard_words: int = SHARD_WORDS) -> DataFrame:
+def frequent_phrases(
+    docs: DataFrame, sizes: dict[str, int], buckets: Buckets, support: int, longest: int = LONGEST, shard_words: int = SHARD_WORDS
+) -> DataFrame:
     """``lang``, ``phrase``, ``words`` and exact ``f`` of every phrase with at least ``support`` occurrences."""
 
     order = {lang: i for i, lang in enumerate(sorted(sizes))}
+    enough = docs.sparkSession.sparkContext.broadcast(buckets)
 
     def mine(shard: Shard) -> Iterator[dict]:
         least = max(1, -(-support * shard.n // sizes[shard.lang])) if shard.n else 1
         # What the shard may hold of a phrase that it does not report.
         yield {"lang": [order[shard.lang]], "h1": [None], "h2": [None], "n": [least - 1]}
-        for n, first, counts in shard.frequent(least, longest):
+        for n, first, counts in shard.frequent(least, longest, enough.value):
             h = shard.hashes(n, first)
             yield {
                 "lang": np.full(len(first), order[shard.lang], np.int32), "h1": h[:, 0].view(np.int64), "h2": h[:, 1].view(np.int64),
@@ -203,6 +322,7 @@ def frequent_phrases(docs: DataFrame, sizes: dict[str, int], support: int, longe
     hidden = {r["lang"]: r["n"] for r in mined.filter("h1 IS NULL").collect()}
     candidates = materialize(possible(mined, hidden, support), "candidates")
     drop_stored(mined)
+    sweep(docs.sparkSession)
     n_candidates = max(1, candidates.count())
     bits = min(MEMBER_BITS, -(-12 * n_candidates // 64) * 64)
     level = bloom.filled(candidates, bloom.Level(bits, max(1, min(6, round(bits / n_candidates * 0.69))), 11))
@@ -242,12 +362,14 @@ def scored(grams: DataFrame, sizes: dict[str, int]) -> DataFrame:
 def collocations(docs: DataFrame, support: int = 100, top: int = 2000, longest: int = LONGEST, shard_words: int = SHARD_WORDS) -> DataFrame:
     """The ``top`` phrases of every language by score, then occurrences, then the phrase itself."""
     texts = docs.select("text", F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
-    sizes = word_counts(texts, shard_words)
+    sizes, buckets = first_counts(texts, support, longest, shard_words)
     spark = docs.sparkSession
+    sweep(spark)
     if not sizes:
         return spark.createDataFrame([], "lang string, rank bigint, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint")
     texts = materialize(by_language(texts, sum(sizes.values())), "texts")
-    grams = materialize(frequent_phrases(texts, sizes, support, longest, shard_words), "phrases")
+    sweep(spark)
+    grams = materialize(frequent_phrases(texts, sizes, buckets, support, longest, shard_words), "phrases")
     drop_stored(texts)
     out = scored(grams, sizes)
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]

@@ -93,6 +93,28 @@ def test_scores_beyond_64_bits(spark):
     assert [(r["phrase"], r["score"]) for r in out] == [("x y", 1000 * 10**11 * 10**13 // 10**23)]
 
 
+def test_shards_report_only_phrases_whose_bucket_reaches_the_support(spark, monkeypatch):
+    # With a share of one in every shard all 2,000 made-up words and their phrases would be reported.
+    rows = [(f"often seen here w{i} x{i}", "en") for i in range(200)]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(8)
+    made = []
+    real = phrases.possible
+    monkeypatch.setattr(phrases, "possible", lambda mined, *more: made.append(mined.filter("h1 IS NOT NULL").count()) or real(mined, *more))
+    want = brute_phrases([(lang, t) for t, lang in rows], 150, 40)
+    assert {tuple(r) for r in phrases.collocations(docs, 150, 40, shard_words=20).collect()} == want
+    assert made[0] < 20  # six are frequent
+    monkeypatch.setattr(phrases, "BUCKET_BITS", 11)  # strangers share buckets, which changes nothing
+    assert {tuple(r) for r in phrases.collocations(docs, 150, 40, shard_words=20).collect()} == want
+
+
+def test_bucket_numbers_come_back_from_bytes():
+    rng = np.random.default_rng(12)
+    for most in (3, 300, 10**6):
+        spots = np.sort(rng.integers(0, most, 5000).astype(np.uint32))
+        assert (phrases.unpacked(phrases.packed(spots)) == spots).all()
+    assert (phrases.unpacked(phrases.packed(np.array([0, 0, 254, 509, 510, 1020], np.uint32))) == [0, 0, 254, 509, 510, 1020]).all()
+
+
 def test_phrases_of_nothing(spark, none):
     assert phrases.collocations(none).count() == 0
     assert phrases.collocations(spark.createDataFrame([(None, None), ("", "en"), ("one two", "en")], "text string, lang string")).count() == 0
